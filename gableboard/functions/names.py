@@ -16,6 +16,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """`use(value)` with `value` computed once, however often `use` reads it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def squeeze(c: Column) -> Column:
     """Collapse runs of white space and trim."""
     return F.trim(F.regexp_replace(c, r"\s+", " "))
@@ -49,7 +54,18 @@ def agent_name(c: Column | str) -> Column:
     name = F.regexp_replace(name, _DESIGNATION, "")
     name = F.regexp_replace(name, r"[,.\s]+$", "")
     name = F.regexp_replace(name, r"\s*\(.*?\)\s*", " ")
-    return blank_to_null(title_case(squeeze(name)))
+    return let(title_case(squeeze(name)), lambda n: F.when(n != "", n))
+
+
+def groups(c: Column, pattern: str, n: int) -> Column:
+    """The `n` groups of a pattern that spans the whole text, as an array; null if it does not.
+
+    One replacement reads all groups, where an extraction per group would match `n` times.
+    """
+    mark = "\u0001"
+    marked = F.regexp_replace(c, pattern, "".join(f"{mark}${i}" for i in range(1, n + 1)))
+    return let(marked, lambda m: F.when(
+        F.startswith(m, F.lit(mark)), F.slice(F.split(m, mark), 2, n)))
 
 
 def _lookup(table: dict[str, str]) -> Column:

@@ -69,9 +69,8 @@ def _stale(cutoff: datetime) -> Column:
 def sweep(listings: DataFrame, now: datetime, *, stale_days: int = SWEEP_DAYS) -> DataFrame:
     """Active or pending listings not seen for more than `stale_days` become withdrawn."""
     gone = F.coalesce(_stale(now - timedelta(days=stale_days)), F.lit(False))
-    return listings.withColumn(
-        "status", F.when(gone, F.lit("Withdrawn")).otherwise(F.col("status"))
-    ).withColumn("swept", gone)
+    status = F.when(gone, F.lit("Withdrawn")).otherwise(F.col("status"))
+    return listings.withColumns({"status": status, "swept": gone})
 
 
 def sweep_history(listings: DataFrame, now: datetime, *, stale_days: int = SWEEP_DAYS,

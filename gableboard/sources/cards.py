@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gableboard.functions.keys import city_state_zip
+from gableboard.functions.names import groups
 from gableboard.functions.numbers import digits
 from gableboard.functions.text import page_position, result_count
 
@@ -32,7 +33,8 @@ def cards(pages: DataFrame, text: str = "text", status: str = "Closed") -> DataF
     pattern = CARD.replace("{badge}", BADGES["Closed" if status == "Closed" else "Active"])
     keep = [c for c in pages.columns if c != text]
     found = pages.select(*keep, F.posexplode(F.regexp_extract_all(text, F.lit(pattern), 0)).alias("position", "_card"))
-    group = lambda i: F.trim(F.regexp_extract("_card", pattern, i))
+    found = found.withColumn("_g", groups(F.col("_card"), pattern, 9))
+    group = lambda i: F.trim(F.col("_g")[i - 1])
     price = digits(group(1))
     nothing = F.lit(None).cast("long")
     place = city_state_zip(group(4))

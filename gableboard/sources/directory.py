@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gableboard.constants import TOWNS
 from gableboard.functions.keys import address_hash, match_key, normalized_address, split_address
-from gableboard.functions.names import blank_to_null, in_towns, squeeze
+from gableboard.functions.names import blank_to_null, groups, in_towns, let, squeeze
 from gableboard.functions.numbers import digits
 from gableboard.functions.text import extract, office_guess, page_position, profile_counters, us_date
 from gableboard.operators.filters import passes_cutoff
@@ -31,43 +31,38 @@ def _cut_at(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, r"(?s)(?:" + pattern + r").*", "")
 
 
-def _from(text: Column, pattern: str) -> Column:
-    """Text from the first match on, or all of it."""
-    tail = F.regexp_extract(text, r"(?s)((?:" + pattern + r").*)", 1)
-    return F.when(tail == "", text).otherwise(tail)
-
-
 def card_text(raw: Column) -> Column:
     """Card without images, escapes and what stands before its rating or bold name."""
     plain = F.replace(F.regexp_replace(raw, IMAGE, ""), F.lit("\\"), F.lit(" "))
-    starts = F.rlike(plain, F.lit(CARD_START))
-    return F.when(starts, _from(plain, CARD_START + "|" + BOLD)).otherwise(plain)
+    start = r"(?s)^(?:(?!" + CARD_START + r"|\*\*[^\n]+?\*\*).)*+(?=.)"
+    return let(plain, lambda p: F.when(
+        F.rlike(p, F.lit(CARD_START)), F.regexp_replace(p, start, "")).otherwise(p))
 
 
-def clean_card(raw: Column) -> Column:
-    """Card text on one line, with a space between a count and its word."""
-    line = squeeze(F.regexp_replace(card_text(raw), BOLD, "$1"))
+def clean_card(text: Column) -> Column:
+    """`card_text` on one line, with a space between a count and its word."""
+    line = squeeze(F.regexp_replace(text, BOLD, "$1"))
     return F.trim(F.regexp_replace(line, r"(\d)((?:team\s+)?sales?\b)", "$1 $2"))
 
 
-def card_identity(raw: Column) -> Column:
-    """struct(name, office, kind): bold name, text up to the first figure, and kind.
+def card_identity(text: Column) -> Column:
+    """struct(name, office, kind) of `card_text`: bold name, then text up to a figure.
 
     No office makes a brokerage, the word TEAM a team.
     """
-    text = card_text(raw)
     team = F.rlike(F.substring(text, 1, 50), F.lit(r"(?i)\bTEAM\b"))
-    name = F.trim(F.regexp_extract(text, BOLD, 1))
-    has_name = F.rlike(text, F.lit(BOLD))
-    rest = squeeze(F.regexp_extract(text, r"(?s)^.*?\*\*.+?\*\*(.*)$", 1))
-    rest = F.regexp_replace(rest, r"^\d\.\d\(\d+\)\s*", "")
-    office = blank_to_null(F.trim(_cut_at(rest, STATS_START)))
-    kind = (
-        F.when(~has_name, "individual").when(team, "team")
-        .when(office.isNull(), "brokerage").otherwise("individual"))
-    return F.struct(
-        F.when(has_name, name).alias("name"), F.when(has_name, office).alias("office"),
-        kind.alias("kind"))
+    # Name and the rest of the card; the name may not span lines.
+    split_at = groups(text, r"(?s)^.*?\*\*([^\n]+?)\*\*(.*)$", 2)
+
+    def identity(g: Column) -> Column:
+        rest = F.regexp_replace(squeeze(g[1]), r"^\d\.\d\(\d+\)\s*", "")
+        office = blank_to_null(F.trim(_cut_at(rest, STATS_START)))
+        return let(office, lambda o: F.struct(
+            F.trim(g[0]).alias("name"), o.alias("office"),
+            F.when(g.isNull(), "individual").when(team, "team").when(o.isNull(), "brokerage")
+            .otherwise("individual").alias("kind")))
+
+    return let(split_at, identity)
 
 
 def cards(pages: DataFrame, text: str = "text", town: str = "town", page: str = "page_id") -> DataFrame:
@@ -76,13 +71,10 @@ def cards(pages: DataFrame, text: str = "text", town: str = "town", page: str =
     `town` names the column with the town that was asked for.
     """
     found = pages.select(page, town, F.posexplode(F.regexp_extract_all(text, F.lit(PROFILE_LINK), 0)).alias("position", "_link"))
-    found = found.select(
-        page, town, "position",
-        F.regexp_extract("_link", PROFILE_LINK, 1).alias("_raw"),
-        F.regexp_extract("_link", PROFILE_LINK, 2).alias("profile_url"))
-    line = clean_card(F.col("_raw"))
-    who = card_identity(F.col("_raw"))
-    rows = found.withColumns({"raw_card_text": line, "_who": who})
+    found = found.withColumn("_g", groups(F.col("_link"), PROFILE_LINK, 2)).select(
+        page, town, "position", F.col("_g")[0].alias("_raw"), F.col("_g")[1].alias("profile_url"))
+    rows = found.withColumn("_card", card_text(F.col("_raw"))).withColumns({
+        "raw_card_text": clean_card(F.col("_card")), "_who": card_identity(F.col("_card"))})
     rows = rows.withColumns({
         "local_sales_count": digits(extract("raw_card_text", LOCAL_SALES, 1)).cast("int"),
         "_town": F.lower(F.trim(extract("raw_card_text", LOCAL_SALES, 2))),
@@ -108,13 +100,13 @@ def sold_rows(links: DataFrame, *, cutoff, towns: tuple[str, ...] = TOWNS, text:
     """Sold lines of profiles in listed towns; the first of each sale and side per profile."""
     keep = [c for c in links.columns if c not in (text, href)]
     lines = links.filter(F.contains(href, F.lit("/homedetails/"))).select(
-        *keep, F.col(href).alias("source_url"), squeeze(F.col(text)).alias("_line"))
-    group = lambda i: F.regexp_extract("_line", SOLD, i)
-    parts = lines.select(
-        *keep, "source_url", F.trim(group(1)).alias("_address"), us_date(group(2)).alias("sale_date"),
-        digits(group(3)).alias("sale_price"), F.lower(group(4)).alias("represented_side"))
-    parts = parts.withColumn("_a", split_address("_address", towns))
-    rows = parts.filter((F.col("represented_side") != "") & F.col("_a").isNotNull()).select(
+        *keep, F.col(href).alias("source_url"),
+        groups(squeeze(F.col(text)), SOLD + ".*$", 4).alias("_g"))
+    parts = lines.filter(F.col("_g").isNotNull()).select(
+        *keep, "source_url", split_address(F.trim(F.col("_g")[0]), towns).alias("_a"),
+        us_date(F.col("_g")[1]).alias("sale_date"), digits(F.col("_g")[2]).alias("sale_price"),
+        F.lower(F.col("_g")[3]).alias("represented_side"))
+    rows = parts.filter(F.col("_a").isNotNull()).select(
         *keep, "source_url", F.col("_a.street").alias("address"), F.col("_a.city").alias("city"),
         F.col("_a.state").alias("state"), F.col("_a.zip").alias("zip"), "sale_date", "sale_price",
         "represented_side")
