@@ -2,29 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 from gableboard.constants import NOT_AN_OFFICE, PAGE_RULES
-from gableboard.functions.names import blank_to_null, col
+from gableboard.functions.names import blank_to_null, col, let
 from gableboard.functions.numbers import digits
 
 
 def unescape(c: Column | str) -> Column:
     r"""Decode every `\uXXXX`; a pair of surrogates becomes one character.
 
-    Runs of escapes are decoded together, so pairs are never split.
+    Everything else is quoted first, so the JSON reader decodes exactly those escapes.
     """
     source = col(c)
-    pieces = F.regexp_extract_all(
-        source, F.lit(r"((?:\\u[0-9a-fA-F]{4})+|(?:(?!\\u[0-9a-fA-F]{4})[\s\S])+)"), 1)
-    decoded = F.transform(
-        pieces,
-        lambda p: F.when(
-            F.rlike(p, F.lit(r"^\\u[0-9a-fA-F]{4}")),
-            F.decode(F.unhex(F.replace(p, F.lit("\\u"), F.lit(""))), "UTF-16BE"),
-        ).otherwise(p),
-    )
-    return F.when(F.contains(source, F.lit("\\u")), F.array_join(decoded, "")).otherwise(source)
+    quoted = F.regexp_replace(source, r'\\(?!u[0-9a-fA-F]{4})|"', r"\\$0")
+    decoded = F.from_json(
+        F.concat(F.lit('["'), quoted, F.lit('"]')), "array<string>",
+        {"allowUnquotedControlChars": "true"})
+    return F.when(F.contains(source, F.lit("\\u")), decoded[0]).otherwise(source)
 
 
 def month_name_date(c: Column | str) -> Column:
@@ -72,39 +70,52 @@ def result_count(c: Column | str) -> Column:
 
 
 def _mentions(haystack: Column, phrases: tuple[str, ...]) -> Column:
-    return F.exists(
-        F.array(*[F.lit(p) for p in phrases]), lambda p: F.contains(haystack, p))
+    return reduce(or_, [F.contains(haystack, F.lit(p)) for p in phrases])
 
 
 def page_status(text, url=None, title=None, http_status=None, rules=PAGE_RULES,
                 must_contain: str | None = None) -> Column:
     """struct(status, reason) of a page by its wording, then by its HTTP status."""
     parts = [F.lower(col(c)) for c in (text, url, title) if c is not None]
-    hay = F.concat_ws(" ", *parts)
-    label = lambda status, reason: F.struct(
-        F.lit(status).alias("status"), F.lit(reason).alias("reason")
-        if isinstance(reason, str) else reason.alias("reason"))
-    out = None
-    for status, phrases in rules:
-        hit = _mentions(hay, phrases)
-        value = label(status, f"{status}_indicators")
-        out = F.when(hit, value) if out is None else out.when(hit, value)
-    if must_contain is not None:
-        out = out.when(~F.contains(col(text), F.lit(must_contain)), label("blocked", "no_profile_link"))
-    if http_status is not None:
-        code = col(http_status)
-        reason = F.concat(F.lit("http_"), code.cast("string"))
-        out = out.when(code >= 400, label("blocked", reason))
-    return out.otherwise(label("ok", "ok"))
+
+    def verdict(hay: Column) -> Column:
+        def label(status: str, reason: Column) -> Column:
+            return F.struct(F.lit(status).alias("status"), reason.alias("reason"))
+
+        cases = [(_mentions(hay, phrases), label(status, F.lit(f"{status}_indicators")))
+                 for status, phrases in rules]
+        if must_contain is not None:
+            cases.append((~F.contains(col(text), F.lit(must_contain)),
+                          label("blocked", F.lit("no_profile_link"))))
+        if http_status is not None:
+            code = col(http_status)
+            cases.append((code >= 400, label("blocked", F.concat(F.lit("http_"), code.cast("string")))))
+        out = F.when(*cases[0])
+        for case in cases[1:]:
+            out = out.when(*case)
+        return out.otherwise(label("ok", F.lit("ok")))
+
+    # The lower-cased text is made once per page, not once per phrase.
+    return let(F.concat_ws(" ", *parts), verdict)
+
+
+_FURNITURE = "(?i)" + "|".join(NOT_AN_OFFICE)
 
 
 def office_guess(body, name) -> Column:
     """First line, of the seven after the name, that does not look like page furniture."""
-    lines = F.filter(
-        F.transform(F.split(col(body), r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
-    at = F.array_position(lines, F.trim(col(name)))
+    # One pass trims every line and drops the blank ones.
+    text = F.trim(F.regexp_replace(col(body), r"\s*\n\s*", "\n"))
+
+    def pick(lines: Column) -> Column:
+        return let(F.array_position(lines, F.trim(col(name))), lambda at: _after(lines, at))
+
+    return let(F.split(text, "\n"), pick)
+
+
+def _after(lines: Column, at: Column) -> Column:
     following = F.slice(lines, (at + 1).cast("int"), F.lit(7))
-    office = F.filter(following, lambda x: ~_mentions(F.lower(x), NOT_AN_OFFICE))
+    office = F.filter(following, lambda x: ~F.rlike(x, F.lit(_FURNITURE)))
     return F.when((at > 0) & (at < F.size(lines)), F.try_element_at(office, F.lit(1)))
 
 

@@ -558,7 +558,7 @@ FROM listings WHERE address IS NOT NULL"""
 FROM listings WHERE status <> 'Pending' AND NOT (status = 'Active' AND coalesce(enrichment_status, '') = 'success')"""
     letters = "translate(town, '_0123456789', ' ABCDEFGHIJ')"
     q["directory_cards"] = _with(*dirs) + f"""SELECT profile_url || '|' || town AS page_id, {letters} AS town, profile_url, local_sales_count,
-  sales_last_12_months, profile_name, office_name, CASE WHEN profile_type = 'team' THEN 'team' WHEN office_name IS NULL THEN 'brokerage'
+  abs(sales_last_12_months) AS sales_last_12_months, profile_name, office_name, CASE WHEN profile_type = 'team' THEN 'team' WHEN office_name IS NULL THEN 'brokerage'
   ELSE 'individual' END AS profile_type FROM profiles JOIN profile_towns USING (profile_url)"""
     q["sold_row_texts"] = _with(_SALES, _KEYED) + """, made AS (SELECT profile_url, l_orderkey, flag, sale_price, address, 'York' AS city, state, zip, sale_date,
   lower(represented_side) AS represented_side, l_partkey || ' SUMMER ST UNIT ' || l_linenumber || ' | YORK | ME | ' || zip AS normalized_address

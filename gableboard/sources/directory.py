@@ -99,17 +99,17 @@ def sold_rows(links: DataFrame, *, cutoff, towns: tuple[str, ...] = TOWNS, text:
               href: str = "href", profile: str = "profile_url", position: str = "position") -> DataFrame:
     """Sold lines of profiles in listed towns; the first of each sale and side per profile."""
     keep = [c for c in links.columns if c not in (text, href)]
-    lines = links.filter(F.contains(href, F.lit("/homedetails/"))).select(
-        *keep, F.col(href).alias("source_url"),
-        groups(squeeze(F.col(text)), SOLD + ".*$", 4).alias("_g"))
-    parts = lines.filter(F.col("_g").isNotNull()).select(
-        *keep, "source_url", split_address(F.trim(F.col("_g")[0]), towns).alias("_a"),
-        us_date(F.col("_g")[1]).alias("sale_date"), digits(F.col("_g")[2]).alias("sale_price"),
-        F.lower(F.col("_g")[3]).alias("represented_side"))
-    rows = parts.filter(F.col("_a").isNotNull()).select(
-        *keep, "source_url", F.col("_a.street").alias("address"), F.col("_a.city").alias("city"),
-        F.col("_a.state").alias("state"), F.col("_a.zip").alias("zip"), "sale_date", "sale_price",
-        "represented_side")
+    parsed = lambda g: F.struct(
+        split_address(F.trim(g[0]), towns).alias("a"), us_date(g[1]).alias("sale_date"),
+        digits(g[2]).alias("sale_price"), F.lower(g[3]).alias("represented_side"))
+    lines = links.filter(F.contains(href, F.lit("/homedetails/")))
+    # A line is parsed once: filters below read the exploded value, not the parsing.
+    found = lines.select(*keep, F.col(href).alias("source_url"), F.explode(F.array(
+        let(groups(squeeze(F.col(text)), SOLD + ".*$", 4), parsed))).alias("_p"))
+    rows = found.filter(F.col("_p.a").isNotNull()).select(
+        *keep, "source_url", F.col("_p.a.street").alias("address"), F.col("_p.a.city").alias("city"),
+        F.col("_p.a.state").alias("state"), F.col("_p.a.zip").alias("zip"), "_p.sale_date",
+        "_p.sale_price", "_p.represented_side")
     rows = rows.filter(passes_cutoff("sale_date", cutoff) & in_towns(F.trim("city"), towns))
     rows = rows.withColumn("normalized_address", normalized_address("address", "city", "state", "zip"))
     rows = rows.withColumn("normalized_address_hash", address_hash("normalized_address"))
