@@ -105,9 +105,8 @@ def stats(profiles: DataFrame, towns: DataFrame) -> DataFrame:
     kinds = profiles.agg(
         F.count(F.lit(1)).alias("total_profiles"), n("team").alias("teams"),
         n("individual").alias("individuals"), n("brokerage").alias("brokerages"))
-    served = towns.agg(F.count_distinct("town").alias("towns_with_data"))
-    # Two one-row aggregates side by side.
-    both = kinds.withColumn("_one", F.lit(1)).join(served.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    served = towns.agg(F.count_distinct("town")).scalar()
+    both = kinds.withColumn("towns_with_data", served)
     return both.withColumn("agents", F.col("individuals") + F.col("teams"))
 
 

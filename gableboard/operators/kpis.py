@@ -147,8 +147,6 @@ def movers(kpis: DataFrame, *, current_field: str = "current_12mo_sides",
         shown = shown.withColumn(
             "volume_change_pct", percent_change("current_12mo_volume", "prior_12mo_volume"))
     if banner:
-        gate = enough.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= MOVER_BANNER_MIN)
-        # `gate` is one aggregate row or none.
-        shown = shown.join(F.broadcast(gate.select(F.lit(1).alias("_gate"))),
-                           F.lit(1) == F.col("_gate"), "left_semi")
+        qualifying = enough.agg(F.count(F.lit(1))).scalar()
+        shown = shown.filter(qualifying >= MOVER_BANNER_MIN)
     return shown
