@@ -28,8 +28,8 @@ def session(cpus: str) -> SparkSession:
         # The local files are small; smaller splits give every core a task.
         .config("spark.sql.files.maxPartitionBytes", "2m")
         .config("spark.sql.files.openCostInBytes", "256k")
-        # Joins shuffle from 1 MB on, so that the work after them uses every core.
-        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
+        # Joins shuffle from 256 KB on, so that the work after them uses every core.
+        .config("spark.sql.autoBroadcastJoinThreshold", "256k")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .getOrCreate()

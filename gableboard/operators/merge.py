@@ -8,7 +8,7 @@ gives the same result as merging the whole log.
 from __future__ import annotations
 
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -170,6 +170,25 @@ def listing_details(log: DataFrame) -> DataFrame:
     return tries.join(merge(good, DETAIL_RULES), "detail_url", "left")
 
 
+def profile_details(log: DataFrame) -> DataFrame:
+    """Profile returns merged per profile: successes by rule, failures keep the figures.
+
+    `log` has `outcome` and `last_error` columns; every try counts.
+    """
+    at = F.struct(*ORDER)
+    tries = log.groupBy("profile_url").agg(
+        F.max_by("outcome", at).alias("enrichment_status"),
+        F.count(F.lit(1)).cast("int").alias("scrape_attempts"),
+        F.max_by("last_error", F.when(F.col("outcome") != "success", at)).alias("last_error"),
+        F.max("observed_at").alias("last_scraped_at"),
+    )
+    good = log.filter(F.col("outcome") == "success")
+    rules = replace(
+        PROFILE_DETAIL_RULES, count=None,
+        latest=tuple(c for c in PROFILE_DETAIL_RULES.latest if c != "last_scraped_at"))
+    return tries.join(merge(good, rules), "profile_url", "left")
+
+
 def transactions(log: DataFrame) -> DataFrame:
     """Raw sale records to typed, normalised current state; blank keys are dropped."""
     key = blank_to_null(F.trim(F.col("mls_number").cast("string")))

@@ -11,9 +11,9 @@ from gableboard.functions import keys, names, numbers, text as texts
 from gableboard.operators import (
     boards, directory, fuzzy, history, index, kpis, live, merge, pages, queues, runs, scoped, teams,
 )
-from gableboard.plans import driver_tables as d, page_texts
+from gableboard.plans import driver_tables as d, page_texts, report
 from gableboard.plans.driver_tables import ANCHOR
-from gableboard.sources import attribution, cards, details, directory as directory_source, property_json
+from gableboard.sources import attribution, cards, details, directory as directory_source, property_json, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -575,6 +575,56 @@ def sorted_board(s, p):
         "name", "office", "three_yr_volume", "primary_towns")
 
 
+def _named(sections, *fields: str) -> DataFrame:
+    """Sections with the first of `fields` that a row's body holds."""
+    name = F.coalesce(*[F.get_json_object("body", f"$.{f}") for f in fields])
+    return sinks.boards(sections).select("section", "scope", "rank", name.alias("name"))
+
+
+@query
+def listing_report_rows(s, p):
+    return _named(report.listing_report(d.listings(s, p)), "agent_name", "brokerage", "total", "n")
+
+
+@query
+def directory_report_rows(s, p):
+    return _named(report.directory_report(d.profiles(s, p), d.profile_towns(s, p)),
+                  "brokerage", "profile_url", "total_profiles")
+
+
+@query
+def scoped_report_rows(s, p):
+    return _named(report.scoped_report(d.transactions(s, p), source="feed_a", today=ANCHOR),
+                  "agent_name", "office", "value", "total")
+
+
+@query
+def profile_details(s, p):
+    log = d.observations(s, p)
+    made = log.select(
+        F.col("detail_url").alias("profile_url"), "observed_at", "seq", "outcome",
+        F.col("page").alias("total_sales"), F.col("page").alias("sales_last_12_months"),
+        F.col("list_price").alias("average_price"), F.col("listing_agent").alias("screen_name"),
+        F.col("page").alias("for_sale_count"), F.col("page").alias("total_sold"),
+        F.col("sale_price").alias("avg_price_3yr"), F.col("list_price").alias("price_range_min"),
+        F.col("list_price").alias("price_range_max"), F.col("listing_office").alias("last_error"))
+    return merge.profile_details(made).select(
+        "profile_url", "enrichment_status", "scrape_attempts", "last_error", "total_sales",
+        "average_price", "screen_name", "avg_price_3yr")
+
+
+@query
+def member_links(s, p):
+    """Every line as a link from its supplier's page to a part's page, and to itself."""
+    text = lambda c: F.col(c).cast("string")
+    own = F.concat(F.lit("https://example.com/profile/"), text("l_suppkey"))
+    links = d.table(s, p, "lineitem").select(
+        own.alias("profile_url"), F.struct("l_orderkey", "l_linenumber").alias("position"),
+        F.concat(F.lit("https://example.com/profile/"), text("l_partkey")).alias("href"),
+        F.concat(F.lit(" Part  "), text("l_partkey"), F.lit(" ")).alias("text"))
+    return directory_source.member_links(links).drop("position")
+
+
 # --- text and nested sources ------------------------------------------------------------
 
 _CARD_COLUMNS = ["page_id", "position", "status", "sale_price", "list_price", "address", "city",

@@ -544,6 +544,53 @@ WHERE trim(t) <> ''"""
     q["sorted_board"] = _with(*_L, _kpi_cte("agent")) + """SELECT name, office, three_yr_volume, primary_towns FROM kpi
 WHERE contains(lower(primary_towns), 'nation_3') ORDER BY three_yr_volume DESC NULLS LAST, name LIMIT 50"""
 
+    def head(name: str, sql: str, order: str, column: str, limit: int) -> str:
+        return f"""SELECT '{name}' AS section, 'all' AS scope, rank, {column} AS name FROM (
+  SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM ({sql})) WHERE rank <= {limit}"""
+
+    def rest(name: str, sql: str, scope: str, rank: str, column: str) -> str:
+        return f"SELECT '{name}', {scope}, CAST({rank} AS BIGINT), CAST({column} AS VARCHAR) FROM ({sql})"
+
+    by_sides = "sides DESC, volume DESC, "
+    q["listing_report_rows"] = " UNION ALL ".join([
+        head("combined", q["combined_board"], "total_sides DESC, volume DESC, agent_name", "agent_name", 30),
+        head("listing_side", q["side_board_listing"], by_sides + "agent_name", "agent_name", 30),
+        head("buyer_side", q["side_board_buyer"], by_sides + "agent_name", "agent_name", 30),
+        head("brokerages", q["brokerage_board"], by_sides + "brokerage", "brokerage", 20),
+        rest("towns", q["town_top5"], "town", "rank", "agent_name"),
+        rest("summary", q["listing_stats"], "'all'", "NULL", "total"),
+        rest("town_counts", q["town_counts_thin"], "city", "NULL", "n")])
+    q["directory_report_rows"] = " UNION ALL ".join([
+        head("brokerages", q["directory_brokerages"], "total_sales DESC, brokerage", "brokerage", 20),
+        head("agents", q["directory_agents"], "total_local_sales DESC, profile_url", "profile_url", 30),
+        rest("town_brokerages", q["directory_brokerages_by_town"], "town", "rank", "brokerage"),
+        rest("town_agents", q["directory_agents_by_town"], "town", "rank", "profile_url"),
+        rest("summary", q["directory_stats"], "'all'", "NULL", "total_profiles")])
+    feed = "AND data_source = 'feed_a' "
+    trends = lambda name, n, sql: _with(LISTINGS) + _trend(name, n, sql.format(feed), sql.format(feed + _YEAR))
+    volumes = lambda sql, year="": _with(LISTINGS) + "SELECT * FROM (" + sql.format(feed + year) + ")"
+    by_volume = "volume DESC, "
+    town5 = _with(LISTINGS) + _scoped_ctes("listing", "city IS NOT NULL AND data_source = 'feed_a'", "town, agent_name") + """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY town ORDER BY volume DESC, agent_name) AS rank FROM board) WHERE rank <= 5"""
+    parts = _with(LISTINGS) + """SELECT 'source' AS kind, data_source AS value FROM listings WHERE data_source = 'feed_a' GROUP BY 2
+UNION ALL SELECT 'town', city FROM listings WHERE city IS NOT NULL AND data_source = 'feed_a' GROUP BY 2"""
+    q["scoped_report_rows"] = " UNION ALL ".join([
+        head("agents", volumes(_AGENT_VOLUME), by_volume + "agent_name", "agent_name", 30),
+        head("agents_year", volumes(_AGENT_VOLUME, _YEAR), by_volume + "agent_name", "agent_name", 30),
+        rest("agent_trends", trends("agent_name", 30, _AGENT_VOLUME), "'all'", "rolling_rank", "agent_name"),
+        head("brokerages", volumes(_OFFICE_VOLUME), by_volume + "office", "office", 15),
+        head("brokerages_year", volumes(_OFFICE_VOLUME, _YEAR), by_volume + "office", "office", 20),
+        rest("brokerage_trends", trends("office", 20, _OFFICE_VOLUME), "'all'", "rolling_rank", "office"),
+        rest("towns", town5, "town", "rank", "agent_name"), rest("summary", q["scoped_stats"], "'all'", "NULL", "total"),
+        rest("breakdown", parts, "kind", "NULL", "value")])
+    q["profile_details"] = _with(_OBSERVATIONS) + f""", tries AS (SELECT detail_url AS profile_url, arg_max(outcome, {at}) AS enrichment_status,
+  CAST(count(*) AS INTEGER) AS scrape_attempts, arg_max_null(listing_office, {at}) FILTER (WHERE outcome <> 'success') AS last_error FROM obs GROUP BY 1),
+good AS (SELECT detail_url AS profile_url, {k2('page', 'total_sales')}, {k2('list_price', 'average_price')}, {k2('listing_agent', 'screen_name')},
+  {newest('sale_price', 'avg_price_3yr')} FROM obs WHERE outcome = 'success' GROUP BY 1)
+SELECT * FROM tries LEFT JOIN good USING (profile_url)"""
+    q["member_links"] = """SELECT DISTINCT 'https://example.com/profile/' || l_suppkey AS team_profile_url,
+  'https://example.com/profile/' || l_partkey AS member_profile_url, 'Part ' || l_partkey AS member_name FROM lineitem WHERE l_suppkey <> l_partkey"""
+
     q["search_cards_closed"] = _with(LISTINGS) + f"""SELECT {_CARD_FIELDS}, sale_price, CAST(NULL AS BIGINT) AS list_price FROM listings
 WHERE address IS NOT NULL AND status = 'Closed'"""
     q["search_cards_active"] = _with(LISTINGS) + f"""SELECT {_CARD_FIELDS}, CAST(NULL AS BIGINT) AS sale_price, list_price FROM listings

@@ -118,6 +118,16 @@ def sold_rows(links: DataFrame, *, cutoff, towns: tuple[str, ...] = TOWNS, text:
     return first_wins(rows, [profile, "transaction_match_key", "represented_side"], [position])
 
 
+def member_links(links: DataFrame, text: str = "text", href: str = "href",
+                 profile: str = "profile_url", position: str = "position") -> DataFrame:
+    """Members a team page links to: other profiles, the first link of each."""
+    other = F.contains(href, F.lit("/profile/")) & (F.col(href) != F.col(profile))
+    rows = links.filter(other).select(
+        F.col(profile).alias("team_profile_url"), F.col(href).alias("member_profile_url"),
+        blank_to_null(squeeze(F.col(text))).alias("member_name"), position)
+    return first_wins(rows, ["team_profile_url", "member_profile_url"], [position])
+
+
 def profile_page(pages: DataFrame, body: str = "body", name: str = "profile_name") -> DataFrame:
     """Office guess and counters of a profile page's text."""
     return pages.withColumn("office_name", office_guess(body, name)).select("*", *profile_counters(body))
