@@ -99,6 +99,7 @@ SALE_PAGE_RULES = (
     ("captcha", ("verify you are a human", "please verify", "captcha", "are you a robot")),
     ("error", ("the request could not be satisfied", "access denied", "request blocked")),
 )
+LISTING_PAGE_RULES = (("blocked", ("unexpected occurred", "access denied", "captcha")),)
 DIRECTORY_PAGE_RULES = (
     ("blocked", (
         "captcha", "px-captcha", "perimeterx", "verify you are human",

@@ -102,7 +102,9 @@ def edges(counts: DataFrame, threshold: float = 90) -> DataFrame:
     # Equal lengths meet in both directions; keep one.
     one_way = (F.length("l_name") < F.length("r_name")) | (
         (F.length("l_name") == F.length("r_name")) & (F.col("l_name") < F.col("r_name")))
-    pairs = left.join(right, match & one_way).select(
+    # Size estimates do not see the explosion into substrings, so a broadcast must not be
+    # chosen from them; a sort-merge join also lets AQE split common pieces.
+    pairs = left.join(right.hint("merge"), match & one_way).select(
         F.col("l_office").alias("office"), "l_name", "l_cnt", "r_name", "r_cnt").distinct()
     allowed = _budget(F.length("l_name") + F.length("r_name"), threshold)
     # The edit distance never exceeds inserts plus deletes, and is much cheaper.

@@ -146,14 +146,15 @@ def with_previous(
     for v in values:
         step = F.last(v, ignorenulls=True).over(earlier) if skip_nulls else F.lag(v).over(inside)
         out = out.withColumn(f"_p_{v}", step)
-    out = out.join(carried, [key, "_b"])
+    # Rows without a time have no bucket and keep their place without a predecessor.
+    out = out.join(carried, [key, "_b"], "left")
     for v in values:
         prev = (
             F.coalesce(f"_p_{v}", f"_c_{v}") if skip_nulls
             else F.when(F.col("_first"), F.col(f"_c_{v}")).otherwise(F.col(f"_p_{v}"))
         )
         out = out.withColumn(f"prev_{v}", prev)
-    out = out.withColumn("has_prev", ~F.col("_first") | F.col("_more"))
+    out = out.withColumn("has_prev", ~F.col("_first") | F.coalesce("_more", F.lit(False)))
     drop = ["_b", "_first", "_more", *[f"_p_{v}" for v in values], *[f"_c_{v}" for v in values]]
     return out.drop(*drop)
 

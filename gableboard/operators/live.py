@@ -59,15 +59,22 @@ def new_since(listings: DataFrame, history: DataFrame, since) -> DataFrame:
     )
 
 
-def timeline(history: DataFrame, detail_url: str | None = None) -> DataFrame:
+def timeline(history: DataFrame, detail_url: str | None = None, *, bucket: str = "month") -> DataFrame:
     """Status and price steps, oldest first, with the time each one ended.
 
-    For one listing, or for all of them.
+    For one listing, or for all of them. Steps are followed inside (listing, bucket); one
+    row per bucket links it to the next, so a listing with very many steps is spread.
     """
     rows = history if detail_url is None else history.filter(F.col("detail_url") == detail_url)
-    after = W.partitionBy("detail_url").orderBy("snapshot_date", "seq")
+    rows = rows.select("detail_url", "snapshot_date", "seq", "status", "list_price",
+                       F.date_trunc(bucket, "snapshot_date").alias("_b"))
+    inside = W.partitionBy("detail_url", "_b").orderBy("snapshot_date", "seq")
+    heads = rows.groupBy("detail_url", "_b").agg(F.min("snapshot_date").alias("_head"))
+    links = heads.select("detail_url", "_b", F.lead("_head").over(
+        W.partitionBy("detail_url").orderBy("_b")).alias("_next"))
+    stepped = rows.withColumn("_step", F.lead("snapshot_date").over(inside))
     return (
-        rows.select("detail_url", "snapshot_date", "seq", "status", "list_price",
-                    F.lead("snapshot_date").over(after).alias("valid_to"))
+        stepped.join(links, ["detail_url", "_b"], "left")
+        .withColumn("valid_to", F.coalesce("_step", "_next")).drop("_step", "_next", "_b")
         .orderBy("detail_url", "snapshot_date", "seq")
     )

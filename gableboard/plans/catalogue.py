@@ -735,7 +735,7 @@ def page_status(s, p):
 
 @query
 def document_page_status(s, p):
-    """The three rule sets over whole documents, some with a blocking phrase appended."""
+    """The four rule sets over whole documents, some with a blocking phrase appended."""
     rows = d.table(s, p, "documents")
     phrase = (
         F.when(F.col("source") == "src0", " Please VERIFY you are human")
@@ -746,7 +746,8 @@ def document_page_status(s, p):
     out = pages.profile_pages(rows, http_status="code").withColumnRenamed("page_status", "a")
     out = pages.sale_pages(out).withColumnRenamed("page_status", "b")
     out = pages.directory_pages(out).withColumnRenamed("page_status", "c")
-    return out.select("doc_id", F.col("a.status").alias("profile_status"), F.col("a.reason").alias("profile_reason"),
+    out = pages.listing_pages(out).withColumnRenamed("page_status", "l")
+    return out.select("doc_id", F.col("l.status").alias("listing_status"), F.col("a.status").alias("profile_status"), F.col("a.reason").alias("profile_reason"),
                       F.col("b.status").alias("sale_status"), F.col("c.status").alias("directory_status"))
 
 

@@ -632,7 +632,8 @@ FROM (SELECT page_id, lower(html) || ' ' || lower(url) AS t FROM pages)"""
   CASE WHEN contains(t, 'verify you are a human') OR contains(t, 'please verify') OR contains(t, 'captcha') OR contains(t, 'are you a robot') THEN 'captcha'
     WHEN contains(t, 'the request could not be satisfied') OR contains(t, 'access denied') OR contains(t, 'request blocked') THEN 'error' ELSE 'ok' END AS sale_status,
   CASE WHEN contains(t, 'captcha') OR contains(t, 'perimeterx') OR contains(t, 'verify you are human') OR contains(t, 'press and hold')
-    OR contains(t, 'access denied') OR contains(t, '403 forbidden') OR NOT contains(raw, '/profile/') THEN 'blocked' ELSE 'ok' END AS directory_status
+    OR contains(t, 'access denied') OR contains(t, '403 forbidden') OR NOT contains(raw, '/profile/') THEN 'blocked' ELSE 'ok' END AS directory_status,
+  CASE WHEN contains(t, 'unexpected occurred') OR contains(t, 'access denied') OR contains(t, 'captcha') THEN 'blocked' ELSE 'ok' END AS listing_status
 FROM (SELECT doc_id, lower(raw) AS t, raw, code FROM (SELECT doc_id, text || CASE source WHEN 'src0' THEN ' Please VERIFY you are human'
   WHEN 'src1' THEN ' Access Denied' WHEN 'src2' THEN ' see /profile/x' ELSE '' END AS raw,
   CASE lang WHEN 'en' THEN 429 WHEN 'fr' THEN 500 ELSE 200 END AS code FROM documents))"""
