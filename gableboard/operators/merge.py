@@ -197,7 +197,7 @@ def transactions(log: DataFrame) -> DataFrame:
 
 
 def _normalise_sales(log: DataFrame) -> DataFrame:
-    whole = lambda c: to_long(c).cast("int")
+    whole = lambda c: to_long(c).try_cast("int")
     return log.withColumns({
         "raw_listing_agent": F.col("listing_agent"),
         "raw_buyer_agent": F.col("buyer_agent"),

@@ -46,8 +46,8 @@ def cards(pages: DataFrame, text: str = "text", status: str = "Closed") -> DataF
         group(3).alias("address"),
         place["city"].alias("city"), place["state"].alias("state"), place["zip"].alias("zip"),
         place["well_formed"].alias("place_ok"),
-        group(5).cast("int").alias("beds"), group(6).cast("double").alias("baths"),
-        digits(group(7)).cast("int").alias("sqft"),
+        group(5).try_cast("int").alias("beds"), group(6).try_cast("double").alias("baths"),
+        digits(group(7)).try_cast("int").alias("sqft"),
         group(8).alias("listing_office"), group(9).alias("detail_url"))
 
 

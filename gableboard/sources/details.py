@@ -40,7 +40,7 @@ def _script(html: Column) -> Column:
 
 def _rounded(text: Column) -> Column:
     """Nearest whole number, halves upwards."""
-    return F.floor(text.try_cast("double") + 0.5).cast("int")
+    return F.floor(text.try_cast("double") + 0.5).try_cast("int")
 
 
 def fields(pages: DataFrame, html: str = "html") -> DataFrame:

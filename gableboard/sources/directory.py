@@ -76,9 +76,9 @@ def cards(pages: DataFrame, text: str = "text", town: str = "town", page: str =
     rows = found.withColumn("_card", card_text(F.col("_raw"))).withColumns({
         "raw_card_text": clean_card(F.col("_card")), "_who": card_identity(F.col("_card"))})
     rows = rows.withColumns({
-        "local_sales_count": digits(extract("raw_card_text", LOCAL_SALES, 1)).cast("int"),
+        "local_sales_count": digits(extract("raw_card_text", LOCAL_SALES, 1)).try_cast("int"),
         "_town": F.lower(F.trim(extract("raw_card_text", LOCAL_SALES, 2))),
-        "sales_last_12_months": digits(extract("raw_card_text", YEAR_SALES, 1)).cast("int"),
+        "sales_last_12_months": digits(extract("raw_card_text", YEAR_SALES, 1)).try_cast("int"),
     })
     # Name, office and kind come from the page's last card of the profile that has text.
     shown = rows.filter(F.col("raw_card_text") != "")

@@ -223,3 +223,12 @@ def test_members_become_profiles(spark):
                                   "team_profile_url string, member_profile_url string, member_name string, discovered_at timestamp")
     got = {r.profile_url: (r.profile_type, r.profile_name) for r in merge.member_profiles(profiles, links).collect()}
     assert got == {"m1": ("individual", "Mia"), "m2": ("individual", None), "x": ("team", "X")}
+
+
+def test_oversized_numbers_are_null_and_do_not_fail(spark):
+    text = card("99,999,999,999,999,999,999", "Closed", "1 A", "York, ME 03909", "X", "a").replace("1,800 sqft", "99,999,999,999 sqft")
+    r = cards.cards(spark.createDataFrame([("p", text)], "page_id string, text string")).first()
+    assert (r.sale_price, r.sqft, r.city) == (None, None, "York")
+    html = '<script>buyer_agent_full_name:"B",year_built:99999999999,close_price:"99999999999999999999"</script>'
+    d = details.fields(spark.createDataFrame([("u", html)], "detail_url string, html string")).first()
+    assert (d.buyer_agent, d.year_built, d.sale_price) == ("B", None, None)
