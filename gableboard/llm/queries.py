@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import language_id
+from gableboard.llm import language_id, topk
 from gableboard.llm.tables import id_remainder, read
 
 
@@ -17,5 +17,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.quantised(read(spark, folder, "embeddings"))
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
