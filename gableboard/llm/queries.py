@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import language_id, topk
+from gableboard.llm import jaccard, language_id, topk
 from gableboard.llm.tables import id_remainder, read
 
 
@@ -22,5 +22,9 @@ def op2_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(read(spark, folder, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
