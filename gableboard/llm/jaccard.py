@@ -25,6 +25,7 @@ the smallest id that is not null, if any. Shingles and sets are known by 64-bit
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -45,7 +46,8 @@ SHARE = 1 / (1 << 20)
 #: Bits of the filter that tells which sets are needed; a full filter only costs time.
 FILTER_BITS = 1 << 23
 TILE = 1024
-STARS = 3
+#: Stars in the second round, each around another node of every key.
+STARS = 4
 _C1, _C2 = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 
 
@@ -233,10 +235,18 @@ def _checked(docs: DataFrame, k: int, percent: int, pairs: DataFrame, nodes: Dat
     return both.select("a", "b", "s_a", "s_b").mapInArrow(linked, "a long, b long")
 
 
-def _tiled_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def _distinct_groups(rows: DataFrame) -> DataFrame:
+    """key, node without the keys whose nodes are those of another key (by count and two sums of hashes)."""
+    groups = rows.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("node") % (1 << 31)).alias("x"),
+                                     F.sum(F.xxhash64("node", F.lit(1)) % (1 << 31)).alias("y"))
+    return rows.join(groups.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
+def _tiled_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs within a key, of different roots, that sizes and bitmaps leave possible.
 
-    rows: key, node, root, n, sig."""
+    rows: key, node, root; nodes: node, n, sig."""
+    rows = rows.join(nodes.select("node", "n"), "node")
     place = F.row_number().over(W.partitionBy("key").orderBy("n", "node"))
     cut = written(rows.withColumn("tile", F.floor((place - 1) / TILE).cast("int")), "tiles")
     tiles = cut.groupBy("key", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
@@ -245,8 +255,9 @@ def _tiled_pairs(rows: DataFrame, percent: int) -> DataFrame:
     squares = left.join(right, "key").filter(f"i <= j and 100 * hi_i >= {percent} * lo_j").select("key", "i", "j")
     left = cut.join(squares.withColumn("tile", F.col("i")), ["key", "tile"]).withColumn("second", F.lit(False))
     right = cut.join(squares.filter("i < j").withColumn("tile", F.col("j")), ["key", "tile"]).withColumn("second", F.lit(True))
-    columns = ["key", "i", "j", "n", "node", "root", "sig", "second"]
-    placed = left.select(columns).union(right.select(columns)).repartition("key", "i", "j").sortWithinPartitions(
+    columns = ["key", "i", "j", "n", "node", "root", "second"]
+    placed = left.select(columns).union(right.select(columns)).join(nodes.select("node", "sig"), "node")
+    placed = placed.select(*columns[:-1], "sig", "second").repartition("key", "i", "j").sortWithinPartitions(
         "key", "i", "j", "n", "node")
 
     def run(batches):
@@ -309,48 +320,40 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "do
     first = W.partitionBy("key").orderBy("prior", "node")
     rows = _keys(docs, k, percent, common).withColumn("prior", F.xxhash64("node", F.lit(0)))
     # The ordered window streams: no key's rows are held together.
-    starred = (rows.withColumn("hub", F.first("node").over(first)).filter("hub != node")
-               .groupBy("hub", "node").agg(F.collect_set("key").alias("keys")))
-    starred = written(starred, "stars")
-    links = written(_checked(docs, k, percent, starred.select(F.col("hub").alias("a"), F.col("node").alias("b")), nodes), "links")
+    shared = written(rows.withColumn("hub", F.first("node").over(first)).filter("hub != node")
+                     .select("key", "hub", "node").distinct(), "shared")
+    pairs = written(shared.select("hub", "node").distinct(), "stars")
+    links = written(_checked(docs, k, percent, pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")), nodes), "links")
     roots = written(components(links), "roots")
 
-    def rooted(df):
-        return df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    def open_rows():
-        """key, node, root of the keys with unconnected nodes, of which some pair has not been checked."""
-        hub_root = rooted(starred.select(F.col("hub").alias("node")).distinct()).select(
-            F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        pairs = rooted(starred).join(hub_root, "hub")
-        apart = pairs.filter("root != hub_root").select(F.explode("keys").alias("key")).distinct()
-        flat = pairs.select(F.explode("keys").alias("key"), "node", "root", "hub", "hub_root").join(apart, "key", "left_semi")
-        # With one node beside its hub, a key's only pair is checked.
-        more = flat.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-        flat = flat.join(more, "key")
-        return flat.select("key", "node", "root").union(flat.select("key", "hub", "hub_root")).distinct()
-
-    opened = written(open_rows(), "open")
-    for turn in range(1, STARS):
-        if opened.isEmpty():
-            break
-        # Another star, around another node of each key.
-        prior = W.partitionBy("key").orderBy(F.xxhash64("node", F.lit(turn)), "node")
-        again = opened.withColumn("a", F.first("node").over(prior)).withColumn("a_root", F.first("root").over(prior))
-        again = again.filter("root != a_root").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        new = written(_checked(docs, k, percent, again, nodes), "links")
-        if new.isEmpty():
-            break
-        links = links.union(new)
+    def rooted(df, node="node", root="root"):
+        known = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+        return df.join(known, node, "left").withColumn(root, F.coalesce(root, node))
+
+    # Keys with nodes apart; with one node beside its hub, a key's only pair has been checked.
+    apart = rooted(rooted(pairs), "hub", "hub_root").filter("root != hub_root").select("hub", "node")
+    keys = shared.join(apart, ["hub", "node"], "left_semi").select("key").distinct()
+    rest = shared.join(keys, "key", "left_semi")
+    more = rest.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    rest = rest.join(more, "key", "left_semi")
+    opened = _distinct_groups(written(rest.select("key", "node").union(rest.select("key", "hub")).distinct(), "open"))
+    opened = written(rooted(opened), "open")
+    if not opened.isEmpty():
+        # More stars, each around a node of its own for each key.
+        again = []
+        for turn in range(1, STARS + 1):
+            prior = W.partitionBy("key").orderBy(F.xxhash64("node", "key", F.lit(turn)), "node")
+            star = opened.withColumn("a", F.first("node").over(prior)).withColumn("a_root", F.first("root").over(prior))
+            again.append(star.filter("root != a_root").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
+        again = written(reduce(DataFrame.union, again).distinct(), "stars")
+        links = links.union(written(_checked(docs, k, percent, again, nodes), "links"))
         roots = written(components(links), "roots")
         opened = rooted(opened.drop("root"))
         mixed = opened.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
-        opened = written(opened.join(mixed, "key"), "open")
-    if not opened.isEmpty():
-        pairs = written(_tiled_pairs(opened.join(nodes, "node"), percent), "tiled")
+        pairs = written(_tiled_pairs(opened.join(mixed, "key", "left_semi"), nodes, percent), "tiled")
         if not pairs.isEmpty():
-            new = written(_checked(docs, k, percent, pairs, nodes), "links")
-            roots = written(components(links.union(new)), "roots")
+            links = links.union(written(_checked(docs, k, percent, pairs, nodes), "links"))
+            roots = written(components(links), "roots")
 
     placed = rooted(members.filter("node is not null"))
     ids = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
