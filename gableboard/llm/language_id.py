@@ -129,9 +129,14 @@ def fit(docs: DataFrame, language: str = "lang", text: str = "text", key: str =
     rows = docs.select(F.col(language).alias("g"), F.col(text).alias("t"),
                        F.xxhash64(F.col(key), F.col(text)).alias("h"))
     rows = rows.filter(F.col("g").isNotNull() & F.col("t").isNotNull() & (F.octet_length("t") <= max_bytes))
-    order = W.partitionBy("g").orderBy("h", "t")
-    sample = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
-    found = sample.select("g", "t").collect()
+    # First the largest hash in each sample, then the texts: none is moved that is not in a sample.
+    order = W.partitionBy("g").orderBy("h")
+    ranked = rows.select("g", "h").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+    last = {r["g"]: r["h"] for r in ranked.groupBy("g").agg(F.max("h").alias("h")).collect()}
+    within = F.lit(False)
+    for g, h in last.items():
+        within = within | ((F.col("g") == g) & (F.col("h") <= h))
+    found = rows.filter(within).dropDuplicates(["g", "h"]).orderBy("g", "h").select("g", "t").collect()
     return train([r["t"] for r in found], [r["g"] for r in found], depth)
 
 

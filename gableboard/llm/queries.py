@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import jaccard, language_id, topk
+from gableboard.llm import decontaminate, jaccard, language_id, packing, topk
 from gableboard.llm.tables import id_remainder, read
 
 
@@ -26,5 +26,16 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(read(spark, folder, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.hits(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        decontaminate.contaminated().alias("contaminated"))
+
+
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents")).drop("ids")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}

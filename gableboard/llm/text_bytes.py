@@ -117,7 +117,7 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total = np.full(n, np.uint64(k) * _ODD, np.uint64)
+    total = np.full(n, k * int(_ODD) % (1 << 64), np.uint64)
     for j in range(k):
         total += words[j:j + n] * _power_table("up", k + 2)[j + 1]
     return mix(total)
