@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import decontaminate, jaccard, language_id, packing, topk
+from gableboard.llm import decontaminate, jaccard, language_id, packing, topk, toxicity
 from gableboard.llm.tables import id_remainder, read
 
 
@@ -37,5 +37,12 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents")).drop("ids")
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    held_out = id_remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs, labels.filter(~held_out))
+    return toxicity.score(docs, model, keep=["doc_id", held_out.alias("held_out")])
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
