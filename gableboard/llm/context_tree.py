@@ -36,40 +36,50 @@ class ContextTree:
                 step[i, symbol] = child
         self.step = step
 
-    def sums(self, symbols: np.ndarray, offsets: np.ndarray, costs: np.ndarray) -> np.ndarray:
-        """Sum of costs[state, symbol] over each text symbols[offsets[i]:offsets[i + 1]].
-
-        `costs` has the shape (states, size + 1, values); the last symbol's costs must be 0.
-        """
-        n, width = len(offsets) - 1, self.size + 1
-        out = np.zeros((n, costs.shape[2]))
+    def _stretches(self, symbols: np.ndarray, offsets: np.ndarray):
+        """Runs many stretches of the texts side by side. Yields their texts, and for each step the places
+        (in symbols) and the index state * (size + 1) + symbol of those that have not ended."""
         lengths = np.diff(offsets)
         counts = -(-lengths // STRETCH)
-        owner = np.repeat(np.arange(n), counts)
+        owner = np.repeat(np.arange(len(lengths)), counts)
         first = np.cumsum(counts) - counts
         begin = (np.arange(len(owner)) - first[owner]) * STRETCH
         length = np.minimum(lengths[owner] - begin, STRETCH)
         order = np.argsort(-length, kind="stable")
-        flat_costs, flat_step = costs.reshape(-1, costs.shape[2]), self.step.ravel()
-        single = costs.shape[2] == 1
-        if single:
-            flat_costs = flat_costs[:, 0]
+        flat, width = self.step.ravel(), self.size + 1
+
+        def steps(part):
+            places = offsets[owner[part]] + begin[part]
+            state = np.zeros(len(part), np.int32)
+            for k in range(-self.depth, int(length[part[0]])):
+                # Longest first: those that go on are the first ones.
+                n = len(part) if k < 0 else int(np.searchsorted(-length[part], -k, "left"))
+                at = places[:n] + k
+                if k < 0:
+                    outside = begin[part] + k < 0
+                    row = np.where(outside, self.size, symbols[np.where(outside, 0, at)])
+                else:
+                    row = symbols[at]
+                index = state[:n] * width + row
+                if k >= 0:
+                    yield at, index
+                state = flat[index]
+
         for at in range(0, len(order), AT_ONCE // STRETCH):
             part = order[at:at + AT_ONCE // STRETCH]
-            steps = np.arange(-self.depth, int(length[part[0]]))[:, None]
-            place = offsets[owner[part]] + begin[part] + steps
-            outside = (steps >= length[part]) | (steps + begin[part] < 0)
-            place[outside] = 0
-            matrix = symbols[place].astype(np.int32)
-            matrix[outside] = self.size
-            state = np.zeros(len(part), np.int32)
-            total = np.zeros((len(part), costs.shape[2]) if not single else len(part))
-            for k, row in enumerate(matrix):
-                index = state * width + row
-                if k >= self.depth:
-                    total += flat_costs[index]
-                state = flat_step[index]
-            np.add.at(out, owner[part], total if not single else total[:, None])
+            yield owner[part], steps(part)
+
+    def sums(self, symbols: np.ndarray, offsets: np.ndarray, costs: np.ndarray) -> np.ndarray:
+        """Sum of costs[state, symbol] over each text symbols[offsets[i]:offsets[i + 1]].
+
+        `costs` has the shape (states, size + 1, values)."""
+        out = np.zeros((len(offsets) - 1, costs.shape[2]))
+        flat = costs.reshape(-1, costs.shape[2])
+        for owners, steps in self._stretches(symbols, offsets):
+            total = np.zeros((len(owners), costs.shape[2]))
+            for _, index in steps:
+                total[:len(index)] += flat[index]
+            np.add.at(out, owners, total)
         return out
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import decontaminate, jaccard, language_id, packing, topk, toxicity
+from gableboard.llm import decontaminate, jaccard, language_id, packing, suffix_tree, topk, toxicity
 from gableboard.llm.tables import id_remainder, read
 
 
@@ -44,5 +44,11 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model, keep=["doc_id", held_out.alias("held_out")])
 
 
+def op9_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_tree.score(read(spark, folder, "documents"), id_remainder("doc_id", 7) != 2)
+    return found.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
