@@ -246,6 +246,7 @@ def _tiled_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs within a key, of different roots, that sizes and bitmaps leave possible.
 
     rows: key, node, root; nodes: node, n, sig."""
+    own = rows.groupBy("node").agg(F.collect_set("key").alias("keys"))  # no more than a node's prefix
     rows = rows.join(nodes.select("node", "n"), "node")
     place = F.row_number().over(W.partitionBy("key").orderBy("n", "node"))
     cut = written(rows.withColumn("tile", F.floor((place - 1) / TILE).cast("int")), "tiles")
@@ -256,15 +257,22 @@ def _tiled_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     left = cut.join(squares.withColumn("tile", F.col("i")), ["key", "tile"]).withColumn("second", F.lit(False))
     right = cut.join(squares.filter("i < j").withColumn("tile", F.col("j")), ["key", "tile"]).withColumn("second", F.lit(True))
     columns = ["key", "i", "j", "n", "node", "root", "second"]
-    placed = left.select(columns).union(right.select(columns)).join(nodes.select("node", "sig"), "node")
-    placed = placed.select(*columns[:-1], "sig", "second").repartition("key", "i", "j").sortWithinPartitions(
+    placed = left.select(columns).union(right.select(columns)).join(nodes.select("node", "sig"), "node").join(own, "node")
+    # A pair is made at the smallest key that its nodes share: `before` are a node's smaller ones.
+    placed = placed.withColumn("before", F.filter("keys", lambda k: k < F.col("key")))
+    placed = placed.select(*columns[:-1], "sig", "before", "second").repartition("key", "i", "j").sortWithinPartitions(
         "key", "i", "j", "n", "node")
 
+    def pairs(found):
+        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()),
+                                           pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
+
     def run(batches):
         stream = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        found, seen = [], set()
+        found = []
         for (_, i, j), group in groupby(stream, key=lambda r: r[:3]):
-            _, _, _, n, node, root, sig, second = zip(*group, strict=True)
+            _, _, _, n, node, root, sig, before, second = zip(*group, strict=True)
+            before = [frozenset(x) for x in before]
             n, root, second = np.array(n), np.array(root), np.array(second)
             words = [np.frombuffer(x, np.uint64) for x in sig]
             widths = np.array([len(w) for w in words])
@@ -288,13 +296,12 @@ def _tiled_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 most = np.minimum(n[x] - np.bitwise_count(own & ~rest).sum(axis=1, dtype=np.int64),
                                   n[other] - np.bitwise_count(rest & ~own).sum(axis=1, dtype=np.int64))
                 for y in other[(100 + percent) * most >= percent * (n[x] + n[other])]:
-                    found.append((min(node[x], node[y]), max(node[x], node[y])))
+                    if before[x].isdisjoint(before[y]):
+                        found.append((min(node[x], node[y]), max(node[x], node[y])))
             if len(found) > 10_000:
-                found = [p for p in dict.fromkeys(found) if p not in seen]
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
-                seen, found = set(found), []
-        found = list(dict.fromkeys(found))
-        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
+                yield pairs(found)
+                found = []
+        yield pairs(found)
 
     return placed.mapInArrow(run, "a long, b long").distinct()
 
