@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import decontaminate, jaccard, language_id, packing, suffix_tree, topk, toxicity
+from gableboard.llm import chat, credentials, decontaminate, jaccard, language_id, packing, suffix_tree, topk, toxicity
 from gableboard.llm.tables import id_remainder, read
 
 
@@ -50,5 +50,29 @@ def op9_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
                         "base_score", "score")
 
 
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = credentials.scan(read(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("strong", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(credentials.joined(F.col("strong")), 256).alias("base_sha256"),
+                        credentials.joined(F.col("all")).alias("spans"))
+
+
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit(r"\### Assistant: </turn> ok")
+    # The contract's own conversation.
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    done = chat.formatted(turns.unionByName(more))
+    read_back = done.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"),
+                            chat.under_mask(F.col("formatted"), F.col("mask")).alias("loss"))
+    turn = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    return read_back.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                            F.sha2(F.array_join(F.transform("turns", turn), ""), 256).alias("turns_sha256"),
+                            F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                            F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
