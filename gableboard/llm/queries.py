@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import chat, credentials, decontaminate, jaccard, language_id, packing, suffix_tree, topk, toxicity
+from gableboard.llm import chat, credentials, decontaminate, jaccard, language_id, packing, page_diff, suffix_tree, topk, toxicity
 from gableboard.llm.tables import id_remainder, read
 
 
@@ -26,6 +26,10 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(read(spark, folder, "documents"))
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_diff.extract(read(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.hits(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
