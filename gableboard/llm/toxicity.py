@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from gableboard.llm import text_bytes as tb
 
-PER_CLASS, MAX_BYTES = 3000, 1 << 14
+PER_CLASS, MAX_BYTES = 2000, 1 << 14
 BUCKETS, DIMENSIONS, GRAMS = 1 << 17, 16, (3, 4, 5)
 WINDOW, STRIDE = 8, 4
 
@@ -169,7 +169,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 7, epochs: int = 4, ba
         each = values[flat] * np.concatenate([weights[i] for i in part])
         return np.add.reduceat(each, np.cumsum(sizes[part]) - sizes[part]) + bias[1] - bias[0]
 
-    for turn in range(3):
+    for turn in range(2):
         if turn:
             # A toxic document's best windows, and all windows of the others.
             value = np.concatenate([margins(p) for p in np.array_split(np.arange(len(ids)), max(1, len(ids) // 4096))])
