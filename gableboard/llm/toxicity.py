@@ -9,7 +9,7 @@ first every window carries its document's label, then each toxic document keeps
 highest. A document's score comes from its highest window, through a logistic curve fitted on documents.
 As the softmax is linear, an n-gram adds one number to a window's score; scoring sums those.
 
-A null or empty text, or one without words, scores as a window of no words. Repeated rows are scored one by
+A null or empty text, or one without words, scores 0. Repeated rows are scored one by
 one. The model is fitted on a bounded sample: of each class the `per_class` documents with the smallest hash
 of their id, texts of at most `max_bytes` bytes. If either class has no example, every score is 0. A
 document with several labels is toxic if any says so; null labels and ids are left out.
@@ -104,7 +104,7 @@ class Model:
     shift: float = 0.0
 
     def margins(self, column) -> np.ndarray:
-        """The highest window's margin of each text."""
+        """The highest window's margin of each text; minus infinity without words."""
         data, offsets = tb.utf8(column)
         out = np.zeros(len(offsets) - 1)
         for i, j in tb.groups(offsets):
@@ -112,12 +112,14 @@ class Model:
             sums = np.zeros(len(value) + 1)
             np.cumsum(value, out=sums[1:])
             text, a, b = windows(first)
-            margin = (sums[b] - sums[a]) / np.maximum(b - a, 1) + self.bias
+            margin = np.where(b > a, (sums[b] - sums[a]) / np.maximum(b - a, 1) + self.bias, -np.inf)
             out[i:j] = np.maximum.reduceat(margin, np.searchsorted(text, np.arange(j - i)))
         return out
 
     def scores(self, column) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(column) + self.shift, -500, 500)))
+        margin = self.margins(column)
+        at = self.slope * np.where(np.isfinite(margin), margin, 0) + self.shift
+        return np.where(np.isfinite(margin), 1 / (1 + np.exp(-np.clip(at, -500, 500))), 0.0)
 
 
 def _bags(texts: list[str]):
@@ -182,13 +184,14 @@ def train(texts: list[str], toxic: list[int], seed: int = 7, epochs: int = 4, ba
         softmax, bias = rng.normal(0, 0.1, (DIMENSIONS, 2)), np.zeros(2)
         seen_table, seen_softmax, seen_bias = np.full(BUCKETS, 1e-8), np.full((DIMENSIONS, 2), 1e-8), np.full(2, 1e-8)
         y = target[chosen]
+        size = min(batch, max(32, len(chosen) // 50))
         balance = np.where(y == 1, len(y) / (2 * max(1, y.sum())), len(y) / (2 * max(1, (1 - y).sum())))
         for _ in range(epochs):
             order = rng.permutation(len(chosen))
-            for at in range(0, len(order), batch):
-                part = chosen[order[at:at + batch]]
+            for at in range(0, len(order), size):
+                part = chosen[order[at:at + size]]
                 share = 1 / (1 + np.exp(-np.clip(margins(part), -30, 30)))
-                error = (share - target[part]) * balance[order[at:at + batch]] / len(part)
+                error = (share - target[part]) * balance[order[at:at + size]] / len(part)
                 flat = np.concatenate([ids[i] for i in part])
                 weight = np.repeat(error, sizes[part]) * np.concatenate([weights[i] for i in part])
                 pull = np.bincount(flat, weight, BUCKETS)  # the gradient of a row is pull times the softmax' difference
@@ -212,6 +215,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 7, epochs: int = 4, ba
 
 def _calibrated(model: Model, margin: np.ndarray, label: np.ndarray) -> Model:
     """The logistic curve of documents over their highest windows' margins, by Newton's method."""
+    label, margin = label[np.isfinite(margin)], margin[np.isfinite(margin)]
     x = np.stack([margin, np.ones(len(margin))], axis=1)
     weight = np.array([1.0, 0.0])
     for _ in range(50):
