@@ -21,14 +21,19 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def strip(c: Column) -> Column:
+    """Without leading and trailing white space of any kind."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def squeeze(c: Column) -> Column:
-    """Collapse runs of white space and trim."""
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    """Collapse runs of white space of any kind and trim."""
+    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
 def present(c: Column | str) -> Column:
     """True where the value is neither null nor only spaces (never null itself)."""
-    return F.coalesce(F.trim(col(c)) != "", F.lit(False))
+    return F.coalesce(strip(col(c)) != "", F.lit(False))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -50,7 +55,7 @@ def title_case(c: Column) -> Column:
 
 
 def agent_name(c: Column | str) -> Column:
-    name = F.trim(col(c))
+    name = strip(col(c))
     name = F.regexp_replace(name, _DESIGNATION, "")
     name = F.regexp_replace(name, r"[,.\s]+$", "")
     name = F.regexp_replace(name, r"\s*\(.*?\)\s*", " ")
@@ -74,7 +79,7 @@ def _lookup(table: dict[str, str]) -> Column:
 
 def canonical(c: Column | str, table: dict[str, str]) -> Column:
     """Value of `table` under the lower-cased trimmed key, else the trimmed input."""
-    trimmed = F.trim(col(c))
+    trimmed = strip(col(c))
     return F.coalesce(F.try_element_at(_lookup(table), F.lower(trimmed)), trimmed)
 
 
@@ -93,5 +98,5 @@ def in_towns(c: Column | str, towns: tuple[str, ...] = TOWNS) -> Column:
 def town_spelling(c: Column | str, towns: tuple[str, ...] = TOWNS) -> Column:
     """Town in its listed spelling whatever the case or separator; unknown text as is."""
     slugs = {t.lower().replace(" ", "_"): t for t in towns}
-    key = F.regexp_replace(F.lower(F.trim(col(c))), "[-_ ]", "_")
+    key = F.regexp_replace(F.lower(strip(col(c))), "[-_ ]", "_")
     return F.coalesce(F.try_element_at(_lookup(slugs), key), col(c))

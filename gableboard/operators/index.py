@@ -106,8 +106,9 @@ SORTABLE = (
 
 
 def sorted_board(rows: DataFrame, column: str, *, ascending: bool = False,
-                 town: str | None = None, query: str | None = None) -> DataFrame:
-    """Rows by a chosen column, nulls last; a town filter keeps the first fifty."""
+                 town: str | None = None, query: str | None = None,
+                 town_limit: int | None = TOWN_FILTER_CAP) -> DataFrame:
+    """Rows by a chosen column, nulls last; a town filter keeps the first `town_limit` (None: all)."""
     if column not in SORTABLE:
         raise ValueError(f"cannot sort by {column}")
     if town:
@@ -118,7 +119,7 @@ def sorted_board(rows: DataFrame, column: str, *, ascending: bool = False,
                            else F.contains(F.lower("name"), F.lit(q.lower())))
     by = F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)
     rows = rows.orderBy(by, F.asc("name"))
-    return rows.limit(TOWN_FILTER_CAP) if town else rows
+    return rows.limit(town_limit) if town and town_limit is not None else rows
 
 
 def sorted_cells(rows: DataFrame, cell: str, *, ascending: bool = False, tie: str = "name") -> DataFrame:

@@ -235,14 +235,14 @@ def member_profiles(profiles: DataFrame, members: DataFrame) -> DataFrame:
         keys=("member_profile_url",), latest_known=("member_name",), first=("discovered_at",),
         order=("discovered_at", "team_profile_url"))).select(
         F.col("member_profile_url").alias("profile_url"),
-        F.col("member_name").alias("_name"), F.col("discovered_at").alias("_found"))
+        F.col("member_name").alias("_name"), F.col("discovered_at").alias("_found"), F.lit(True).alias("_linked"))
     both = profiles.join(linked, "profile_url", "full_outer")
-    is_member = F.col("_found").isNotNull()
+    is_member = F.col("_linked").isNotNull()
     return both.withColumns({
         "profile_name": F.coalesce("_name", "profile_name"),
         "profile_type": F.when(is_member, F.lit("individual")).otherwise(F.col("profile_type")),
         "discovered_at": F.coalesce("discovered_at", "_found"),
-    }).drop("_name", "_found")
+    }).drop("_name", "_found", "_linked")
 
 
 def evolve(rows: DataFrame, schema, *, backfill_status: bool = False) -> DataFrame:

@@ -46,10 +46,14 @@ def _by_volume(name: str) -> list[Column]:
     return [F.desc("volume"), F.asc(name)]
 
 
-def agents(transactions: DataFrame, *, limit: int = 30, since=None, source: str | None = None,
+def _first(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.limit(limit)
+
+
+def agents(transactions: DataFrame, *, limit: int | None = 30, since=None, source: str | None = None,
            role: str = "seller", town: str | None = None) -> DataFrame:
     board = _agent_board(_rows(transactions, role, source, since, town), ["agent_name"])
-    return board.orderBy(*_by_volume("agent_name")).limit(limit)
+    return _first(board.orderBy(*_by_volume("agent_name")), limit)
 
 
 def agents_by_town(transactions: DataFrame, *, n: int = 5, source: str | None = None,
@@ -61,7 +65,7 @@ def agents_by_town(transactions: DataFrame, *, n: int = 5, source: str | None =
     return top_per_group(board, ["town"], _by_volume("agent_name"), n).select(*columns)
 
 
-def brokerages(transactions: DataFrame, *, limit: int = 20, since=None,
+def brokerages(transactions: DataFrame, *, limit: int | None = 20, since=None,
                source: str | None = None, role: str = "seller") -> DataFrame:
     """Offices of one role by volume; nobody is excluded."""
     rows = _rows(transactions, role, source, since).filter(F.col("office").isNotNull())
@@ -69,7 +73,7 @@ def brokerages(transactions: DataFrame, *, limit: int = 20, since=None,
         rows, ["office"], {"sides": F.count(F.lit(1)), "volume": F.sum("amount")},
         {"top_agents": Facet("agent_name", 3), "towns": Facet("city", 3)})
     board = board.withColumn("avg_price", _average())
-    return board.orderBy(*_by_volume("office")).limit(limit)
+    return _first(board.orderBy(*_by_volume("office")), limit)
 
 
 def rankings(transactions: DataFrame) -> DataFrame:

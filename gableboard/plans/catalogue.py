@@ -776,7 +776,7 @@ def currency_labels(s, p):
 def currency_sort(s, p):
     cells = d.listings(s, p).select(F.col("detail_url").alias("name"), numbers.money("sale_price").alias("cell"))
     rows = cells.withColumn("value", numbers.money_value("cell"))
-    return index.sorted_cells(rows, "cell").limit(100)
+    return index.sorted_cells(rows, "cell")
 
 
 @query

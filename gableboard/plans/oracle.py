@@ -645,7 +645,7 @@ FROM (SELECT doc_id, lower(raw) AS t, raw, code FROM (SELECT doc_id, text || CAS
   '$' || {_grouped("coalesce(sale_price, 0)")} AS "full", {_money("(sale_price // 1000)")} AS small, coalesce(sale_price, 0) AS back FROM listings"""
     q["currency_sort"] = _with(LISTINGS) + f""", cells AS (SELECT detail_url AS name, {_money(price)} AS cell FROM listings)
 SELECT name, cell, CAST(CASE WHEN cell LIKE '%M' THEN CAST(cell[2:-2] AS DOUBLE) * 1e6 WHEN cell LIKE '%K' THEN CAST(cell[2:-2] AS DOUBLE) * 1e3
-  ELSE CAST(cell[2:] AS DOUBLE) END AS DOUBLE) AS value FROM cells ORDER BY value DESC, name LIMIT 100"""
+  ELSE CAST(cell[2:] AS DOUBLE) END AS DOUBLE) AS value FROM cells"""
     q["derived_metrics"] = _with(*_L, _kpi_cte("agent")) + """SELECT name, CASE WHEN three_yr_sides > 0 THEN three_yr_volume / three_yr_sides ELSE 0.0 END AS avg_3yr,
   listing_sides || ' : ' || buyer_sides AS split,
   CASE WHEN prior_12mo_volume > 0 THEN CAST(trunc((current_12mo_volume - prior_12mo_volume) / prior_12mo_volume * 100) AS BIGINT) END AS pct,

@@ -59,6 +59,6 @@ def withdrawn(observations: DataFrame, *, stale_days: int = SWEEP_DAYS, delay: s
         state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
 
     return (
-        observations.withWatermark("observed_at", delay).groupBy("detail_url")
+        observations.filter("observed_at is not null and seq is not null").withWatermark("observed_at", delay).groupBy("detail_url")
         .applyInPandasWithState(step, _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )
