@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+TOP_K = """WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum([z[1] * z[2] FOR z IN list_zip(a.v, b.v)])::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_exact_top_k": TOP_K}
