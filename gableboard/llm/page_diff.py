@@ -19,19 +19,24 @@ that share a page_id are pages of their own. An empty table gives an empty resul
 from __future__ import annotations
 
 import html as entities
+import json
+import math
 import re
 from bisect import bisect_left
 from collections import defaultdict
+from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gableboard.llm.tables import written
 from gableboard.operators.grouping import numbered
 
-#: Pages of a group; a group also gets the page before its first and after its last.
-GROUP = 64
+#: Least pages of a group, and groups for each partition of a shuffle. A group also gets the page before its
+#: first and after its last.
+GROUP, PER_TASK = 64, 16
+#: Characters of a batch of results.
+BATCH = 1 << 22
 COPY = 0.9
 _BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -142,32 +147,83 @@ def main_text(page: list[tuple[str, str]], neighbours: list[list[tuple[str, str]
     return "\n".join(t for i, (k, t) in enumerate(page) if k == keep and i not in drop)
 
 
+def _places(batches, kinds: list):
+    """group, own, host, page_id, url, lines and number of equal rows of each place, in order."""
+    now, known = None, None
+    for batch in batches:
+        kinds[:] = [batch.schema.field("page_id").type]
+        keys = zip(*(batch.column(c).to_pylist() for c in ("group", "own", "host", "h", "page_id", "url")), strict=True)
+        for i, (group, own, host, h, page, url) in enumerate(keys):
+            if known == (group, h, page):
+                now[-1] += 1
+                continue
+            if now:
+                yield now
+            now, known = [group, own, host, page, url, lines(batch.column("html")[i].as_py()), 1], (group, h, page)
+    if now:
+        yield now
+
+
+def _differ(batches):
+    """Rows come sorted by group and place; a task holds three pages at a time."""
+    kinds, out, size = [], [], 0
+
+    def told():
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], kinds[0]), pa.array([x[1] for x in out], pa.string()),
+                                           pa.array([x[2] for x in out], pa.string())], ["page_id", "url", "text"])
+
+    before = now = None
+    for after in chain(_places(batches, kinds), [None]):
+        if now and now[0] == now[1]:
+            near = [x[5] for x in (before, after) if x and (x[0], x[2]) == (now[0], now[2])]
+            text = main_text(now[5], near)
+            for _ in range(now[6]):
+                out.append((now[3], now[4], text))
+                size += len(text) + 100
+                if size > BATCH:
+                    yield told()
+                    out, size = [], 0
+        before, now = now, after
+    if out:
+        yield told()
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, text of every row of pages."""
+    """page_id, url, text of every row of pages.
+
+    The order is found on the places alone. Its groups are told by their first and last place, so that each
+    row finds its group by a binary search, and the pages themselves are shuffled once."""
+    spark = pages.sparkSession
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
-    rows = rows.withColumn("h", F.xxhash64("page_id", "url", "html"))
     part = lambda n: F.coalesce(F.regexp_extract("url", r"(?i)^[a-z][a-z0-9+.-]*://([^/?#]*)([^?#]*)", n), F.lit(""))
-    order = rows.select(F.lower(part(1)).alias("host"), part(2).alias("path"), "page_id", "h").distinct()
-    ranked = numbered(order, [F.col(c) for c in ("host", "path", "page_id", "h")], "rank")
-    group = F.floor((F.col("rank") - 1) / GROUP)
-    # A page goes to its own group, and as a neighbour to the one beside it.
-    groups = F.array_distinct(F.array(group, F.floor((F.col("rank") - 2) / GROUP), F.floor(F.col("rank") / GROUP)))
-    placed = ranked.withColumn("own", group).withColumn("group", F.explode(groups)).select("h", "host", "rank", "own", "group")
-    dealt = rows.join(placed, "h")
-
-    def differ(key, frame: pd.DataFrame) -> pd.DataFrame:
-        number = key[0]
-        read = {}
-        for rank, host, body in zip(frame["rank"], frame["host"], frame["html"], strict=True):
-            if rank not in read:
-                read[rank] = (host, lines(body))
-        mine = frame[frame["own"] == number]
-        text = []
-        for rank, host in zip(mine["rank"], mine["host"], strict=True):
-            near = [read[r][1] for r in (rank - 1, rank + 1) if r in read and read[r][0] == host]
-            text.append(main_text(read[rank][1], near))
-        return pd.DataFrame({"page_id": mine["page_id"].to_numpy(), "url": pd.Series(mine["url"].tolist(), dtype=object),
-                             "text": pd.Series(text, dtype=object)})
-
+    names = ("host", "path", "page_id", "h")
+    rows = rows.withColumns({"host": F.lower(part(1)), "path": part(2), "h": F.xxhash64("page_id", "url", "html")})
+    ranked = numbered(rows.select(*names).distinct(), [F.col(c) for c in names], "rank")
+    # As many groups as the shuffle can use, each of GROUP pages at least: the driver holds two places of each.
+    wide = PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pages_each = max(GROUP, math.ceil(ranked.count() / wide))
+    place = F.struct(*names)
+    ends = (ranked.groupBy(F.floor((F.col("rank") - 1) / pages_each).alias("group"))
+            .agg(F.min(place).alias("first"), F.max(place).alias("last")).orderBy("group").collect())
+    if not ends:
+        return rows.select("page_id", "url", F.lit("").alias("text"))
     kind = rows.schema["page_id"].dataType.simpleString()
-    return dealt.groupBy("group").applyInPandas(differ, f"page_id {kind}, url string, text string")
+    told = lambda name: F.from_json(F.lit(json.dumps([r[name].asDict() for r in ends])),
+                                    f"array<struct<host:string,path:string,page_id:{kind},h:bigint>>")
+
+    def halve(a, _):
+        middle = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+        low = F.get(told("first"), middle) <= place
+        step = F.struct(F.when(low, middle + 1).otherwise(a["lo"]).alias("lo"), F.when(low, a["hi"]).otherwise(middle).alias("hi"))
+        return F.when(a["lo"] < a["hi"], step).otherwise(a)
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(ends)).alias("hi"))
+    steps = F.sequence(F.lit(0), F.lit(len(ends).bit_length()))
+    own = F.aggregate(steps, start, halve, lambda a: a["lo"] - 1)
+    dealt = rows.withColumn("own", own)
+    # A page goes to its own group, and as a neighbour to the one beside it.
+    beside = [F.when(F.get(told("first"), F.col("own")) == place, F.col("own") - 1), F.when(F.get(told("last"), F.col("own")) == place, F.col("own") + 1)]
+    groups = F.filter(F.array("own", *beside), lambda g: g.between(0, len(ends) - 1))
+    dealt = dealt.withColumn("group", F.explode(groups)).repartition("group").sortWithinPartitions("group", *names)
+    return dealt.select("group", "own", "host", "h", "page_id", "url", "html").mapInArrow(
+        _differ, f"page_id {kind}, url string, text string")
