@@ -112,10 +112,10 @@ def stats(listings: DataFrame, *, all_statuses: bool = False) -> DataFrame:
     )
 
 
-def town_counts(listings: DataFrame) -> DataFrame:
+def town_counts(listings: DataFrame, *, thin: int = THIN_TOWN) -> DataFrame:
     """Closed, enriched sales per town, flagged where they are few."""
     counted = (
         listings.filter(closed_and_enriched() & F.col("city").isNotNull())
         .groupBy("city").agg(F.count(F.lit(1)).alias("n"))
     )
-    return counted.withColumn("thin", F.col("n") < THIN_TOWN).orderBy(F.desc("n"), F.asc("city"))
+    return counted.withColumn("thin", F.col("n") < thin).orderBy(F.desc("n"), F.asc("city"))

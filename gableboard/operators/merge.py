@@ -9,6 +9,8 @@ from __future__ import annotations
 
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -189,6 +191,29 @@ def profile_details(log: DataFrame) -> DataFrame:
     return tries.join(merge(good, rules), "profile_url", "left")
 
 
+def profile_status(log: DataFrame) -> DataFrame:
+    """Status pages merged per profile: figures keep the newest known value, every try counts."""
+    whole = ("sales_last_12_months", "total_sales", "average_price")
+    return merge(log.withColumns({c: to_long(c) for c in whole}), PROFILE_STATUS_RULES)
+
+
+def team_members(log: DataFrame) -> DataFrame:
+    """Links of teams to members; the first sighting and the newest known name stay."""
+    return merge(log, TEAM_MEMBER_RULES)
+
+
+def team_sales(log: DataFrame) -> DataFrame:
+    """Sales that only a team claims, one row per team, side and match key.
+
+    A row with a null key matches nothing and stays a row of its own.
+    """
+    ready = log.withColumn("sale_price", to_long("sale_price"))
+    rules = TEAM_SALE_RULES
+    merged = merge(ready, rules)
+    null_key = reduce(or_, [F.col(k).isNull() for k in rules.keys])
+    return merged.unionByName(ready.filter(null_key).select(*merged.columns))
+
+
 def transactions(log: DataFrame) -> DataFrame:
     """Raw sale records to typed, normalised current state; blank keys are dropped."""
     key = blank_to_null(F.trim(F.col("mls_number").cast("string")))

@@ -119,7 +119,7 @@ def listing_stats_all(s, p):
 
 @query
 def town_counts_thin(s, p):
-    return boards.town_counts(d.listings(s, p))
+    return boards.town_counts(d.listings(s, p), thin=160)
 
 
 # --- scoped boards ----------------------------------------------------------------------
@@ -188,9 +188,10 @@ def stale_listings(s, p):
 
 
 def _order_history(s, p) -> DataFrame:
-    """One history row per order."""
+    """Two history rows per order, the later one first."""
+    seen = F.explode(F.array(F.greatest("discovered_at", "last_seen_at"), F.least("discovered_at", "last_seen_at")))
     return d.listings(s, p).select(
-        "detail_url", F.col("last_seen_at").alias("snapshot_date"),
+        "detail_url", seen.alias("snapshot_date"),
         F.lit(0).cast("bigint").alias("seq"), "status", "list_price")
 
 
@@ -351,11 +352,51 @@ def member_profiles(s, p):
     members = d.table(s, p, "lineitem").groupBy("l_suppkey", "l_partkey").agg(
         F.min("l_shipdate").alias("discovered_at")).select(
         F.col("l_suppkey").alias("team_profile_url"),
-        F.concat(F.lit("https://example.com/profile/"), F.col("l_partkey").cast("string")).alias("member_profile_url"),
+        F.concat(F.lit("https://example.com/profile/"), (F.col("l_partkey") * 2).cast("string")).alias("member_profile_url"),
         F.concat(F.lit("Member "), F.col("l_suppkey").cast("string")).alias("member_name"), "discovered_at")
     return merge.member_profiles(profiles, members).select("profile_url", "profile_type", "profile_name")
 
 
+@query
+def merge_profile_status(s, p):
+    log = d.observations(s, p)
+    failed = F.col("outcome") != "success"
+    made = log.select(
+        F.col("detail_url").alias("profile_url"), "observed_at", "seq", F.col("listing_agent").alias("profile_name"),
+        F.col("listing_office").alias("office_name"), F.col("page").cast("string").alias("sales_last_12_months"),
+        F.format_number(F.col("list_price") * 100, 0).alias("total_sales"),
+        F.concat(F.lit("$"), F.format_number(F.col("sale_price") * 1000, 0)).alias("average_price"),
+        F.when(F.col("page") > 50, F.col("town")).alias("price_range"), F.col("outcome").alias("scrape_status"),
+        F.when(failed, F.col("town")).alias("last_error"), F.col("observed_at").alias("last_scraped_at"))
+    return merge.profile_status(made)
+
+
+@query
+def merge_team_members(s, p):
+    log = d.table(s, p, "lineitem").select(
+        F.col("l_suppkey").alias("team_profile_url"), (F.col("l_partkey") % 50).alias("member_profile_url"),
+        F.when(F.col("l_returnflag") != "R", F.concat(F.lit("Part "), F.col("l_partkey").cast("string"), F.col("l_returnflag")))
+        .alias("member_name"), F.col("l_shipdate").alias("observed_at"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag").alias("seq"), F.col("l_shipdate").alias("discovered_at"))
+    return merge.team_members(log)
+
+
+@query
+def merge_team_sales(s, p):
+    """Keys of two digits, so that sales of a team meet; lines of flag R have none."""
+    log = d.keyed_sales(s, p).select(
+        F.col("profile_url").alias("team_profile_url"), F.lower("represented_side").alias("represented_side"),
+        F.when(F.col("flag") != "R", F.substring("transaction_match_key", 1, 2)).alias("transaction_match_key"),
+        F.when(F.col("flag") == "A", F.concat(F.lit("Team "), F.col("l_suppkey").cast("string"))).alias("team_name"),
+        F.concat(F.lit("https://example.com/home/"), F.col("l_orderkey").cast("string")).alias("property_url"),
+        F.when(F.col("sale_price") > 30000, F.col("city")).alias("local_town"), "sale_date",
+        F.concat(F.lit("$"), F.format_number("sale_price", 0)).alias("sale_price"), "normalized_address",
+        "normalized_address_hash", F.col("sale_date").cast("timestamp").alias("created_at"),
+        F.col("sale_date").cast("timestamp").alias("observed_at"),
+        F.struct("l_orderkey", "flag", F.col("sale_price").alias("price"), "normalized_address").alias("seq"))
+    return merge.team_sales(log)
+
+
 # --- runs and queues --------------------------------------------------------------------
 
 @query
@@ -756,7 +797,8 @@ def office_guesses(s, p):
     """Office line after the name on profile pages composed around whole documents."""
     rows = d.table(s, p, "documents")
     body = F.concat(F.lit("Home\n Jane Doe \n12 Reviews\nContact us\n"), F.col("source"), F.lit(" Realty\n"),
-                    F.col("text"), F.lit("\n1,234 Total sales\n$450,000 Average price"))
+                    F.col("text"), F.lit("\n"), F.format_number("n_chars", 0), F.lit(" Total sales\n$"),
+                  F.format_number(F.col("n_chars") * 7, 0), F.lit(" Average price"))
     made = rows.select("doc_id", F.lit("Jane Doe").alias("profile_name"), body.alias("body"))
     return directory_source.profile_page(made).select("doc_id", "office_name", "total_sales", "average_price")
 

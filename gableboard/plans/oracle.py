@@ -321,7 +321,7 @@ ORDER BY sides DESC, volume DESC, brokerage LIMIT 20"""
   max(close_date) AS date_max, CAST(sum(coalesce(sale_price, 0)) AS BIGINT) AS volume FROM listings"""
     q["listing_stats"] = _with(LISTINGS) + totals + " WHERE status = 'Closed'"
     q["listing_stats_all"] = _with(LISTINGS) + totals
-    q["town_counts_thin"] = _with(*_L) + """SELECT city, CAST(count(*) AS BIGINT) AS n, count(*) < 50 AS thin FROM base
+    q["town_counts_thin"] = _with(*_L) + """SELECT city, CAST(count(*) AS BIGINT) AS n, count(*) < 160 AS thin FROM base
 WHERE city IS NOT NULL GROUP BY city"""
 
     q["scoped_agents"] = _with(LISTINGS) + _scoped_ctes("listing", "data_source = 'feed_a'", "agent_name") + \
@@ -365,8 +365,8 @@ AND lower(city) IN ('nation_3', 'nation_4') AND days_on_market >= 30"""
     q["stale_listings"] = _with(LISTINGS) + """SELECT detail_url, address, city, status, list_price, list_date, days_on_market, beds, baths,
   sqft, property_type, listing_agent, listing_agent_email, listing_office FROM listings WHERE status = 'Active' AND days_on_market >= 60"""
     q["new_since"] = _with(LISTINGS) + """SELECT detail_url, address, city, status, list_price, list_date, beds, baths, sqft, listing_agent,
-  listing_agent_email, listing_office, last_seen_at AS first_snap FROM listings
-WHERE status IN ('Active', 'Pending') AND last_seen_at >= TIMESTAMP '2000-01-01'"""
+  listing_agent_email, listing_office, least(discovered_at, last_seen_at) AS first_snap FROM listings
+WHERE status IN ('Active', 'Pending') AND least(discovered_at, last_seen_at) >= TIMESTAMP '2000-01-01'"""
     q["history_changes"] = _with(_OBSERVATIONS, _HISTORY) + "SELECT detail_url, snapshot_date, seq, status, list_price FROM history"
     q["listing_timeline"] = _with(_OBSERVATIONS, _HISTORY) + """SELECT detail_url, snapshot_date, seq, status, list_price,
   lead(snapshot_date) OVER (PARTITION BY detail_url ORDER BY snapshot_date, seq) AS valid_to FROM history"""
@@ -423,11 +423,35 @@ FROM keyed GROUP BY observation_id"""
   {newest('sale_price', 'closing_price')}, {newest('status', 'represented')}, {oldest('listing_agent', 'address')}, '' AS city_state,
   CAST(NULL AS VARCHAR) AS beds, CAST(NULL AS VARCHAR) AS baths, min(observed_at) AS created_at FROM obs GROUP BY 1, 2"""
     q["member_profiles"] = _with(_PROFILES) + """, linked AS (
-  SELECT 'https://example.com/profile/' || l_partkey AS profile_url, 'Member ' || arg_max(l_suppkey, (first_at, l_suppkey)) AS name
+  SELECT 'https://example.com/profile/' || (l_partkey * 2) AS profile_url, 'Member ' || arg_max(l_suppkey, (first_at, l_suppkey)) AS name
   FROM (SELECT l_suppkey, l_partkey, min(l_shipdate) AS first_at FROM lineitem GROUP BY 1, 2) GROUP BY l_partkey)
 SELECT profile_url, CASE WHEN l.name IS NOT NULL THEN 'individual' ELSE profile_type END AS profile_type,
   coalesce(l.name, profile_name) AS profile_name FROM profiles FULL OUTER JOIN linked l USING (profile_url)"""
 
+    q["merge_profile_status"] = _with(_OBSERVATIONS) + f"""SELECT detail_url AS profile_url, {k2('listing_agent', 'profile_name')},
+  {k2('listing_office', 'office_name')}, CAST(arg_max(page, {at}) AS BIGINT) AS sales_last_12_months,
+  CAST(100 * arg_max(list_price, {at}) FILTER (WHERE list_price IS NOT NULL) AS BIGINT) AS total_sales,
+  CAST(1000 * arg_max(sale_price, {at}) FILTER (WHERE sale_price IS NOT NULL) AS BIGINT) AS average_price,
+  arg_max(town, {at}) FILTER (WHERE page > 50) AS price_range, {newest('outcome', 'scrape_status')},
+  arg_max_null(CASE WHEN outcome <> 'success' THEN town END, {at}) AS last_error, max(observed_at) AS last_scraped_at,
+  CAST(count(*) AS BIGINT) AS scrape_attempts FROM obs GROUP BY 1"""
+    line = "(l_shipdate, l_orderkey, l_linenumber, l_partkey, l_returnflag)"
+    q["merge_team_members"] = f"""SELECT l_suppkey AS team_profile_url, l_partkey % 50 AS member_profile_url,
+  arg_max('Part ' || l_partkey || l_returnflag, {line}) FILTER (WHERE l_returnflag <> 'R') AS member_name,
+  min(l_shipdate) AS discovered_at FROM lineitem GROUP BY 1, 2"""
+    place = "(sale_date, l_orderkey, flag, sale_price, normalized_address)"
+    q["merge_team_sales"] = _with(_SALES, _KEYED) + f""", made AS (SELECT *, lower(represented_side) AS side, left(transaction_match_key, 2) AS k FROM keyed)
+SELECT profile_url AS team_profile_url, side AS represented_side, k AS transaction_match_key,
+  CASE WHEN bool_or(flag = 'A') THEN 'Team ' || any_value(l_suppkey) END AS team_name,
+  'https://example.com/home/' || arg_max(l_orderkey, {place}) AS property_url,
+  arg_max(city, {place}) FILTER (WHERE sale_price > 30000) AS local_town, arg_min(sale_date, {place}) AS sale_date,
+  arg_min(sale_price, {place}) AS sale_price, arg_min(normalized_address, {place}) AS normalized_address,
+  arg_min(normalized_address_hash, {place}) AS normalized_address_hash, CAST(min(sale_date) AS TIMESTAMP) AS created_at
+FROM made WHERE flag <> 'R' GROUP BY 1, 2, 3
+UNION ALL SELECT profile_url, side, NULL, CAST(NULL AS VARCHAR), 'https://example.com/home/' || l_orderkey,
+  CASE WHEN sale_price > 30000 THEN city END, sale_date, sale_price, normalized_address, normalized_address_hash,
+  CAST(sale_date AS TIMESTAMP) FROM made WHERE flag = 'R'"""
+
     q["run_deltas"] = _with(_OBSERVATIONS, _MARKED) + """SELECT run, town, CAST(count(*) AS BIGINT) AS listings,
   CAST(count(*) FILTER (WHERE is_new) AS BIGINT) AS new_listings, CAST(count(*) FILTER (WHERE changed) AS BIGINT) AS status_changes
 FROM marked GROUP BY 1, 2"""
@@ -595,8 +619,8 @@ SELECT * FROM tries LEFT JOIN good USING (profile_url)"""
 WHERE address IS NOT NULL AND status = 'Closed'"""
     q["search_cards_active"] = _with(LISTINGS) + f"""SELECT {_CARD_FIELDS}, CAST(NULL AS BIGINT) AS sale_price, list_price FROM listings
 WHERE address IS NOT NULL AND status <> 'Closed'"""
-    q["page_counters"] = _with(LISTINGS) + """SELECT mls_number AS page_id, 1 AS page, 90 AS pages, CAST(1234 AS BIGINT) AS results
-FROM listings WHERE address IS NOT NULL"""
+    q["page_counters"] = _with(LISTINGS) + """SELECT mls_number AS page_id, enrichment_attempts AS page, year_built AS pages,
+  CAST(sqft AS BIGINT) AS results FROM listings"""
     q["detail_fields"] = _with(LISTINGS) + """SELECT detail_url, listing_agent, listing_agent_email, listing_office, buyer_agent,
   buyer_office || '/North' AS buyer_office, sale_price, list_price, close_date, mls_number, status,
   coalesce(days_on_market, 0) AS days_on_market, coalesce(lot_sqft, 0) + 1 AS lot_sqft, 'Say \\"' || description || '\\" twice' AS description,
@@ -637,8 +661,8 @@ FROM (SELECT page_id, lower(html) || ' ' || lower(url) AS t FROM pages)"""
 FROM (SELECT doc_id, lower(raw) AS t, raw, code FROM (SELECT doc_id, text || CASE source WHEN 'src0' THEN ' Please VERIFY you are human'
   WHEN 'src1' THEN ' Access Denied' WHEN 'src2' THEN ' see /profile/x' ELSE '' END AS raw,
   CASE lang WHEN 'en' THEN 429 WHEN 'fr' THEN 500 ELSE 200 END AS code FROM documents))"""
-    q["office_guesses"] = """SELECT doc_id, source || ' Realty' AS office_name, CAST(1234 AS BIGINT) AS total_sales,
-  CAST(450000 AS BIGINT) AS average_price FROM documents"""
+    q["office_guesses"] = """SELECT doc_id, source || ' Realty' AS office_name, CAST(n_chars AS BIGINT) AS total_sales,
+  CAST(n_chars * 7 AS BIGINT) AS average_price FROM documents"""
 
     price = "sale_price"
     q["currency_labels"] = _with(LISTINGS) + f"""SELECT detail_url, {_money(price)} AS short, {_money_na("(sale_price * 10000)")} AS long,

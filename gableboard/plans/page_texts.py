@@ -12,17 +12,18 @@ def _text(*parts):
 
 
 def search_pages(listings: DataFrame) -> DataFrame:
-    """A page with one card per listing that has a first line."""
+    """A page per listing, with its card; a listing without a first line has a page without a card."""
     c = F.col
     price = F.format_number(F.coalesce("sale_price", "list_price"), 0)
     badge = F.when(c("status") == "Active", "New Listing").otherwise(c("status"))
     card = _text(
-        "1 of 90 pages, 1,234 Results\n[![Thumb](https://example.com/a.jpg)\n$ ", price, " ", badge, BREAK,
+        "[![Thumb](https://example.com/a.jpg)\n$ ", price, " ", badge, BREAK,
         "**", c("address"), "** **", c("city"), ", ", c("state"), " ", c("zip"), "**", BREAK,
         c("beds"), " Beds", BREAK, c("beds"), " Baths", BREAK, F.format_number("sqft", 0), " sqft", BREAK,
         "Brought to you by ", c("listing_office"), "](https://example.com/listings/", c("detail_url"), ")\n")
-    return listings.filter(c("address").isNotNull()).select(
-        c("mls_number").alias("page_id"), card.alias("text"))
+    counters = _text(c("enrichment_attempts"), " of ", c("year_built"), " pages, ", F.format_number("sqft", 0), " Results\n")
+    return listings.select(
+        c("mls_number").alias("page_id"), F.concat(counters, F.coalesce(card, F.lit(""))).alias("text"))
 
 
 def detail_pages(listings: DataFrame) -> DataFrame:

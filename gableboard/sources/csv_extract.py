@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gableboard.functions.names import blank_to_null, in_towns, place_name
@@ -21,10 +23,25 @@ HEADERS = {
 LINK_HEADER = "URL (SEE"
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, named by the file's header."""
-    return spark.read.option("header", True).option("multiLine", True).option(
-        "escape", '"').csv(path)
+def read(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """All columns as text, each file by its own header; what a file lacks is null.
+
+    Files are read together with those of the same header. With `multi_line` quoted values may
+    hold line breaks, and a file is one task; without it, large files are split.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"), "value")
+    # The driver holds one line of each file, which it lists anyway.
+    heads = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("head")).collect()
+    by_head: dict[str, list[str]] = {}
+    for r in sorted(heads, key=lambda r: r["file"]):
+        by_head.setdefault(r["head"], []).append(r["file"])
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    if len(by_head) < 2:
+        return reader.csv(path)
+    parts = [reader.csv(files) for files in by_head.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def sales(extract: DataFrame, *, source: str, cutoff) -> DataFrame:
