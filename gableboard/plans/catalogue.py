@@ -406,12 +406,17 @@ def run_deltas(s, p):
 
 @query
 def run_anomaly(s, p):
-    return runs.anomalies(runs.deltas(d.observations(s, p)), towns_expected=9)
+    """A run is a minute, so that quiet ones occur."""
+    log = d.observations(s, p).withColumn("run", F.date_trunc("minute", "observed_at"))
+    return runs.anomalies(runs.deltas(log), towns_expected=1)
 
 
 @query
 def run_outcome(s, p):
-    return runs.outcomes(d.observations(s, p))
+    """Two runs a day, a large and a small one."""
+    part = F.when(F.col("page") < 75, "day").otherwise("night")
+    log = d.observations(s, p).withColumn("run", F.concat_ws(" ", F.col("run").cast("string"), part))
+    return runs.outcomes(log)
 
 
 @query

@@ -455,11 +455,11 @@ UNION ALL SELECT profile_url, side, NULL, CAST(NULL AS VARCHAR), 'https://exampl
     q["run_deltas"] = _with(_OBSERVATIONS, _MARKED) + """SELECT run, town, CAST(count(*) AS BIGINT) AS listings,
   CAST(count(*) FILTER (WHERE is_new) AS BIGINT) AS new_listings, CAST(count(*) FILTER (WHERE changed) AS BIGINT) AS status_changes
 FROM marked GROUP BY 1, 2"""
-    q["run_anomaly"] = _with(_OBSERVATIONS, _MARKED) + """SELECT run, CAST(count(DISTINCT town) AS BIGINT) AS towns_seen,
+    q["run_anomaly"] = _with(_OBSERVATIONS, _MARKED) + """SELECT date_trunc('minute', observed_at) AS run, CAST(count(DISTINCT town) AS BIGINT) AS towns_seen,
   CAST(count(*) AS BIGINT) AS listings, CAST(count(*) FILTER (WHERE is_new) AS BIGINT) AS new_listings,
   CAST(count(*) FILTER (WHERE changed) AS BIGINT) AS status_changes,
-  count(DISTINCT town) >= 9 AND count(*) FILTER (WHERE is_new OR changed) = 0 AS suspicious FROM marked GROUP BY 1"""
-    q["run_outcome"] = _with(_OBSERVATIONS) + """SELECT run, CAST(count(*) FILTER (WHERE outcome = 'success') AS BIGINT) AS enriched,
+  count(DISTINCT town) >= 1 AND count(*) FILTER (WHERE is_new OR changed) = 0 AS suspicious FROM marked GROUP BY 1"""
+    q["run_outcome"] = _with(_OBSERVATIONS) + """SELECT run || CASE WHEN page < 75 THEN ' day' ELSE ' night' END AS run, CAST(count(*) FILTER (WHERE outcome = 'success') AS BIGINT) AS enriched,
   CAST(count(*) FILTER (WHERE outcome <> 'success') AS BIGINT) AS failed, CAST(count(*) AS BIGINT) AS total,
   round(count(*) FILTER (WHERE outcome = 'success') / count(*) * 100, 1) AS success_pct,
   CASE WHEN count(*) FILTER (WHERE outcome <> 'success') * 10 > count(*) FILTER (WHERE outcome = 'success') AND count(*) > 100
