@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,7 +37,7 @@ def read(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFram
     heads = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("head")).collect()
     by_head: dict[str, list[str]] = {}
     for r in sorted(heads, key=lambda r: r["file"]):
-        by_head.setdefault(r["head"], []).append(r["file"])
+        by_head.setdefault(r["head"], []).append(unquote(r["file"]))  # the column holds an encoded path
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if len(by_head) < 2:
         return reader.csv(path)

@@ -128,7 +128,7 @@ def test_csv_extract(spark, tmp_path):
 
 def test_csv_extracts_of_other_header_order(spark, tmp_path):
     (tmp_path / "a.csv").write_text("MLS#,CITY,ADDRESS,SOLD DATE\nm1,York,1 A St,June-30-2025\n")
-    (tmp_path / "b.csv").write_text("CITY,SOLD DATE,MLS#,PRICE\nSaco,June-29-2025,m2,7\n")
+    (tmp_path / "b 1%20.csv").write_text("CITY,SOLD DATE,MLS#,PRICE\nSaco,June-29-2025,m2,7\n")
     (tmp_path / "c.csv").write_text("MLS#,CITY,ADDRESS,SOLD DATE\nm3,York,\"3 C St\nrear\",June-30-2025\n")
     got = csv_extract.sales(csv_extract.read(spark, str(tmp_path)), source="extract", cutoff="2023-01-01").orderBy("mls_number").collect()
     assert [(r.mls_number, r.city, r.address, r.sale_price, r.sale_date.day) for r in got] == [
