@@ -7,10 +7,11 @@ Texts with equal sets form one node. The join of nodes goes through four steps,
    all shingles, have a member in common. The order puts shingles that very many sets share last, so that
    a common passage is no key unless a set holds little else; among the others it follows the hash.
 2. Stars. Within a key only pairs with the key's first node (by a random priority) are looked at, one
-   per node, however many share the key.
+   per node, however many share the key. In keys with nodes left apart, its next few nodes get stars too.
 3. Checks. A pair passes the ratio of sizes, then an upper bound of the overlap from bitmaps of hashed
    shingles (|A and B| <= |A| - |bits of A only|), then the exact intersection of the sorted arrays.
-4. Tiles. A key all of whose nodes are connected by now is done. In the others, nodes are sorted by size
+4. Tiles. A key all of whose nodes are connected by now is done, and so is one with no more nodes than
+   the stars have paired with each other. In the others, nodes are sorted by size
    and cut into tiles of bounded size; pairs of tiles whose sizes allow a link are compared by bitmaps,
    only across different components, and what is left is checked as in step 3.
 
@@ -25,7 +26,6 @@ the smallest id that is not null, if any. Shingles and sets are known by 64-bit
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -46,7 +46,7 @@ SHARE = 1 / (1 << 20)
 #: Bits of the filter that tells which sets are needed; a full filter only costs time.
 FILTER_BITS = 1 << 23
 TILE = 1024
-#: Stars in the second round, each around another node of every key.
+#: Stars in the second round, around the second and further nodes of a key; each takes the nodes after it.
 STARS = 4
 _C1, _C2 = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 
@@ -245,9 +245,8 @@ def _distinct_groups(rows: DataFrame) -> DataFrame:
 def _tiled_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs within a key, of different roots, that sizes and bitmaps leave possible.
 
-    rows: key, node, root; nodes: node, n, sig."""
+    rows: key, node, n, root; nodes: node, n, sig."""
     own = rows.groupBy("node").agg(F.collect_set("key").alias("keys"))  # no more than a node's prefix
-    rows = rows.join(nodes.select("node", "n"), "node")
     place = F.row_number().over(W.partitionBy("key").orderBy("n", "node"))
     cut = written(rows.withColumn("tile", F.floor((place - 1) / TILE).cast("int")), "tiles")
     tiles = cut.groupBy("key", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
@@ -324,13 +323,20 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "do
     by_hash = np.argsort(shingle)
     common = spark.sparkContext.broadcast((shingle[by_hash], rank[by_hash]))
 
-    first = W.partitionBy("key").orderBy("prior", "node")
-    rows = _keys(docs, k, percent, common).withColumn("prior", F.xxhash64("node", F.lit(0)))
-    # The ordered window streams: no key's rows are held together.
+    def sizes_fit(n, m):
+        return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+    sizes = nodes.select("node", "n")
+    # The ordered windows stream: no key's rows are held together.
+    first = W.partitionBy("key").orderBy(F.xxhash64("node", F.lit(0)), "node")
+    # The order is worked out after the shuffle, so that keys travel as two numbers.
+    rows = _keys(docs, k, percent, common).select("key", "node").repartition("key")
     shared = written(rows.withColumn("hub", F.first("node").over(first)).filter("hub != node")
                      .select("key", "hub", "node").distinct(), "shared")
     pairs = written(shared.select("hub", "node").distinct(), "stars")
-    links = written(_checked(docs, k, percent, pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")), nodes), "links")
+    near = pairs.join(sizes, "node").join(sizes.toDF("hub", "hub_n"), "hub").filter(sizes_fit(F.col("hub_n"), F.col("n")))
+    near = near.select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    links = written(_checked(docs, k, percent, near, nodes), "links")
     roots = written(components(links), "roots")
 
     def rooted(df, node="node", root="root"):
@@ -338,25 +344,26 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "do
         return df.join(known, node, "left").withColumn(root, F.coalesce(root, node))
 
     # Keys with nodes apart; with one node beside its hub, a key's only pair has been checked.
-    apart = rooted(rooted(pairs), "hub", "hub_root").filter("root != hub_root").select("hub", "node")
-    keys = shared.join(apart, ["hub", "node"], "left_semi").select("key").distinct()
+    apart = rooted(rooted(pairs), "hub", "hub_root").filter("root != hub_root").select("hub", "node", F.lit(1).alias("apart"))
+    keys = (shared.join(apart, ["hub", "node"], "left").groupBy("key")
+            .agg(F.count("*").alias("c"), F.max("apart").alias("apart")).filter("c > 1 and apart = 1").select("key"))
     rest = shared.join(keys, "key", "left_semi")
-    more = rest.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    rest = rest.join(more, "key", "left_semi")
-    opened = _distinct_groups(written(rest.select("key", "node").union(rest.select("key", "hub")).distinct(), "open"))
-    opened = written(rooted(opened), "open")
+    opened = written(rest.select("key", "node").union(rest.select("key", "hub")).distinct(), "open")
+    opened = written(rooted(_distinct_groups(opened).join(sizes, "node")), "open")
     if not opened.isEmpty():
-        # More stars, each around a node of its own for each key.
-        again = []
-        for turn in range(1, STARS + 1):
-            prior = W.partitionBy("key").orderBy(F.xxhash64("node", "key", F.lit(turn)), "node")
-            star = opened.withColumn("a", F.first("node").over(prior)).withColumn("a_root", F.first("root").over(prior))
-            again.append(star.filter("root != a_root").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
-        again = written(reduce(DataFrame.union, again).distinct(), "stars")
+        # A row sees only the centres that come before it in its key, so a pair is made once a key.
+        centre = F.struct("node", "n", "root")
+        centres = [F.nth_value(centre, turn + 1).over(first) for turn in range(1, STARS + 1)]
+        again = opened.withColumn("centres", F.array(*centres))
+        again = again.withColumn("centre", F.explode(F.filter(
+            "centres", lambda c: c.isNotNull() & (c["root"] != F.col("root")) & sizes_fit(c["n"], F.col("n")))))
+        again = again.select(F.least("centre.node", "node").alias("a"), F.greatest("centre.node", "node").alias("b"))
+        again = written(again.distinct(), "stars")
         links = links.union(written(_checked(docs, k, percent, again, nodes), "links"))
         roots = written(components(links), "roots")
         opened = rooted(opened.drop("root"))
-        mixed = opened.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
+        mixed = (opened.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
+                 .filter(f"lo != hi and c > {STARS + 2}").select("key"))
         pairs = written(_tiled_pairs(opened.join(mixed, "key", "left_semi"), nodes, percent), "tiled")
         if not pairs.isEmpty():
             links = links.union(written(_checked(docs, k, percent, pairs, nodes), "links"))
