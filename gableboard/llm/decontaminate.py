@@ -180,7 +180,9 @@ def hits(docs: DataFrame, items: DataFrame, size: int = SIZE, shingle: int = SHI
                .withColumn("new", F.greatest(F.lit(0), F.col("start") + F.col("m") - reach)).groupBy(*row).agg(F.sum("new").alias("n_hit")))
     of = (occurrences.select(*row, "window").distinct().join(windows.select("item_id", "window").distinct(), "window")
           .groupBy(*row).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
-    both = covered.join(of, row).select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "n_hit", "items")
+    of = of.select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "items")
+    # A null id is an id here too.
+    both = covered.join(of, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))).select("d", "g", "n_hit", "items")
     same = documents["doc_id"].eqNullSafe(both["d"]) & (documents["h"] == both["g"])
     return documents.join(both, same, "left").select(
         "doc_id", "h", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),

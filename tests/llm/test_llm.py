@@ -146,6 +146,16 @@ def test_contamination_equals_all_windows(spark, docs):
         assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_contamination_of_rows_without_an_id(spark):
+    item = "a b c d e f g h i j k l m"
+    table = spark.createDataFrame([(None, item), (None, "clean"), (1, item), (2, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = sorted(((r.doc_id, r.n_hit, r["items"]) for r in decontaminate.hits(table, items).collect()), key=repr)
+    assert found == [(1, 13, ["7"]), (2, 0, []), (None, 0, []), (None, 13, ["7"])]
+    kept = sorted((tuple(r) for r in decontaminate.clean(table, items).collect()), key=repr)
+    assert kept == [(2, "clean"), (None, "clean")]
+
+
 def test_packing_keeps_every_id_and_capacity(spark, docs):
     tokenizers = pytest.importorskip("tokenizers")
     import public_tokenizers
