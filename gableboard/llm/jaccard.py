@@ -100,7 +100,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _described(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n, node, sig of every row; and rows of shingle, times for shingles often met in a task."""
+    """doc_id, h, n, node, sig of every row; and rows of shingle, times for shingles often met in a task."""
 
     def run(batches):
         seen, held, size = set(), [], 0
@@ -111,10 +111,10 @@ def _described(docs: DataFrame, k: int) -> DataFrame:
             found, times = found[many], times[many]
             nothing = lambda kind: pa.nulls(len(found), kind)
             return pa.RecordBatch.from_arrays(
-                [nothing(pa.int64()), nothing(pa.int64()), nothing(pa.int64()), nothing(pa.binary()),
+                [nothing(pa.int64()), nothing(pa.int64()), nothing(pa.int64()), nothing(pa.int64()), nothing(pa.binary()),
                  pa.array(_signed(found)), pa.array(times.astype(np.int64))], names)
 
-        names = ["doc_id", "n", "node", "sig", "shingle", "times"]
+        names = ["doc_id", "h", "n", "node", "sig", "shingle", "times"]
         for batch in batches:
             n, nodes, sigs = [], [], []
             for s in sets(batch.column(1), k):
@@ -133,12 +133,12 @@ def _described(docs: DataFrame, k: int) -> DataFrame:
                     held, size = [], 0
             rows = len(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()),
                  pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], names)
         if held:
             yield often()
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, sig binary, shingle long, times long")
+    return docs.mapInArrow(run, "doc_id long, h long, n long, node long, sig binary, shingle long, times long")
 
 
 def _keys(docs: DataFrame, k: int, percent: int, common) -> DataFrame:
@@ -305,12 +305,12 @@ def _tiled_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return placed.mapInArrow(run, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs."""
+def _rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, h, n, node, root (of the node's component) for every row of docs (doc_id, text, h); null without words."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    described = written(_described(docs, k), "described")
-    members = described.filter("n is not null").select("doc_id", "n", "node")
+    described = written(_described(docs.select("doc_id", "text", "h"), k), "described")
+    docs = docs.select("doc_id", "text")
+    members = described.filter("n is not null").select("doc_id", "h", "n", "node")
     # A task gives a node's bitmap once.
     nodes = written(described.filter("sig is not null").groupBy("node").agg(
         F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
@@ -369,18 +369,34 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "do
             links = links.union(written(_checked(docs, k, percent, pairs, nodes), "links"))
             roots = written(components(links), "roots")
 
-    placed = rooted(members.filter("node is not null"))
+    alone = members.filter("node is null").withColumn("root", F.lit(None).cast("long"))
+    return rooted(members.filter("node is not null")).select(*alone.columns).union(alone)
+
+
+def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of docs."""
+    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(0).cast("long").alias("h"))
+    members = _rooted(docs, k, percent)
+    placed = members.filter("root is not null")
     ids = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     found = placed.join(ids, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = members.filter("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    alone = members.filter("root is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return found.union(alone)
 
 
 def one_of_each(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs whose id is the smallest of their component, or null; of equal ids one row each."""
+    """One row of docs for each component: that of the smallest id, a null one being the largest, then of the
+    smallest hash. Rows that share an id, or have none, are rows of their own; those without words all stay."""
     names = docs.columns
-    kept = join(docs, k, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    once = W.partitionBy("doc_id").orderBy(F.xxhash64(*names))
-    chosen = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
+    # A row is known by its hash and its id; the hash tells a null id from 0.
+    row = {"_h": F.xxhash64(*names), "_k": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))}
+    members = _rooted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row["_h"].alias("h")), k, percent)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "h")).alias("least")
+    kept = members.filter("root is not null").groupBy("root").agg(least).select(
+        F.col("least.h").alias("_h"), F.coalesce("least.doc_id", F.lit(0).cast("long")).alias("_k"))
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    chosen = docs.filter(has_words).withColumns(row).join(kept, ["_h", "_k"], "left_semi")
+    # Equal rows are one row.
+    once = W.partitionBy("_h", "_k").orderBy("_h")
     chosen = chosen.withColumn("_nth", F.row_number().over(once)).filter("_nth = 1")
-    return chosen.select(*names).union(docs.filter("doc_id is null"))
+    return chosen.select(*names).union(docs.filter(~has_words))

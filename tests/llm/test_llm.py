@@ -65,6 +65,16 @@ def test_jaccard_components_equal_all_pairs(spark, docs):
     assert ids.pop(None) == 2 and set(ids.values()) == {1}
 
 
+def test_one_of_each_by_rows_not_ids(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    rows = [(3, x), (5, x + " more"), (5, y), (None, z), (None, z), (None, z + " more"), (None, y), (0, None), (None, None), (8, " "), (8, " ")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in jaccard.one_of_each(table).collect()]
+    least = {r for r in kept if r[1] and r[1].startswith("z")}
+    assert len(least) == 1 and least <= {(None, z), (None, z + " more")}
+    assert sorted(kept, key=repr) == sorted([(3, x), (5, y), *least, (0, None), (None, None), (8, " "), (8, " ")], key=repr)
+
+
 def test_jaccard_tiles_find_what_stars_miss(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "STARS", 1)
     # A chain: each text is linked with the next few only.
