@@ -1,19 +1,18 @@
 """Language-model scoring with a probabilistic suffix tree.
 
 The model predicts a text token by token: words with A-Z folded, then the end. Its contexts are the last
-bytes before a word, up to `depth`; its symbols are the end, the words that hold more than 1 / MOST_SYMBOLS
-of all tokens, and one symbol for every other word. The counts come from all training texts. A context is
-kept if its next-symbol distribution diverges enough from that of the context one byte shorter: count *
-KL(context || shorter), the bits it saves, must exceed a fixed share of the bits of the whole corpus. As
-all contexts of one length together can save no more than those, at most MOST_CONTEXTS of each length are
-kept at any size of the corpus, so the tree may be broadcast. A kept context's distribution is smoothed
-towards its parent's, (count + weight * parent) / (total + weight), and the empty one's towards the words'
-shares. The longest kept suffix of what came before a token scores it; a word without a symbol of its own
-gets the other words' probability times its share (count + 1) / (their tokens + their number + 1).
-
-The words' counts are complete: every distinct word of the training texts counts. They are joined, never
-broadcast: documents are dealt into blocks of bounded size, a block's distinct words are counted, summed
-over all blocks by word, and returned to the block, where its texts are scored.
+bytes before a word, up to `depth`; its symbols are the end, the words seen LEAST times in training, and one
+symbol for every other word. The counts come from all training texts. A context is kept if its next-symbol
+distribution diverges enough from that of the context one byte shorter: count * KL(context || shorter), the
+bits it saves, must exceed COST bits for each symbol seen in it. Neither bound knows the size of the corpus, so
+more text gives more symbols and more contexts. A kept context's distribution is smoothed towards that of
+the longest kept one before it, (count + weight * that) / (total + weight), and the empty one's towards the
+words' shares. The longest kept suffix of what came before a token scores it; a word without a symbol of its
+own gets the other words' probability times its share (count + 1) / (their tokens + their number + 1).
+
+Words and tree are tables; they are joined, never broadcast or collected. Documents are dealt into blocks of
+bounded size, and a block's distinct pairs of context and word are counted. Their sums over all blocks are
+the words' counts and the tree's; what a block's pairs get from both returns to it, where its texts are scored.
 
 A null text is empty and consists of the end alone. Rows that repeat are scored one by one. Without
 training texts all counts are 0. Words are known by 64-bit hashes.
@@ -22,7 +21,6 @@ training texts all counts are 0. Words are known by 64-bit hashes.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +32,11 @@ from gableboard.llm import text_bytes as tb
 from gableboard.llm.tables import written
 
 DEPTH, WEIGHT = 4, 8.0
-#: Bounds of the tree: symbols, and contexts of each length.
-MOST_SYMBOLS, MOST_CONTEXTS = 1 << 9, 1 << 14
+#: Training count from which a word is a symbol, and bits that a context must save for each symbol seen in it.
+LEAST, COST = 16, 8.0
 SPACE = 0x20
-BLOCK_BYTES, COUNT_AT_ONCE = 24 << 20, 1 << 22
-END_WORD = int(tb.mix(np.array([0x5EED], np.uint64)).view(np.int64)[0])
+BLOCK_BYTES = 24 << 20
+END_WORD, OTHER = (int(x) for x in tb.mix(np.array([0x5EED, 0x07E4], np.uint64)).view(np.int64))
 
 
 def stream(data: np.ndarray, offsets: np.ndarray):
@@ -74,109 +72,60 @@ def tokens(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> tuple[n
     return words, code, first + np.arange(len(first))
 
 
-def symbol_of(words: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Index of each word in the sorted array `known`, or its length."""
-    at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-    return np.where(known[at] == words, at, len(known))
-
-
-def _followers(texts: DataFrame, known: np.ndarray, depth: int) -> DataFrame:
-    """code (context, then 16 bits of symbol), n: over all texts."""
-
-    def run(batches):
-        codes, times, held, size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
-
-        def merged():
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            both, at = np.unique(np.concatenate([codes, found]), return_inverse=True)
-            return both, np.bincount(at, np.concatenate([times, n]), len(both)).astype(np.int64)
-
-        for batch in batches:
-            data, offsets = tb.utf8(batch.column(0))
-            for i, j in tb.groups(offsets):
-                words, context, _ = tokens(data, offsets[i:j + 1], depth)
-                held.append((context << 16) | symbol_of(words, known))
-                size += len(words)
-                if size >= COUNT_AT_ONCE:
-                    codes, times = merged()
-                    held, size = [], 0
-        if held:
-            codes, times = merged()
-        for a in range(0, len(codes), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(codes[a:a + (1 << 16)]), pa.array(times[a:a + (1 << 16)])], ["code", "n"])
-
-    return texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Model:
-    known: np.ndarray  # hashes of the words that are symbols, sorted
-    contexts: list[np.ndarray]  # of each length from 1 on, sorted
-    logs: np.ndarray  # log10 of each symbol's probability in the empty context and in those, in this order
-    rest: float  # tokens and words without a symbol of their own, plus 1
-
-    def log10(self, words: np.ndarray, code: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each token; counts: its count in training."""
-        state, base = np.zeros(len(code), np.int64), 1
-        for d, kept in enumerate(self.contexts, 1):
-            if len(kept):
-                short = code & ((1 << 8 * d) - 1)
-                at = np.minimum(np.searchsorted(kept, short), len(kept) - 1)
-                state = np.where(kept[at] == short, base + at, state)
-            base += len(kept)
-        symbol = symbol_of(words, self.known)
-        out = self.logs[state, symbol].astype(float)
-        return out + np.where(symbol == len(self.known), np.log10((counts + 1.0) / self.rest), 0)
-
-
-def fit(texts: DataFrame, known: list[tuple[int, int]], total: int, distinct: int, depth: int = DEPTH, weight: float = WEIGHT) -> Model:
-    """Learn from every row of `texts` (one column). known: hash and count of the words that are symbols;
-    total, distinct: all training tokens, and how many differ."""
-    known = sorted(known)
-    words, counts = np.array([w for w, _ in known], np.int64), np.array([c for _, c in known], np.int64)
-    size = len(words) + 1
-    rest = total - counts.sum() + distinct - (counts > 0).sum() + 1
-    orders = {depth: written(_followers(texts, words, depth), "followers")}
+def pair_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """A hash of each pair."""
+    return tb.mix(tb.mix(context.astype(np.uint64)) + symbol.view(np.uint64))
+
+
+def _met(table: pa.Table) -> pa.Table:
+    """block, context, word, n: the distinct pairs of a block, and how often each occurs in training."""
+    learn = table.column("training").to_numpy().astype(bool)
+    data, offsets = tb.utf8(table.column("text"))
+    parts = []
+    for i, j in tb.groups(offsets, 4 * tb.CHUNK):
+        words, code, first = tokens(data, offsets[i:j + 1])
+        _, at, of = np.unique(pair_keys(code, words), return_index=True, return_inverse=True)
+        learned = np.repeat(learn[i:j], np.diff(first))
+        parts.append((code[at], words[at], np.bincount(of, learned, len(at))))
+    code, words, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    _, at, of = np.unique(pair_keys(code, words), return_index=True, return_inverse=True)
+    n = np.bincount(of, n, len(at)).astype(np.int64)
+    block = pa.array(np.full(len(at), table.column("block")[0].as_py(), np.int32))
+    return pa.table({"block": block, "context": code[at], "word": words[at], "n": n})
+
+
+def tree(pairs: DataFrame, total: int, distinct: int, rest: int, depth: int = DEPTH, weight: float = WEIGHT,
+         cost: float = COST) -> DataFrame:
+    """context, symbol, p, length (of the longest kept suffix) for every pair of `pairs` (context, symbol, n;
+    a pair that is not in training has n = 0).
+
+    total, distinct: all training tokens, and how many differ; rest: tokens and words without a symbol of
+    their own, plus 1."""
+    short = lambda d: F.col("context").bitwiseAND(F.lit((1 << 8 * d) - 1))
+    summed = lambda df: df.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    orders = {depth: written(summed(pairs), "followers")}
     for d in range(depth - 1, -1, -1):
-        orders[d] = written(orders[d + 1].groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * d + 16) - 1)).alias("code"))
-                            .agg(F.sum("n").alias("n")), "followers")
-    share = np.append(counts + 1.0, rest) / (total + distinct + 1)
-    share /= share.sum()
-
-    def rows(df, kept):
-        table = np.zeros((len(kept), size))
-        found = df.toArrow()
-        code = found.column("code").to_numpy()
-        table[np.searchsorted(kept, code >> 16), code & 0xFFFF] = found.column("n").to_numpy()
-        return table
-
-    contexts, tables = [], [rows(orders[0], np.zeros(1, np.int64))]
-    tables[0] = (tables[0] + weight * share) / (tables[0].sum() + weight)
+        orders[d] = written(summed(orders[d + 1].select(short(d).alias("context"), "symbol", "n")), "followers")
+    # Without training, the end and the others share all.
+    share = F.when(F.col("symbol") == OTHER, F.lit(rest)).otherwise(F.col("n") + 1) / F.lit(total + distinct + 1 + (total == 0))
+    level = orders[0].select("context", "symbol", "n", F.lit(total).cast("long").alias("all"), F.lit(0).alias("length"),
+                             ((F.col("n") + weight * share) / F.lit(total + weight)).alias("p"))
     for d in range(1, depth + 1):
-        own = orders[d].select("code", "n", F.shiftright("code", 16).alias("context"),
-                               F.col("code").bitwiseAND(F.lit((1 << 8 * (d - 1) + 16) - 1)).alias("short"))
-        parent = orders[d - 1].select(F.col("code").alias("short"), F.col("n").alias("m"))
-        sums = orders[d - 1].groupBy(F.shiftright("code", 16).alias("above")).agg(F.sum("n").alias("all"))
-        joined = own.join(parent, "short").withColumn("above", F.shiftright("short", 16)).join(sums, "above")
-        saved = F.sum(F.col("n") * F.log2(F.col("n") * F.col("all") / F.col("m")))
-        each = joined.groupBy("context").agg(saved.alias("s"), F.sum("n").alias("c"))
-        least = total * math.log2(size + 1) / MOST_CONTEXTS
-        kept = each.filter(F.col("s") - F.col("c") * F.log2("c") > least).select("context")
-        kept = written(kept, "contexts")
-        found = np.sort(kept.toArrow().column("context").to_numpy())
-        table = rows(own.join(kept, "context", "left_semi").select("code", "n"), found)
-        for i, c in enumerate(found):
-            # The longest kept suffix; its rows stand before.
-            above = tables[0][0]
-            for e in range(d - 1, 0, -1):
-                at = int(np.searchsorted(contexts[e - 1], c & ((1 << 8 * e) - 1)))
-                if at < len(contexts[e - 1]) and contexts[e - 1][at] == c & ((1 << 8 * e) - 1):
-                    above = tables[e][at]
-                    break
-            table[i] = (table[i] + weight * above) / (table[i].sum() + weight)
-        contexts.append(found)
-        tables.append(table)
-    return Model(words, contexts, np.log10(np.concatenate(tables)).astype(np.float32), float(rest))
+        above = level.select(F.col("context").alias("above"), "symbol", F.col("n").alias("m"), "all", "length", "p")
+        own = orders[d].withColumn("above", short(d - 1)).join(above, ["above", "symbol"]).drop("above")
+        own = written(own, "suffixes")
+        seen = F.col("n") > 0
+        each = own.groupBy("context").agg(
+            F.sum(F.when(seen, F.col("n") * F.log2(F.col("n") / F.col("m"))).otherwise(0.0)).alias("s"), F.sum("n").alias("c"),
+            F.count(F.when(seen, True)).alias("k"), F.max("all").alias("above_all"))
+        saves = F.col("s") + F.col("c") * F.log2(F.col("above_all") / F.col("c")) > cost * F.col("k")
+        each = each.select("context", "c", ((F.col("c") > 0) & F.coalesce(saves, F.lit(False))).alias("kept"))
+        if d <= 2:  # at most 65,536 contexts
+            each = F.broadcast(each)
+        level = own.join(each, "context").select(
+            "context", "symbol", "n", F.col("c").alias("all"), F.when(F.col("kept"), F.lit(d)).otherwise(F.col("length")).alias("length"),
+            F.when(F.col("kept"), (F.col("n") + weight * F.col("p")) / (F.col("c") + weight)).otherwise(F.col("p")).alias("p"))
+    return level.select("context", "symbol", "p", "length")
 
 
 def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -188,36 +137,34 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     blocks = max(1, math.ceil(size / block_bytes))
     placed = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
-    def vocabulary(table: pa.Table) -> pa.Table:
-        learn = table.column("training").to_numpy()
-        data, offsets = tb.utf8(table.column("text"))
-        parts, counts = [], []
-        for i, j in tb.groups(offsets, 16 * tb.CHUNK):
-            starts, ends, first = tb.spans(data, offsets[i:j + 1], tb.NOT_SPACE)
-            words, at = np.unique(tb.word_hashes(data, starts, ends).view(np.int64), return_inverse=True)
-            parts.append(words)
-            counts.append(np.bincount(at, np.repeat(learn[i:j], np.diff(first)), len(words)))
-        parts.append(np.array([END_WORD]))
-        counts.append(np.array([learn.sum()]))
-        words, at = np.unique(np.concatenate(parts), return_inverse=True)
-        n = np.bincount(at, np.concatenate(counts), len(words)).astype(np.int64)
-        block = pa.array(np.full(len(words), table.column("block")[0].as_py(), np.int32))
-        return pa.table({"block": block, "word": words, "n": n})
-
-    words = placed.groupBy("block").applyInArrow(vocabulary, "block int, word long, n long")
+    pairs = written(placed.groupBy("block").applyInArrow(_met, "block int, context long, word long, n long"), "pairs")
     # A word has at most one row for each block.
     of_word = W.partitionBy("word")
+    words = pairs.groupBy("block", "word").agg(F.sum("n").alias("n"))
     counted = written(words.withColumn("c", F.sum("n").over(of_word)).withColumn("once", F.min("block").over(of_word) == F.col("block")),
                       "words")
-    n, v = counted.agg(F.sum("n"), F.count(F.when(F.col("once") & (F.col("c") > 0), True))).first()
-    n, v = n or 0, v or 0
-    often = counted.filter(F.col("once") & ((F.col("c") > n / MOST_SYMBOLS) | (F.col("word") == END_WORD))).select("word", "c")
-    known = [tuple(r) for r in often.collect()] or [(END_WORD, 0)]
-    shared = spark.sparkContext.broadcast(fit(docs.filter("training").select("text"), known, n, v))
+    is_symbol = (F.col("c") >= LEAST) | (F.col("word") == END_WORD)
+    met_once = F.col("once") & (F.col("c") > 0)
+    n, v, rest = counted.agg(F.sum("n"), F.count(F.when(met_once, True)),
+                             F.sum(F.when(met_once & ~is_symbol, F.col("c") + 1))).first()
+    n, v, rest = n or 0, v or 0, (rest or 0) + 1
+    asked = (pairs.join(counted.select("block", "word", "c"), ["block", "word"])
+             .groupBy("block", "context", F.when(is_symbol, F.col("word")).otherwise(F.lit(OTHER)).alias("symbol")).agg(F.sum("n").alias("n")))
+    asked = written(asked, "asked")
+    told = asked.join(tree(asked.select("context", "symbol", "n"), n, v, rest), ["context", "symbol"])
+    # Pairs with their logarithms, and words, without a context, with their counts.
+    told = told.select("block", "context", F.col("symbol").alias("word"), F.log10("p").alias("x"))
+    told = told.union(counted.select("block", F.lit(None).cast("long"), "word", F.col("c").cast("double")))
     names = ["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def scored(table: pa.Table, known: pa.Table) -> pa.Table:
-        words, counts = known.column("word").to_numpy(), known.column("c").to_numpy()
+        is_word = known.column("context").is_null().to_numpy()
+        context = known.column("context").fill_null(0).to_numpy()
+        words, x = known.column("word").to_numpy(), known.column("x").to_numpy()
+        pairs, logs = pair_keys(context[~is_word], words[~is_word]), x[~is_word]
+        order = np.argsort(pairs)
+        pairs, logs = pairs[order], logs[order]
+        words, counts = words[is_word], x[is_word].astype(np.int64)
         order = np.argsort(words)
         words, counts = words[order], counts[order]
         data, offsets = tb.utf8(table.column("text"))
@@ -228,9 +175,11 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
             sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[first])
             tokens_of[i:j], met[i:j] = np.diff(first), sums(c > 0)
             base[i:j] = sums(np.log10(c + 1.0)) - np.diff(first) * math.log10(n + v + 1)
-            model[i:j] = sums(shared.value.log10(token, code, c))
+            own = (c >= LEAST) | (token == END_WORD)
+            log = logs[np.searchsorted(pairs, pair_keys(code, np.where(own, token, OTHER)))]
+            model[i:j] = sums(log + np.where(own, 0, np.log10((c + 1.0) / rest)))
         return pa.table([table.column("doc_id"), table.column("training"), pa.array(tokens_of), pa.array(met),
                          pa.array(np.full(len(met), n, np.int64)), pa.array(base), pa.array(model)], names=names)
 
     schema = "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return placed.groupBy("block").cogroup(counted.select("block", "word", "c").groupBy("block")).applyInArrow(scored, schema)
+    return placed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(scored, schema)

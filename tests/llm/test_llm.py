@@ -238,6 +238,16 @@ def test_base_scores_equal_counts(spark, docs):
     assert all(r.score < 0 and math.isfinite(r.score) for r in found)
 
 
+def test_suffix_tree_keeps_what_is_attested(spark):
+    """What 40 texts say stands, however much other text there is."""
+    rng = np.random.default_rng(5)
+    rows = [(i, True, " ".join(f"w{j}" for j in rng.integers(0, 600, 1000))) for i in range(60)]
+    rows += [(100 + i, True, "qa qb") for i in range(40)] + [(200, False, "qa qb")]
+    docs = spark.createDataFrame(rows, "doc_id long, training boolean, text string")
+    found = {r.doc_id: r.score for r in suffix_tree.score(docs, docs["training"], block_bytes=100_000).collect()}
+    assert found[200] == pytest.approx(found[100]) and found[200] > math.log10(40 / 60_000) - 1
+
+
 def test_toxicity_learns_words(spark):
     rng = np.random.default_rng(3)
     plain = ["the", "of", "and", "river", "mountain", "paper", "window", "garden", "yellow", "summer"]
