@@ -11,7 +11,8 @@ deleted, for neighbours repeat whole articles and passages; and a neighbour that
 what may be deleted is a copy of the page, not a second use of its template, and says nothing. Chrome lines
 are left out in any case, as menus and adverts may differ on every page.
 
-A page without an article keeps its other lines that no neighbour shares. A null html is empty. Pages with
+What is left is the text: a page's article, and its other lines that no neighbour shares, whether it has an
+article or not. A null html is empty. Pages with
 a null or relative URL have the host ''. Equal rows are one place in the order, and each has its result; rows
 that share a page_id are pages of their own. An empty table gives an empty result.
 """
@@ -143,8 +144,7 @@ def main_text(page: list[tuple[str, str]], neighbours: list[list[tuple[str, str]
         both = shared(texts, [t for _, t in other]) & loose
         if len(both) < COPY * len(loose):
             drop |= both
-    keep = "main" if any(k == "main" for k, _ in page) else "other"
-    return "\n".join(t for i, (k, t) in enumerate(page) if k == keep and i not in drop)
+    return "\n".join(t for i, (k, t) in enumerate(page) if k != "chrome" and i not in drop)
 
 
 def _places(batches, kinds: list):

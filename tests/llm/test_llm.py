@@ -278,6 +278,13 @@ def test_pages(spark):
     assert found == [(1, main), (1, main), (2, "only here"), (3, "only here"), (4, ""), (5, ""), (6, "alone"), (7, "another")]
 
 
+def test_differencing_decides_beside_an_article(spark):
+    page = "<body><div>Our site</div><article><p>text {0}</p></article><div>note {0}</div><div class='ad'>buy {0}</div><div>All rights</div></body>"
+    rows = [(i, f"http://x.org/{i}", page.format(i)) for i in range(3)]
+    found = page_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert sorted((r.page_id, r.text) for r in found.collect()) == [(i, f"text {i}\nnote {i}") for i in range(3)]
+
+
 def test_alignment_is_longest():
     rng = np.random.default_rng(4)
     for _ in range(200):
