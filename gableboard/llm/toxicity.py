@@ -11,7 +11,8 @@ As the softmax is linear, an n-gram adds one number to a window's score; scoring
 
 A null or empty text, or one without words, scores 0. Repeated rows are scored one by
 one. The model is fitted on a bounded sample: of each class the `per_class` documents with the smallest hash
-of their id, texts of at most `max_bytes` bytes. If either class has no example, every score is 0. A
+of their id among those with a text that has words; of a text of more than `max_bytes` bytes, STRETCHES
+stretches spread evenly over it, with at most so many bytes together. If either class has no example, every score is 0. A
 document with several labels is toxic if any says so; null labels and ids are left out.
 """
 
@@ -29,6 +30,7 @@ from pyspark.sql import types as T
 from gableboard.llm import text_bytes as tb
 
 PER_CLASS, MAX_BYTES = 2000, 1 << 14
+STRETCHES = 8
 BUCKETS, DIMENSIONS, GRAMS = 1 << 17, 16, (3, 4, 5)
 WINDOW, STRIDE = 8, 4
 
@@ -235,9 +237,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Model | None:
     known = labels.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("y")).dropna()
     known = known.groupBy("_id").agg(F.max("y").alias("y"))
+    # A character has at most 4 bytes.
+    chars = max(1, max_bytes // (4 * STRETCHES) - 1)
+    start = lambda i: F.floor((F.length("t") - chars) * i / (STRETCHES - 1)).cast("int") + 1
+    spread = F.concat_ws(" ", *(F.col("t").substr(start(i), F.lit(chars)) for i in range(STRETCHES)))
+    texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("t")).filter(F.col("t").rlike(r"[0-9A-Za-z[^\x00-\x7F]]"))
+    known = known.join(texts.select("_id"), "_id", "left_semi")
     order = W.partitionBy("y").orderBy(F.xxhash64("_id"), "_id")
     ids = known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class).select("_id", "y")
-    texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("t")).filter(F.octet_length("t") <= max_bytes)
+    texts = texts.withColumn("t", F.when(F.octet_length("t") <= max_bytes, F.col("t")).otherwise(spread))
     # At most 2 * per_class ids.
     found = texts.join(F.broadcast(ids), "_id").dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").collect()
     return train([r["t"] for r in found], [r["y"] for r in found])

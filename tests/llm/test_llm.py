@@ -267,6 +267,15 @@ def test_toxicity_learns_words(spark):
     assert found[900].predicted == 1 and found[902].predicted == 0 and found[903].predicted == 1 and found[901].score == 0
 
 
+def test_toxicity_learns_from_long_texts_and_fills_its_sample(spark):
+    rows = [(i, ("idiot moron " if i % 2 else "river paper ") * 3000) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (90, None), (91, "--")], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(40)] + [(i, i % 2) for i in range(90, 2000)]
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), per_class=15)
+    found = toxicity.score(docs, model, keep=["doc_id"]).filter("doc_id < 40").collect()
+    assert all(r.predicted == r.doc_id % 2 for r in found)
+
+
 def test_pages(spark):
     site = "<html><body><div>Welcome to our site</div><nav>Menu</nav>{}<div>All rights reserved</div></body></html>"
     article = "<article><h1>A &amp; B</h1><p><b>first&nbsp; line<br>more<p>second</p><div class='comment'>me too</div></article>"
