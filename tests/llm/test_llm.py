@@ -112,6 +112,14 @@ def test_language_without_letters_or_training(spark, docs):
     assert {r.lang_pred for r in language_id.predict(table, None, keep=["doc_id"]).collect()} == {"und"}
 
 
+def test_language_of_long_texts_only(spark):
+    rows = [(1, "the river and the mountain " * 5, "en"), (2, "der Fluß und die Straße " * 5000, "de"), (3, "die Straße und der Fluß", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert model.languages == ["de", "en"]
+    assert {r.doc_id: r.lang_pred for r in language_id.predict(docs, model, keep=["doc_id"]).collect()} == {1: "en", 2: "de", 3: "de"}
+
+
 def test_top_k_equals_all_products(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(400)]
