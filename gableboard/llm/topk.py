@@ -9,7 +9,8 @@ The search has two rounds. First each query runs against its own shard; the kth
 lower bound of the kth score over all. Then blocks of queries, with these bounds, meet all other shards,
 and a shard returns only what may still enter the result. Query blocks and shards have bounded sizes, so
 that a task holds one tree and one block. Equal vectors are searched as one: of equal candidates only the
-k + 1 smallest ids can matter (one of them may be the query itself), and equal queries share one search.
+k + 1 smallest ids can matter (one of them may be the query's own), and equal queries share one search. A
+search keeps k candidates and as many more as there are vectors of the query's own id, which are left out last.
 
 Scores are int64; the products run in double precision where that is exact and in int64 otherwise. Null
 and empty vectors and those with a null, NaN or infinite component take no part. Vectors of different
@@ -80,11 +81,11 @@ class BallTree:
                 np.minimum(at[:, node], at[:, parent], out=at[:, node])
         return at[:, [leaf[0] for leaf in self.leaves]]
 
-    def search(self, queries: np.ndarray, lowest: np.ndarray, k: int):
-        """For each query the rows and scores that may be among its k best: at least `lowest`, ties kept."""
+    def search(self, queries: np.ndarray, lowest: np.ndarray, most: np.ndarray):
+        """For each query the rows and scores that may be among its `most` best: at least `lowest`, ties kept."""
         bounds = self.bounds(queries)
         in_double = self.largest * float(np.abs(queries).max(initial=0)) * queries.shape[1] < 2 ** 52
-        for q, bound, low in zip(queries, bounds, lowest, strict=True):
+        for q, bound, low, k in zip(queries, bounds, lowest, most, strict=True):
             rows, scores, kth = [], [], low
             best = np.zeros(0, np.int64)
             exact = q.astype(np.float64)
@@ -126,38 +127,44 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5,
     kept = candidates.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1).drop("n")
     kept = written(kept, "vectors")
     shards = max(1, math.ceil(kept.count() / shard_rows))
-    distinct = wanted.select("_query").distinct()
+    times = candidates.distinct().groupBy("vec_id").agg(F.count("*").alias("own")).filter("own > 1")
+    distinct = (wanted.join(times, F.col("query_id") == F.col("vec_id"), "left").groupBy("_query")
+                .agg((F.max(F.coalesce("own", F.lit(1))) + k).cast("int").alias("most")))
+    distinct = written(distinct, "queries")
+    most = distinct.agg(F.max("most")).first()[0] or k + 1
     shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards)).cast("int")
 
     def trees(points: pd.DataFrame) -> tuple[BallTree, np.ndarray, np.ndarray]:
         keys, at = np.unique(points["_v"].to_numpy(), return_inverse=True)
         return BallTree(np.array([swap(x) for x in keys])), at, points["vec_id"].to_numpy()
 
-    def results(points: pd.DataFrame, asked: list, lowest: np.ndarray) -> pd.DataFrame:
+    def results(points: pd.DataFrame, asked: list, lowest: np.ndarray, most: np.ndarray) -> pd.DataFrame:
         out = {"_query": [], "vec_id": [], "score": []}
         if len(points) and len(asked):
             tree, at, ids = trees(points)
             by_row = np.argsort(at, kind="stable")
             begin = np.searchsorted(at[by_row], np.arange(len(tree.order) + 1))
             matrix = np.array([swap(x) for x in asked])
-            for query, (rows, scores) in zip(asked, tree.search(matrix, lowest, k + 1), strict=True):
+            for query, (rows, scores) in zip(asked, tree.search(matrix, lowest, most), strict=True):
                 for row, score in zip(rows, scores, strict=True):
                     own = ids[by_row[begin[row]:begin[row + 1]]]
                     out["_query"] += [query] * len(own)
                     out["vec_id"] += own.tolist()
                     out["score"] += [score] * len(own)
         frame = pd.DataFrame(out)
-        # Of one query's rows here only the best k + 1 can be in the result.
+        if not len(frame):
+            return frame.astype({"vec_id": "int64", "score": "int64"})
+        # Of one query's rows here only the best `most` can be in the result.
         frame = frame.sort_values(["score", "vec_id"], ascending=[False, True])
-        return frame.groupby("_query", sort=False).head(k + 1) if len(frame) else frame.astype({"vec_id": "int64", "score": "int64"})
+        return frame[frame.groupby("_query", sort=False).cumcount() < frame["_query"].map(dict(zip(asked, most, strict=True)))]
 
     none = np.iinfo(np.int64).min
 
     def at_home(key, points: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        return results(points, asked["_query"].tolist(), np.full(len(asked), none))
+        return results(points, asked["_query"].tolist(), np.full(len(asked), none), asked["most"].to_numpy())
 
     def elsewhere(key, points: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        return results(points, asked["_query"].tolist(), asked["lowest"].to_numpy())
+        return results(points, asked["_query"].tolist(), asked["lowest"].to_numpy(), asked["most"].to_numpy())
 
     # A shard holds vectors of one length: the length is part of every key.
     placed = kept.withColumn("d", F.octet_length("_v")).withColumn("s", shard("_v"))
@@ -168,17 +175,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5,
     # Round two: query blocks with their bounds against every other shard.
     full = home.groupBy("_query").agg(F.min("score").alias("lowest"), F.count("*").alias("n"))
     bounded = homes.join(full, "_query", "left").withColumn(
-        "lowest", F.when(F.col("n") > k, F.col("lowest")).otherwise(F.lit(none)))
+        "lowest", F.when(F.col("n") >= F.col("most"), F.col("lowest")).otherwise(F.lit(none)))
     blocks = max(1, math.ceil(distinct.count() / block_rows))
     others = (bounded.withColumn("b", F.pmod(F.xxhash64("_query", F.lit(1)), F.lit(blocks)).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter("other != s")
-              .select("d", F.col("other").cast("int").alias("s"), "b", "_query", "lowest"))
+              .select("d", F.col("other").cast("int").alias("s"), "b", "_query", "lowest", "most"))
     copies = placed.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     by = ("d", "s", "b")
     away = copies.groupBy(*by).cogroup(others.groupBy(*by)).applyInPandas(elsewhere, FOUND)
     found = home.unionByName(away) if shards > 1 else home
     best = W.partitionBy("_query").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n")
+    found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= most).drop("n")
     own = W.partitionBy("query_id", "_query").orderBy(F.desc("score"), "vec_id")
     return (wanted.join(found, "_query").filter("vec_id != query_id")
             .withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k)

@@ -138,6 +138,17 @@ def test_top_k_equals_all_products(spark):
     assert got == sorted(want)
 
 
+def test_top_k_of_an_id_with_many_vectors(spark):
+    rows = [(0, [100 + i, 1]) for i in range(20)] + [(i, [i, 1]) for i in range(1, 30)]
+    table = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    query = spark.createDataFrame([(0, [1, 0]), (7, [1, 0]), (3, [2, 5])], "vec_id long, v array<long>")
+    for shard_rows in (8192, 7):
+        found = {}
+        for r in topk.top_k(table, query, 5, shard_rows=shard_rows).orderBy("query_id", "rank").collect():
+            found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert found == {0: [(i, i) for i in range(29, 24, -1)], 7: [(0, 119 - i) for i in range(5)], 3: [(0, 243 - 2 * i) for i in range(5)]}
+
+
 def test_contamination_equals_all_windows(spark, docs):
     items = [(1, "a b c d e f g h i j k l m"), (1, "one"), (2, "two THREE"), (3, None), (4, "--"), (None, "one"), (10, "für die Straße"),
              (11, " ".join(["lorem ipsum dolor sit amet"] * 3))]
