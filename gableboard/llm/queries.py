@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import chat, credentials, decontaminate, jaccard, language_id, packing, page_diff, suffix_tree, topk, toxicity
+from gableboard.llm import (chat, credentials, decontaminate, jaccard, language_id, packing, page_diff, suffix_tree, topk,
+                            toxicity, url_rules)
 from gableboard.llm.tables import id_remainder, read
 
 
@@ -78,5 +79,14 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
                             F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+#: The contract's rules: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op13_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.filtered(read(spark, folder, "pages"), URL_RULES)
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
