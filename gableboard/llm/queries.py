@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import (chat, credentials, decontaminate, jaccard, language_id, packing, page_diff, suffix_tree, topk,
+from gableboard.llm import (chat, conversation_repair, credentials, decontaminate, jaccard, language_id, packing, page_diff, suffix_tree, topk,
                             toxicity, url_rules)
 from gableboard.llm.tables import id_remainder, read
 
@@ -79,6 +79,21 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
                             F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The contract's damage: by the hash of `conv_id:turn`, rows are dropped, emptied, stripped of stops, repeated or made the user's."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")) % 20
+    role = F.when(kind == 4, "user").otherwise(known("role")).alias("role")
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(known("text"), ".!?", "")).otherwise(known("text")).alias("text")
+    copies = F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return turns.filter(kind != 0).select("conv_id", "turn", role, text, copies.alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations")
+    return conversation_repair.repair(damaged(turns), turns)
+
+
 #: The contract's rules: host, path, verdict.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
