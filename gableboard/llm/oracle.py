@@ -9,5 +9,29 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
 
+PHRASES = """WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS s FROM d),
+q AS (SELECT lang, row_number() OVER () AS piece, list_filter(string_split_regex(s, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+w AS (SELECT lang, piece, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM q),
+o AS (SELECT lang, x, lead(x, 1) OVER v AS y, lead(x, 2) OVER v AS z, lead(x, 3) OVER v AS u FROM w WINDOW v AS (PARTITION BY piece ORDER BY i)),
+g AS (SELECT lang, 1 AS m, x AS phrase FROM o UNION ALL SELECT lang, 2, x || ' ' || y FROM o WHERE y IS NOT NULL
+  UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM o WHERE z IS NOT NULL
+  UNION ALL SELECT lang, 4, x || ' ' || y || ' ' || z || ' ' || u FROM o WHERE u IS NOT NULL),
+f AS (SELECT lang, m, phrase, count(*)::HUGEINT AS n FROM g GROUP BY ALL),
+c AS (SELECT * FROM f WHERE m >= 2 AND n >= 30),
+cut AS (SELECT c.lang, c.phrase, c.n AS a, k, array_to_string(string_split(c.phrase, ' ')[1:k], ' ') AS x,
+    array_to_string(string_split(c.phrase, ' ')[k + 1:], ' ') AS y FROM c, (VALUES (1), (2), (3)) AS v(k) WHERE k < m),
+s AS (SELECT cut.lang, cut.phrase, a, k, l.n AS l, r.n AS r, (2000000 * a) // (l.n + r.n) AS score FROM cut
+  JOIN f l ON l.lang = cut.lang AND l.phrase = x JOIN f r ON r.lang = cut.lang AND r.phrase = y),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM low WHERE NOT EXISTS (SELECT 1 FROM c q WHERE q.lang = low.lang AND 100 * q.n >= 80 * low.a
+  AND q.m > len(string_split(low.phrase, ' ')) AND contains(' ' || q.phrase || ' ', ' ' || low.phrase || ' '))),
+total AS (SELECT lang, sum(n) AS n FROM f WHERE m = 1 GROUP BY lang)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM (
+  SELECT kept.*, total.n, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept JOIN total USING (lang))
+WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": TOP_K}
+    return {"op2_exact_top_k": TOP_K, "op12_phrase_mining": PHRASES}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gableboard.llm import (chat, conversation_repair, credentials, decontaminate, jaccard, language_id, packing, page_diff, suffix_tree, topk,
-                            toxicity, url_rules)
+from gableboard.llm import (chat, conversation_repair, credentials, decontaminate, jaccard, language_id, packing, page_diff, phrase_mining,
+                            suffix_tree, topk, toxicity, url_rules)
 from gableboard.llm.tables import id_remainder, read
 
 
@@ -94,6 +94,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repair(damaged(turns), turns)
 
 
+def op12_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_mining.collocations(phrase_mining.frequencies(read(spark, folder, "documents")))
+
+
 #: The contract's rules: host, path, verdict.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
