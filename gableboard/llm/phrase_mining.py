@@ -38,6 +38,7 @@ from gableboard.llm.text_bytes import FOLD, groups, mix, shingle_hashes, spans,
 SHARDS, LONGEST, LEAST, PER_LANG = 3, 4, 30, 2000
 #: A candidate goes where a longer one that holds it has this share (per cent) of its occurrences.
 COVERED = 80
+PARTS = 64
 CHUNK = 1 << 22
 #: Bits of one array, and of one row of it as Spark's bitmap aggregate makes them.
 BITS, ROW_BITS = 1 << 24, 1 << 15
@@ -221,7 +222,11 @@ def collocations(found: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     covers = candidates.filter("size >= 3").select("lang", F.explode(inner).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("cover"))
     kept = lowest.join(covers, ["lang", "phrase"], "left").filter(
         F.col("cover").isNull() | (wide("cover") * 100 < wide("a") * COVERED)).select("lang", "phrase", "a", "x.*")
-    best = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    top = kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= per_lang)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # A language's phrases are ranked in PARTS first, so that no task sees more than PARTS * per_lang of them at the end.
+    parts = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        parts = parts.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= per_lang)
+    top = parts.drop("part")
     words = found.filter("size = 0").select("lang", "n")
     return top.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
