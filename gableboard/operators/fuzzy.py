@@ -4,7 +4,9 @@ Candidates come from a segment index, not from comparing all names of an office:
 names are within `d` single-letter inserts and deletes, and the shorter one is cut into
 `d + 1` pieces, then at least one piece occurs unchanged in the longer name, moved by no
 more letters than there are inserts or deletes left. Only names that share such a piece
-are scored, and no pair is lost.
+meet, and no pair is lost. A pair counts at the first piece it shares alone, so pairs need
+no shuffle to become distinct, and leaves the join only if its letter counts (each insert
+or delete changes one of them) and its edit distance stay within `d`.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from gableboard.functions.similarity import name_ratio
 from gableboard.session import settled
 
 EPS = 1e-9
+BINS = 32
 
 
 def name_counts(transactions: DataFrame) -> DataFrame:
@@ -47,15 +50,36 @@ def _start(i: Column, length: Column, pieces: Column) -> Column:
     return F.floor(i * length / pieces).cast("int")
 
 
+def _cut(i: Column, length: Column, pieces: Column) -> tuple[Column, Column]:
+    """Start and length of piece `i`."""
+    begin = _start(i, length, pieces)
+    return begin, _start(i + 1, length, pieces) - begin
+
+
+def _reach(begin: Column, size: Column, length: Column, longer: Column, threshold: float) -> tuple[Column, Column]:
+    """First and last place in the longer name at which a kept piece of the shorter one may start.
+
+    With `d` changes in all and `grow` more inserts than deletes, a kept piece moves left
+    by at most the deletes and right by at most the inserts.
+    """
+    d, grow = _budget(longer + length, threshold), longer - length
+    left, right = F.floor((d - grow) / 2).cast("int"), F.floor((d + grow) / 2).cast("int")
+    return F.greatest(F.lit(0), begin - left), F.least(longer - size, begin + right)
+
+
+def _letters(name: Column) -> Column:
+    """How many letters of each of `BINS` classes a name has."""
+    of = F.transform(F.split(name, ""), lambda c: F.pmod(F.ascii(c), F.lit(BINS)))
+    return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda k: F.size(F.filter(of, lambda x: x == k)))
+
+
 def _indexed(names: DataFrame, threshold: float) -> DataFrame:
     """Every piece of every name: the side searched for."""
-    n = F.length("name")
-    pieces = _pieces(n, threshold)
-    piece = F.explode(F.sequence(F.lit(0), pieces - 1))
-    cut = names.withColumn("len", n).withColumn("piece", piece)
-    begin = _start(F.col("piece"), F.col("len"), _pieces(F.col("len"), threshold))
-    end = _start(F.col("piece") + 1, F.col("len"), _pieces(F.col("len"), threshold))
-    return cut.withColumn("part", F.substring(F.col("name"), begin + 1, end - begin))
+    pieces = _pieces(F.col("len"), threshold)
+    cut = names.withColumn("len", F.length("name"))
+    cut = cut.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    begin, size = _cut(F.col("piece"), F.col("len"), pieces)
+    return cut.withColumn("part", F.substring(F.col("name"), begin + 1, size))
 
 
 def _probes(names: DataFrame, threshold: float) -> DataFrame:
@@ -66,49 +90,66 @@ def _probes(names: DataFrame, threshold: float) -> DataFrame:
     out = names.withColumn("m", m).withColumn("len", F.explode(F.sequence(shortest, m)))
     out = out.withColumn("pieces", _pieces(F.col("len"), threshold))
     out = out.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    begin = _start(F.col("piece"), F.col("len"), F.col("pieces"))
-    end = _start(F.col("piece") + 1, F.col("len"), F.col("pieces"))
-    out = out.withColumns({"begin": begin, "size": end - begin})
-    # With `d` changes in all and `grow` more inserts than deletes, a kept piece moves
-    # left by at most the deletes and right by at most the inserts.
-    d = _budget(F.col("m") + F.col("len"), threshold)
+    begin, size = _cut(F.col("piece"), F.col("len"), F.col("pieces"))
+    out = out.withColumns({"begin": begin, "size": size})
+    lo, hi = _reach(F.col("begin"), F.col("size"), F.col("len"), F.col("m"), threshold)
     grow = F.col("m") - F.col("len")
-    left = F.floor((d - grow) / 2).cast("int")
-    right = F.floor((d + grow) / 2).cast("int")
-    lo = F.greatest(F.lit(0), F.col("begin") - left)
-    hi = F.least(F.col("m") - F.col("size"), F.col("begin") + right)
-    out = out.withColumns({"lo": lo, "hi": hi}).filter((grow <= d) & (F.col("lo") <= F.col("hi")))
-    out = out.withColumn("at", F.explode(F.sequence("lo", "hi")))
-    out = out.withColumn("part", F.substring(F.col("name"), F.col("at") + 1, F.col("size")))
-    return out.select("name", "office", "cnt", "len", "piece", "part").distinct()
+    out = out.withColumns({"lo": lo, "hi": hi}).filter(
+        (grow <= _budget(F.col("m") + F.col("len"), threshold)) & (F.col("lo") <= F.col("hi")))
+    parts = F.transform(F.sequence("lo", "hi"), lambda at: F.substring(F.col("name"), at + 1, F.col("size")))
+    return out.select(*names.columns, "len", "piece", F.explode(F.array_distinct(parts)).alias("part"))
 
 
-def edges(counts: DataFrame, threshold: float = 90) -> DataFrame:
-    """Pairs of names of one office whose similarity reaches `threshold`.
+def _shared_before(threshold: float) -> Column:
+    """Whether a pair shares a piece before this one."""
+    short, long_ = F.length("l_name"), F.length("r_name")
+    pieces = _pieces(short, threshold)
 
-    `a` is the more frequent one (then name order). A missing office is one office.
+    def shared(k: Column) -> Column:
+        begin, size = _cut(k, short, pieces)
+        lo, hi = _reach(begin, size, short, long_, threshold)
+        within = F.substring(F.col("r_name"), lo + 1, hi - lo + size)
+        return (lo <= hi) & F.contains(within, F.substring(F.col("l_name"), begin + 1, size))
+
+    earlier = F.filter(F.sequence(F.lit(0), F.col("l_piece")), lambda k: k < F.col("l_piece"))
+    return F.exists(earlier, shared)
+
+
+def candidates(counts: DataFrame, threshold: float = 90, *, within: bool = True) -> DataFrame:
+    """Pairs of names of one office that share a piece, each once; `l_name` is not the longer one.
+
+    `within` keeps those whose letter counts and edit distance allow the threshold.
     """
-    if not 0 < threshold <= 100:
-        raise ValueError("threshold must be above 0 and at most 100")
     keys = ["office", "len", "piece", "part"]
-    left = _indexed(counts, threshold).select(
-        *[F.col(k).alias(f"l_{k}") for k in keys], F.col("name").alias("l_name"), F.col("cnt").alias("l_cnt"))
-    right = _probes(counts, threshold).select(
-        *[F.col(k).alias(f"r_{k}") for k in keys], F.col("name").alias("r_name"), F.col("cnt").alias("r_cnt"))
-    match = F.lit(True)
+    names = counts.select("name", "office", "cnt", _letters(F.col("name")).alias("letters"))
+    side = lambda df, mark: df.select(*[F.col(c).alias(f"{mark}_{c}") for c in (*keys, "name", "cnt", "letters")])
+    left, right = side(_indexed(names, threshold), "l"), side(_probes(names, threshold), "r")
+    match = F.equal_null("l_office", "r_office")
     for k in keys[1:]:
         match = match & (F.col(f"l_{k}") == F.col(f"r_{k}"))
-    match = match & F.equal_null("l_office", "r_office")
     # Equal lengths meet in both directions; keep one.
     one_way = (F.length("l_name") < F.length("r_name")) | (
         (F.length("l_name") == F.length("r_name")) & (F.col("l_name") < F.col("r_name")))
+    match = match & one_way & ~_shared_before(threshold)
+    if within:
+        allowed = _budget(F.length("l_name") + F.length("r_name"), threshold)
+        apart = F.aggregate(F.zip_with("l_letters", "r_letters", lambda x, y: F.abs(x - y)), F.lit(0), lambda a, x: a + x)
+        # The edit distance never exceeds inserts plus deletes, and is much cheaper; -1 is beyond `allowed`.
+        match = match & (apart <= allowed) & (F.call_function("levenshtein", F.col("l_name"), F.col("r_name"), allowed) >= 0)
     # Size estimates do not see the explosion into substrings, so a broadcast must not be
     # chosen from them; a sort-merge join also lets AQE split common pieces.
-    pairs = left.join(right.hint("merge"), match & one_way).select(
-        F.col("l_office").alias("office"), "l_name", "l_cnt", "r_name", "r_cnt").distinct()
-    allowed = _budget(F.length("l_name") + F.length("r_name"), threshold)
-    # The edit distance never exceeds inserts plus deletes, and is much cheaper.
-    near = pairs.filter(F.levenshtein("l_name", "r_name") <= allowed)
+    return left.join(right.hint("merge"), match).select(
+        F.col("l_office").alias("office"), "l_name", "l_cnt", "r_name", "r_cnt")
+
+
+def edges(counts: DataFrame, threshold: float = 90) -> DataFrame:
+    """Pairs of names of one office whose similarity reaches `threshold`.
+
+    `a` is the more frequent one (then name order). A missing office is one office.
+    """
+    if not 0 < threshold <= 100:
+        raise ValueError("threshold must be above 0 and at most 100")
+    near = candidates(counts, threshold)
     scored = near.withColumn("score", name_ratio("l_name", "r_name")).filter(F.col("score") >= threshold - EPS)
     l_first = (F.col("l_cnt") > F.col("r_cnt")) | (
         (F.col("l_cnt") == F.col("r_cnt")) & (F.col("l_name") < F.col("r_name")))

@@ -426,7 +426,15 @@ def all_known_pages(s, p):
 
 @query
 def daily_change_counts(s, p):
-    return history.daily_counts(history.changes(d.observations(s, p), kinds=True))
+    """An observation without a status is a withdrawal, so that every kind occurs."""
+    log = d.observations(s, p).withColumn("status", F.coalesce("status", F.lit("Withdrawn")))
+    return history.daily_counts(history.changes(log, kinds=True))
+
+
+@query
+def withdrawn_sessions(s, p):
+    """Sightings of a user less than two days apart are a session."""
+    return history.withdrawn(d.observations(s, p), stale_days=2)
 
 
 @query
@@ -536,6 +544,11 @@ def fuzzy_merge(s, p):
     return fuzzy.merge_names(d.part_agents(s, p), 80)
 
 
+@query
+def fuzzy_merge_chains(s, p):
+    return fuzzy.merge_names(d.part_agents(s, p), 66)
+
+
 # --- directory and indexes --------------------------------------------------------------
 
 @query

@@ -290,6 +290,38 @@ _STATUS_OF_TEXT = """CASE WHEN contains(t, 'captcha') OR contains(t, 'perimeterx
   OR contains(t, 'temporarily unavailable') OR contains(t, 'access denied') THEN 'blocked'"""
 
 
+def _fuzzy_merge(name: str, office: str, threshold: int, passes: int = 6) -> str:
+    """The greedy passes, row by row: each pass walks the rows in order and carries the names merged so far.
+
+    Passes are unrolled; the last ones find nothing to merge.
+    """
+    parts = [f"t0 AS (SELECT {name} AS name, {office} AS office, count(*) AS cnt FROM part WHERE {name} IS NOT NULL GROUP BY ALL)",
+             f"""score AS (SELECT x.name AS a, y.name AS b, list_reduce(list_prepend([0 for i in range(length(y.name) + 1)], [[ascii(c)] for c in string_split(x.name, '')]),
+  lambda row, ch: list_reduce(list_prepend([0], [[j] for j in range(1, length(y.name) + 1)]), lambda acc, j: list_append(acc,
+    CASE WHEN ascii(y.name[j[1]:j[1]]) = ch[1] THEN row[j[1]] + 1 ELSE greatest(row[j[1] + 1], acc[j[1]]) END)))[length(y.name) + 1] AS lcs
+  FROM (SELECT DISTINCT name FROM t0) x, (SELECT DISTINCT name FROM t0) y WHERE x.name <> y.name)""",
+             f"near AS (SELECT a, b FROM score WHERE 200 * lcs >= {threshold} * (length(a) + length(b)))"]
+    for k in range(passes):
+        parts += [
+            f"r{k} AS (SELECT *, row_number() OVER (ORDER BY cnt DESC, name, office NULLS FIRST) AS i FROM t{k})",
+            f"""reach{k} AS (SELECT x.i, x.name, coalesce((SELECT list(y.name ORDER BY y.i) FROM r{k} y JOIN near ON near.b = y.name
+  WHERE near.a = x.name AND y.i > x.i AND y.office IS NOT DISTINCT FROM x.office), []) AS found FROM r{k} x)""",
+            f"""walk{k} AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS gone, []::VARCHAR[] AS into_ UNION ALL
+  SELECT w.i + 1, CASE WHEN list_contains(gone, r.name) THEN gone ELSE gone || list_filter(found, lambda x: NOT list_contains(gone, x)) END,
+    CASE WHEN list_contains(gone, r.name) THEN into_ ELSE into_ || [r.name FOR x IN found IF NOT list_contains(gone, x)] END
+  FROM walk{k} w JOIN reach{k} r ON r.i = w.i + 1)""",
+            f"m{k} AS (SELECT unnest(gone) AS old, unnest(into_) AS new FROM (SELECT * FROM walk{k} ORDER BY i DESC LIMIT 1))",
+            f"f{k} AS (SELECT old, new, 1 AS n FROM m{k} UNION ALL SELECT f.old, m.new, n + 1 FROM f{k} f JOIN m{k} m ON m.old = f.new)",
+            f"e{k} AS (SELECT old, arg_max(new, n) AS new FROM f{k} GROUP BY old)",
+            f"t{k + 1} AS (SELECT coalesce(new, name) AS name, office, sum(cnt) AS cnt FROM t{k} LEFT JOIN e{k} ON old = name GROUP BY ALL)"]
+    total = "e0"
+    for k in range(1, passes):
+        parts.append(f"""all{k} AS (SELECT x.old, coalesce(e{k}.new, x.new) AS new FROM {total} x LEFT JOIN e{k} ON e{k}.old = x.new
+  UNION ALL SELECT old, new FROM e{k} WHERE old NOT IN (SELECT old FROM {total}))""")
+        total = f"all{k}"
+    return "WITH RECURSIVE " + ",\n".join(parts) + f"\nSELECT old AS old_name, new AS merged_into FROM {total}"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["agent_kpis"] = _with(*_L, _kpi_cte("agent")) + "SELECT * FROM kpi"
@@ -466,7 +498,15 @@ FROM marked GROUP BY 1, 2"""
     THEN 'warning' ELSE 'ok' END AS verdict FROM obs GROUP BY 1"""
     q["all_known_pages"] = _with(_OBSERVATIONS, _MARKED) + """SELECT run, town, page, CAST(count(*) AS BIGINT) AS cards,
   bool_and(NOT is_new) AS all_known FROM marked GROUP BY 1, 2, 3"""
-    q["daily_change_counts"] = _with(_OBSERVATIONS, _HISTORY) + """SELECT CAST(snapshot_date AS DATE) AS day,
+    q["withdrawn_sessions"] = _with(_OBSERVATIONS) + """, apart AS (SELECT *, CASE WHEN observed_at - lag(observed_at) OVER w < INTERVAL 48 HOUR THEN 0 ELSE 1 END AS first
+  FROM obs WINDOW w AS (PARTITION BY detail_url ORDER BY observed_at, seq)),
+sessions AS (SELECT *, sum(first) OVER (PARTITION BY detail_url ORDER BY observed_at, seq) AS session FROM apart)
+SELECT detail_url, last_seen + INTERVAL 48 HOUR AS snapshot_date, seq, 'Withdrawn' AS status, list_price FROM (
+  SELECT detail_url, max(observed_at) AS last_seen, last(seq ORDER BY observed_at, seq) AS seq,
+    last(status ORDER BY observed_at, seq) FILTER (status IS NOT NULL) AS status,
+    last(list_price ORDER BY observed_at, seq) FILTER (list_price IS NOT NULL) AS list_price FROM sessions GROUP BY detail_url, session)
+WHERE status IN ('Active', 'Pending')"""
+    q["daily_change_counts"] = _with(_OBSERVATIONS.replace("'error' THEN NULL", "'error' THEN 'Withdrawn'"), _HISTORY) + """SELECT CAST(snapshot_date AS DATE) AS day,
   CASE WHEN rn = 1 THEN 'new' WHEN status = 'Withdrawn' THEN 'withdrawn' ELSE 'changed' END AS kind,
   CAST(count(*) AS BIGINT) AS n FROM history GROUP BY 1, 2"""
     q["retry_queue_listings"] = _with(LISTINGS) + """SELECT detail_url, city, discovered_at FROM listings
@@ -504,6 +544,8 @@ FROM gap ORDER BY team_name, sale_date DESC, property_url, represented_side, sal
     q["cross_source_match"] = _with(_SALES, _KEYED, _TEAMS) + """SELECT transaction_match_key, l.n AS left_rows, r.n AS right_rows
 FROM (SELECT transaction_match_key, CAST(count(*) AS BIGINT) AS n FROM team GROUP BY 1) l
 JOIN (SELECT transaction_match_key, CAST(count(*) AS BIGINT) AS n FROM individual GROUP BY 1) r USING (transaction_match_key)"""
+    q["fuzzy_merge"] = _fuzzy_merge("p_name", "p_brand", 80)
+    q["fuzzy_merge_chains"] = _fuzzy_merge("p_name", "p_brand", 66)
     q["fuzzy_edges"] = """WITH counts AS (SELECT p_name AS name, p_brand AS office, count(*) AS cnt FROM part GROUP BY 1, 2),
 pairs AS (SELECT x.office, x.name AS a, CAST(x.cnt AS BIGINT) AS a_cnt, y.name AS b, CAST(y.cnt AS BIGINT) AS b_cnt
   FROM counts x JOIN counts y ON x.office = y.office AND (x.cnt > y.cnt OR (x.cnt = y.cnt AND x.name < y.name))

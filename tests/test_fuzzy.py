@@ -72,3 +72,37 @@ def test_apply_renames(spark):
     renames = spark.createDataFrame([("b", "a")], "old_name string, merged_into string")
     assert sorted(str(r.listing_agent) for r in fuzzy.apply_renames(df, renames).collect()) == ["None", "a", "c"]
     assert fuzzy.merge_names(df.filter(F.lit(False))).count() == 0
+
+
+def office_of(n, seed=1):
+    """Names of one office: few given names and many family names, with misspelt copies."""
+    rng = random.Random(seed)
+    syllables = ["ka", "lo", "min", "ter", "sen", "bar", "dow", "hill", "ar", "eth"]
+    names = {f"{rng.choice(['anna', 'james', 'mary'])} {''.join(rng.choice(syllables) for _ in range(3))}" for _ in range(n)}
+    for name in sorted(names)[::4]:
+        i = rng.randrange(len(name))
+        names.add(name[:i] + rng.choice("xyz") + name[i + 1:])
+    return sorted(names)
+
+
+def test_candidates_of_a_hot_office(spark):
+    names = office_of(400)
+    counts = fuzzy.name_counts(spark.createDataFrame([(n, "one") for n in names], "listing_agent string, listing_office string"))
+    met = [frozenset((r.l_name, r.r_name)) for r in fuzzy.candidates(counts, within=False).collect()]
+    near = [frozenset((r.l_name, r.r_name)) for r in fuzzy.candidates(counts).collect()]
+    assert len(set(met)) == len(met) and len(set(near)) == len(near)  # each pair once, without a distinct
+    found = {frozenset((r.a, r.b)) for r in fuzzy.edges(counts).collect()}
+    assert found == {frozenset((a, b)) for a in names for b in names if a < b and ratio(a, b) >= 90}
+    assert found <= set(near) <= set(met)
+    # All pairs would be over a hundred a result; what leaves the join is at most three.
+    assert len(near) <= 3 * len(found) < len(met) < len(names) * (len(names) - 1) / 4
+    text = fuzzy.candidates(counts)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("SortMergeJoin") == 1 and text.rindex("HashAggregate") > text.index("SortMergeJoin")
+
+
+def test_chain_and_cross_office_rename(spark):
+    # "bobbi" leads at x, then goes to "bobby" at y, and takes "bobbie" along; "bobbie" goes at z, too.
+    data = [("bobby", "y")] * 5 + [("bobbi", "x")] * 6 + [("bobbie", "x")] * 2 + [("bobbi", "y")] + [("bobbie", "z")]
+    df = spark.createDataFrame(data, "listing_agent string, listing_office string")
+    got = {r.old_name: r.merged_into for r in fuzzy.merge_names(df, 80).collect()}
+    assert got == sequential(data, 80) == {"bobbi": "bobby", "bobbie": "bobby"}
