@@ -7,10 +7,15 @@ task before the exchange.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from gableboard.session import settled
 
@@ -108,6 +113,52 @@ def numbered(df: DataFrame, order: Sequence[Column], rank: str) -> DataFrame:
     )
 
 
+def _in_partition(key: str, time: str, values: Sequence[str], skip_nulls: bool):
+    """The step inside one sorted partition: each row beside the values before it, batch by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, runs, at, held, before = TaskContext.get().partitionId(), 0, 0, None, None
+        for batch in batches:
+            n = len(batch)
+            if not n:
+                continue
+            if before is None:
+                before = {c: pa.nulls(1, batch.column(c).type) for c in (key, time, *values)}
+            column = {c: pa.concat_arrays([before[c], batch.column(c)]) for c in before}
+            names, timeless = column[key], column[time].is_null().to_numpy(zero_copy_only=False)
+            equal = pc.or_(pc.fill_null(pc.equal(names[1:], names[:-1]), False), pc.and_(names[1:].is_null(), names[:-1].is_null()))
+            same = equal.to_numpy(zero_copy_only=False) & (timeless[1:] == timeless[:-1])
+            same[0] &= at > 0
+            place = np.arange(n)
+            # Places count the row carried from the batch before as 0.
+            start = np.maximum.accumulate(np.where(same, 0, place + 1))
+            before, prev = {c: column[c].slice(n) for c in (key, time)}, []
+            for v in values:
+                there = place
+                if skip_nulls:
+                    known = column[v].is_valid().to_numpy(zero_copy_only=False)
+                    latest = np.maximum.accumulate(np.where(known, np.arange(n + 1), -1))
+                    there = latest[:-1]
+                    last = latest[-1] if latest[-1] >= start[-1] else -1
+                    before[v] = column[v].slice(last, 1) if last >= 0 else pa.nulls(1, column[v].type)
+                else:
+                    before[v] = column[v].slice(n)
+                # Row i stands at place i + 1; its run starts at start[i], and at 0 if it goes on from the batch before.
+                prev.append(column[v].take(pa.array(there, mask=there < np.where(same | skip_nulls, np.minimum(start, place + 1), n + 1))))
+            head = np.cumsum(~same) + runs <= 1
+            runs += int((~same).sum())
+            out = [*batch.columns, *prev, pa.array(same), pa.array(head), pa.array(np.full(n, part, np.int32)), pa.array(place + at), pa.array(np.zeros(n, bool))]
+            at += n
+            if held is not None:
+                yield held
+            held = pa.RecordBatch.from_arrays(out, [*batch.schema.names, *[f"prev_{v}" for v in values], "has_prev", "_head", "_part", "_at", "_last"])
+        if held is not None:
+            last = np.zeros(len(held), bool)
+            last[-1] = True
+            yield held.set_column(held.schema.get_field_index("_last"), "_last", pa.array(last))
+    return run
+
+
 def with_previous(
     rows: DataFrame,
     key: str,
@@ -116,47 +167,41 @@ def with_previous(
     time: str = "observed_at",
     seq: str = "seq",
     skip_nulls: bool = False,
-    bucket: str = "day",
 ) -> DataFrame:
     """Add `prev_<value>` and `has_prev`: the values just before a row of the same key.
 
-    With `skip_nulls` each value is the latest non-null one before the row. The window
-    runs inside (key, time bucket); only one row per bucket goes through the key-wide
-    window, so that a key with very many rows is spread over its buckets.
+    With `skip_nulls` each value is the latest non-null one before the row. Rows are range
+    partitioned by (key, time, seq) once, so a key, and a day of a key, with very many rows
+    lies in many partitions. A step runs inside each partition in constant memory; across
+    partitions only the last row of each is carried on. Rows without a time are a
+    sequence of their own. The step's result is checkpointed: one scan of the source (besides
+    the sample for the ranges), one exchange of the rows, one of a row or two a partition.
     """
-    at = F.struct(time, seq)
-    rows = rows.withColumn("_b", F.date_trunc(bucket, F.col(time)))
-    inside = W.partitionBy(key, "_b").orderBy(time, seq)
-    earlier = inside.rowsBetween(W.unboundedPreceding, -1)
-    across = W.partitionBy(key).orderBy("_b")
-    earlier_b = across.rowsBetween(W.unboundedPreceding, -1)
-
-    last = lambda v: F.max_by(v, F.when(F.col(v).isNotNull(), at) if skip_nulls else at)
-    tails = rows.groupBy(key, "_b").agg(*[last(v).alias(f"_t_{v}") for v in values])
-    carried = tails.select(
-        key, "_b", F.lag("_b").over(across).isNotNull().alias("_more"),
-        *[
-            (F.last(f"_t_{v}", ignorenulls=True).over(earlier_b) if skip_nulls
-             else F.lag(f"_t_{v}").over(across)).alias(f"_c_{v}")
-            for v in values
-        ],
-    )
-    first = F.row_number().over(inside) == 1
-    out = rows.withColumn("_first", first)
-    for v in values:
-        step = F.last(v, ignorenulls=True).over(earlier) if skip_nulls else F.lag(v).over(inside)
-        out = out.withColumn(f"_p_{v}", step)
-    # Rows without a time have no bucket and keep their place without a predecessor.
-    out = out.join(carried, [key, "_b"], "left")
+    values = list(values)
+    schema = StructType([
+        *rows.schema, *[StructField(f"prev_{v}", rows.schema[v].dataType) for v in values],
+        *[StructField(name, kind) for name, kind in (
+            ("has_prev", BooleanType()), ("_head", BooleanType()), ("_part", IntegerType()), ("_at", LongType()), ("_last", BooleanType()))]])
+    order = [F.col(key), F.col(time), F.col(seq)]
+    stepped = settled(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        _in_partition(key, time, values, skip_nulls), schema))
+    carried = lambda v: F.coalesce(v, f"prev_{v}") if skip_nulls else F.col(v)
+    same_run = [F.col(key).alias("_key"), F.col(time).isNull().alias("_timeless")]
+    tails = stepped.filter("_last").select(*same_run, "_part", F.lit(1).alias("_kind"), F.struct(*[carried(v).alias(v) for v in values]).alias("_v"))
+    heads = stepped.filter("_at = 0").select(*same_run, "_part", F.lit(0).alias("_kind"), F.lit(None).cast(tails.schema["_v"].dataType).alias("_v"))
+    earlier = W.partitionBy("_key", "_timeless").orderBy("_part", "_kind").rowsBetween(W.unboundedPreceding, -1)
+    last = lambda c: F.last(c, ignorenulls=True).over(earlier)
+    before = [last(F.col("_v")[v]).alias(f"_c_{v}") if skip_nulls else last(F.col("_v"))[v].alias(f"_c_{v}") for v in values]
+    # A row for each partition of the sort: bounded by the shuffle width, not by the data.
+    carry = tails.unionByName(heads).select("_part", "_kind", last(F.col("_v")).isNotNull().alias("_more"), *before).filter("_kind = 0").drop("_kind")
+    out = stepped.join(F.broadcast(carry), "_part", "left")
+    here = F.col("_head") & F.col("_more")
     for v in values:
-        prev = (
-            F.coalesce(f"_p_{v}", f"_c_{v}") if skip_nulls
-            else F.when(F.col("_first"), F.col(f"_c_{v}")).otherwise(F.col(f"_p_{v}"))
-        )
-        out = out.withColumn(f"prev_{v}", prev)
-    out = out.withColumn("has_prev", ~F.col("_first") | F.coalesce("_more", F.lit(False)))
-    drop = ["_b", "_first", "_more", *[f"_p_{v}" for v in values], *[f"_c_{v}" for v in values]]
-    return out.drop(*drop)
+        across = F.when(here, F.col(f"_c_{v}"))
+        out = out.withColumn(f"prev_{v}", F.coalesce(f"prev_{v}", across) if skip_nulls
+                             else F.when(F.col("has_prev"), F.col(f"prev_{v}")).otherwise(across))
+    return out.withColumn("has_prev", F.col("has_prev") | here).select(
+        *rows.columns, *[f"prev_{v}" for v in values], "has_prev")
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

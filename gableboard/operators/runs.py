@@ -8,9 +8,9 @@ from gableboard.constants import TOWNS
 from gableboard.operators.grouping import with_previous
 
 
-def compared(observations: DataFrame, *, bucket: str = "day") -> DataFrame:
+def compared(observations: DataFrame) -> DataFrame:
     """`is_new` (key never seen before) and `status_changed` per observation, in order."""
-    marked = with_previous(observations, "detail_url", ["status"], skip_nulls=True, bucket=bucket)
+    marked = with_previous(observations, "detail_url", ["status"], skip_nulls=True)
     known = F.col("has_prev")
     changed = known & F.col("status").isNotNull() & ~F.equal_null("status", "prev_status")
     return marked.withColumns({"is_new": ~known, "status_changed": changed}).drop("prev_status", "has_prev")
@@ -31,10 +31,10 @@ def compared_with_state(observations: DataFrame, state: DataFrame) -> DataFrame:
     return heads.unionByName(marked.filter(~F.col("is_new")))
 
 
-def deltas(observations: DataFrame, *, bucket: str = "day") -> DataFrame:
+def deltas(observations: DataFrame) -> DataFrame:
     """Listings, new listings and status changes per (run, town)."""
     return (
-        compared(observations, bucket=bucket).groupBy("run", "town").agg(
+        compared(observations).groupBy("run", "town").agg(
             F.count(F.lit(1)).alias("listings"),
             F.count(F.when(F.col("is_new"), 1)).alias("new_listings"),
             F.count(F.when(F.col("status_changed"), 1)).alias("status_changes"),
@@ -69,10 +69,10 @@ def outcomes(attempts: DataFrame) -> DataFrame:
     })
 
 
-def known_pages(observations: DataFrame, *, bucket: str = "day") -> DataFrame:
+def known_pages(observations: DataFrame) -> DataFrame:
     """Per page of a run: cards, and whether every card was already known (the stop rule)."""
     return (
-        compared(observations, bucket=bucket).groupBy("run", "town", "page").agg(
+        compared(observations).groupBy("run", "town", "page").agg(
             F.count(F.lit(1)).alias("cards"),
             F.every(~F.col("is_new")).alias("all_known"),
         )

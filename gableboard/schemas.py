@@ -30,6 +30,7 @@ LISTING = _struct(
 
 HISTORY = _struct(
     ("detail_url", _S), ("snapshot_date", _TS), ("seq", _L), ("status", _S), ("list_price", _L),
+    ("kind", _S),
 )
 
 OBSERVATION = _struct(

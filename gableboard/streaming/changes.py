@@ -15,6 +15,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from gableboard import schemas
 from gableboard.operators.grouping import with_previous
+from gableboard.operators.history import change_kind
 from gableboard.operators.merge import Rules, merge
 
 _BID = StructType([StructField("bid", LongType(), True)])
@@ -46,11 +47,11 @@ class ChangeLog:
     `<path>/tail` holds the last logged row per key: the keys a batch changed, and every
     `compact` batches all keys, so that a batch reads at most `compact` folders of it.
     Rows that arrive after a later row of their key was logged count as seen on arrival.
+    Each logged row says its kind: new, withdrawn or changed.
     """
 
     path: str
     compact: int = 50
-    bucket: str = "day"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -71,10 +72,11 @@ class ChangeLog:
         rows = known.select(
             "detail_url", "observed_at", "seq", "status", "list_price", F.lit(False).alias("_seed"))
         marked = with_previous(
-            rows.unionByName(seeds), "detail_url", ["status", "list_price"], bucket=self.bucket)
+            rows.unionByName(seeds), "detail_url", ["status", "list_price"])
         same = F.equal_null("status", "prev_status") & F.equal_null("list_price", "prev_list_price")
         changed = marked.filter(~F.col("_seed") & ~(F.col("has_prev") & same)).select(
-            "detail_url", F.col("observed_at").alias("snapshot_date"), "seq", "status", "list_price")
+            "detail_url", F.col("observed_at").alias("snapshot_date"), "seq", "status", "list_price",
+            change_kind().alias("kind"))
         _write(changed, f"{self.path}/history", batch_id)
 
         logged = _earlier(spark, f"{self.path}/history", schemas.HISTORY, batch_id + 1, batch_id)

@@ -1,64 +1,31 @@
-"""Event-time streams: daily change counts and the withdrawn sweep by timeout."""
+"""Event-time streams: daily change counts and withdrawn listings."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
 
+from gableboard import schemas
 from gableboard.constants import SWEEP_DAYS
 from gableboard.operators import history
 
-DAY_MS = 86_400_000
+
+def logged(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The rows that `changes.ChangeLog` appends below `path`, as a stream."""
+    return spark.readStream.options(**options).schema(schemas.HISTORY).parquet(f"{path}/history/bid=*")
 
 
 def daily_counts(changes: DataFrame, *, delay: str = "2 days") -> DataFrame:
-    """New, changed and withdrawn rows per day of a stream with a `kind` column.
+    """New, changed and withdrawn rows per day of a stream of logged changes, in append mode.
 
-    A day is final once the watermark has passed it.
+    A day is final, and comes out once, when the watermark (the newest change less `delay`)
+    has passed its end. A change that arrives after that is not counted; one that a
+    replayed batch logs again counts once, for `delay` remembers it.
     """
-    return history.daily_counts(changes.withWatermark("snapshot_date", delay))
-
-
-_STATE = "seen timestamp, seq long, status string, list_price long"
-_OUT = "detail_url string, snapshot_date timestamp, seq long, status string, list_price long"
+    timely = changes.withWatermark("snapshot_date", delay)
+    once = timely.dropDuplicatesWithinWatermark(["detail_url", "snapshot_date", "seq"])
+    return history.daily_counts(once)
 
 
 def withdrawn(observations: DataFrame, *, stale_days: int = SWEEP_DAYS, delay: str = "1 day") -> DataFrame:
-    """History rows for active or pending listings not seen for `stale_days` of event time.
-
-    The state is one small row per listing; a batch of a listing is read chunk by chunk.
-    """
-    wait = stale_days * DAY_MS
-
-    def step(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            seen, seq, status, price = state.get
-            state.remove()
-            if status in ("Active", "Pending"):
-                yield pd.DataFrame({
-                    "detail_url": [key[0]], "snapshot_date": [seen + pd.Timedelta(days=stale_days)],
-                    "seq": [seq], "status": ["Withdrawn"],
-                    "list_price": pd.array([price], dtype="Int64")})
-            return
-        best = state.get if state.exists else None
-        for chunk in chunks:
-            newest = chunk.sort_values(["observed_at", "seq"]).iloc[-1]
-            at = (newest.observed_at, int(newest.seq))
-            if best is None or at > (best[0], best[1]):
-                price = None if pd.isna(newest.list_price) else int(newest.list_price)
-                status = newest.status if isinstance(newest.status, str) else None
-                if best is not None:
-                    status = status or best[2]
-                    price = best[3] if price is None else price
-                best = (*at, status, price)
-        state.update(best)
-        due = int(best[0].timestamp() * 1000) + wait
-        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-
-    return (
-        observations.filter("observed_at is not null and seq is not null").withWatermark("observed_at", delay).groupBy("detail_url")
-        .applyInPandasWithState(step, _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    )
+    """`history.withdrawn` of a stream: a session comes out once the watermark has passed its end."""
+    return history.withdrawn(observations.withWatermark("observed_at", delay), stale_days=stale_days)

@@ -155,7 +155,7 @@ def test_history_changes(spark):
     assert got == [("a", 1), ("a", 3), ("a", 4), ("a", 7), ("b", 1)]
     carried = sorted((r.detail_url, r.seq) for r in history.changes(df, carry_forward=True).collect())
     assert carried == [("a", 1), ("a", 3), ("a", 4), ("b", 1)]
-    hourly = sorted((r.detail_url, r.seq) for r in history.changes(df, bucket="year").collect())
+    hourly = sorted((r.detail_url, r.seq) for r in history.changes(df).collect())
     assert hourly == got
 
 
