@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from gableboard.llm.tables import shared_folder, written
 from gableboard.llm.text_bytes import FOLD, groups, mix, shingle_hashes, spans, utf8, word_hashes
 
-SHARDS, LONGEST, LEAST, PER_LANG = 3, 4, 30, 2000
+SHARDS, LONGEST, LEAST, PER_LANG = 2, 4, 30, 2000
 #: A candidate goes where a longer one that holds it has this share (per cent) of its occurrences.
 COVERED = 80
 PARTS = 64
