@@ -34,36 +34,39 @@ def facet_summary(
     measures: dict[str, Column],
     facets: dict[str, Facet],
     distinct: dict[str, str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Totals, most frequent values and distinct counts per key in one scan.
 
     Every row is expanded into a total row and one row per facet, then combined by
     (key, facet, value) on the map side and once more after one exchange. Ties in a
     facet go to the smaller value. A null key is a key; a null facet value is none.
-    Measures may not read a facet column.
+    Measures may not read a facet column. Where rows are already combined, `weight` is the
+    column that says how many each stands for; a facet value without any counts as none.
     """
     keys, distinct = list(keys), distinct or {}
     counted = {f.column for f in facets.values()} - set(distinct.values())
     payload = [c for c in rows.columns if c not in keys and c not in counted]
+    stands = F.lit(1) if weight is None else F.col(weight)
     total = F.struct(F.lit(0).alias("f"), F.lit(None).cast("string").alias("v"),
-                     *[F.col(c) for c in payload])
+                     *[F.col(c) for c in payload], stands.alias("_w"))
     variants = [total]
     for i, facet in enumerate(facets.values(), 1):
         # Facet rows carry no payload: they are only counted.
         variants.append(F.struct(
             F.lit(i).alias("f"), F.col(facet.column).alias("v"),
-            *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in payload]))
+            *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in payload], stands.alias("_w")))
     expanded = (
         rows.select(*keys, F.explode(F.array(*variants)).alias("x")).select(*keys, "x.*")
-        .filter((F.col("f") == 0) | F.col("v").isNotNull())
+        .filter((F.col("f") == 0) | (F.col("v").isNotNull() & (F.col("_w") > 0)))
     )
     combined = expanded.groupBy(*keys, "f", "v").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("_w").alias("_n"),
         *[c.alias(name) for name, c in measures.items()],
         *[F.count_distinct(c).alias(name) for name, c in distinct.items()],
     )
     deepest = max(f.k for f in facets.values())
-    order = W.partitionBy(*keys, "f").orderBy(F.desc("n"), F.asc("v"))
+    order = W.partitionBy(*keys, "f").orderBy(F.desc("_n"), F.asc("v"))
     leading = combined.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= deepest)
 
     on_total = lambda name: F.max(F.when(F.col("f") == 0, F.col(name))).alias(name)

@@ -7,13 +7,15 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gableboard import schemas
 from gableboard.functions import keys, names, numbers, text as texts
 from gableboard.operators import (
-    boards, directory, fuzzy, history, index, kpis, live, merge, pages, queues, runs, scoped, teams,
+    boards, directory, fuzzy, history, index, kpis, live, merge, pages, queues, runs, scoped, search_index, teams,
 )
 from gableboard.plans import driver_tables as d, page_texts, report
 from gableboard.plans.driver_tables import ANCHOR
-from gableboard.sources import attribution, cards, details, directory as directory_source, property_json, sinks
+from gableboard.session import shared_folder
+from gableboard.sources import attribution, cards, details, directory as directory_source, property_json, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -615,6 +617,25 @@ def sold_sides(s, p):
 
 @query
 def cross_source_search(s, p):
+    """A name over the three indexes, by postings; a figure of the record that each source has."""
+    pages = directory.index(d.profiles(s, p), d.profile_towns(s, p), d.sold(s, p), page_size=100).filter("page = 0")
+    sources = {
+        "sales": (index.agents(d.transactions(s, p), today=ANCHOR), "name"),
+        "profiles": (pages.drop("sold_rows"), "profile_url"),
+        "listings": (index.listing_agents(d.listings(s, p), today=ANCHOR), "name"),
+    }
+    folder = shared_folder(s, "search-index")
+    search_index.build(search_index.records(sources), folder)
+    found = search_index.search(s, folder, "0000001", limit=None)
+    figure = lambda source, field: F.get_json_object(F.col("found")[source], f"$.{field}").cast("long")
+    return found.select(
+        "key", "name", "office", "sources", figure("sales", "total_volume").alias("sales_volume"),
+        figure("profiles", "total_local_sales").alias("local_sales"), figure("listings", "all_time_sides").alias("listing_sides"))
+
+
+@query
+def cross_source_scan(s, p):
+    """The same question by comparing all names of the source tables."""
     sources = {
         "sales": d.transactions(s, p).select(F.col("listing_agent").alias("name"), F.col("listing_office").alias("office")),
         "profiles": d.profiles(s, p).select(F.col("profile_name").alias("name"), F.col("office_name").alias("office")),
@@ -623,6 +644,59 @@ def cross_source_search(s, p):
     return index.search(sources, "00000001", limit=None)
 
 
+# --- stored tables ----------------------------------------------------------------------
+
+def _stored(s, table: str, rows: DataFrame) -> DataFrame:
+    folder = shared_folder(s, table)
+    tables.publish(rows, table, folder)
+    return tables.published(s, table, folder)
+
+
+@query
+def stored_listings(s, p):
+    rows = _stored(s, "listings", d.listings(s, p))
+    return rows.select("detail_url", "mls_number", "city", "status", "sale_price", "list_price", "beds", "baths", "close_date", "listing_agent", "scraped_at")
+
+
+@query
+def stored_transactions(s, p):
+    rows = _stored(s, "transactions", d.transactions(s, p))
+    return rows.select("mls_number", "sale_date", "sale_price", "listing_agent", "buyer_office", "data_source", "enrichment_attempts", "raw_buyer_agent")
+
+
+@query
+def stored_directory(s, p):
+    profiles, towns = _stored(s, "profiles", d.profiles(s, p)), _stored(s, "profile_towns", d.profile_towns(s, p))
+    return profiles.join(towns, "profile_url").select("profile_url", "town", "local_sales_count", "profile_type", "total_sold", "avg_price_3yr", "scrape_status")
+
+
+@query
+def legacy_listings(s, p):
+    """Files of the layout before `status` and the newer columns, and files of today's, read as one table."""
+    rows, folder = d.listings(s, p), shared_folder(s, "legacy")
+    old = F.col("detail_url").endswith("1")
+    merge.evolve(rows.filter(old), schemas.LISTING).drop("status", "list_date", "last_seen_at", "year_built", "lot_sqft", "description", "photo_url").write.parquet(f"{folder}/layout=1")
+    tables.write(rows.filter(~old), "listings", f"{folder}/layout=2")
+    return tables.read_legacy_listings(s, folder).select("detail_url", "status", "close_date", "list_date", "year_built", "sale_price")
+
+
+@query
+def stored_index(s, p):
+    """The index sink, read back."""
+    folder = shared_folder(s, "index")
+    sinks.write_index(index.listing_agents(d.listings(s, p), today=ANCHOR), folder)
+    return s.read.schema("name string, office string, total_sides long, towns array<string>, all_time_volume long, most_recent date").json(
+        folder).withColumn("towns", F.array_join("towns", "|"))
+
+
+@query
+def stored_rankings(s, p):
+    """The rankings table, rebuilt and read back."""
+    folder = shared_folder(s, "rankings")
+    sinks.write_rankings(d.transactions(s, p), folder)
+    return s.read.parquet(folder).filter(F.col("last_updated").isNotNull()).drop("last_updated")
+
+
 @query
 def distinct_towns(s, p):
     return index.distinct_towns(kpis.agent(d.listings(s, p), today=ANCHOR))
@@ -640,6 +714,38 @@ def _named(sections, *fields: str) -> DataFrame:
     return sinks.boards(sections).select("section", "scope", "rank", name.alias("name"))
 
 
+def _figures(sections, names: list[str], counts: list[str], sums: list[str], lists: list[str]) -> DataFrame:
+    """Sections with the figures of their bodies: of each kind the first field that a body holds."""
+    first = lambda fields: F.coalesce(*[F.get_json_object("body", f"$.{f}") for f in fields])
+    return sinks.boards(sections).select(
+        "section", "scope", "rank", first(names).alias("name"), first(counts).cast("long").alias("sides"),
+        first(sums).cast("long").alias("volume"), first(lists).alias("listed"))
+
+
+@query
+def kpi_report_figures(s, p):
+    return _figures(report.kpi_report(d.listings(s, p), today=ANCHOR), ["name", "total"],
+                    ["current_12mo_sides", "enriched"], ["all_time_volume", "volume"], ["primary_towns", "date_max"])
+
+
+@query
+def listing_report_figures(s, p):
+    return _figures(report.listing_report(d.listings(s, p)), ["agent_name", "brokerage", "total", "n"],
+                    ["total_sides", "sides", "has_buyer"], ["volume"], ["towns", "top_agents", "date_min", "thin"])
+
+
+@query
+def scoped_report_figures(s, p):
+    return _figures(report.scoped_report(d.transactions(s, p), source="feed_a", today=ANCHOR), ["agent_name", "office", "value", "total"],
+                    ["sides", "rank_change", "unique_agents", "n"], ["rolling_volume", "volume"], ["label", "towns", "date_max"])
+
+
+@query
+def gap_report_figures(s, p):
+    return _figures(report.gap_report(*d.team_and_individual(s, p)), ["property_url", "local_town"],
+                    ["unresolved", "sale_price"], ["sale_price"], ["sale_date"])
+
+
 @query
 def listing_report_rows(s, p):
     return _named(report.listing_report(d.listings(s, p)), "agent_name", "brokerage", "total", "n")

@@ -597,7 +597,28 @@ FROM profiles p JOIN local_ USING (profile_url) LEFT JOIN paged USING (profile_u
     q["sold_sides"] = _with(_SOLD) + """SELECT profile_url, CAST(count(*) FILTER (WHERE represented = 'Seller') AS BIGINT) AS seller_sides,
   CAST(count(*) FILTER (WHERE represented = 'Buyer') AS BIGINT) AS buyer_sides,
   CAST(count(*) FILTER (WHERE represented = 'Buyer and Seller') AS BIGINT) AS both_sides, CAST(count(*) AS BIGINT) AS shown FROM sold GROUP BY 1"""
-    q["cross_source_search"] = _with(LISTINGS, _PROFILES) + """, rows_ AS (
+    has = "coalesce(contains(lower(name), '0000001'), false) OR coalesce(contains(lower(office), '0000001'), false)"
+    q["cross_source_search"] = f"""WITH rows_ AS (
+  SELECT 0 AS o, 'sales' AS source, name AS id, name, office, total_volume AS figure FROM ({q["agent_index"]})
+  UNION ALL SELECT 1, 'profiles', profile_url, name, office, total_local_sales FROM ({q["directory_index"]}) WHERE page = 0
+  UNION ALL SELECT 2, 'listings', name, name, office, all_time_sides FROM ({q["listing_index"]})),
+hits AS (SELECT *, (o, coalesce(name, ''), coalesce(office, ''), coalesce(id, '')) AS at_ FROM rows_ WHERE {has})
+SELECT lower(coalesce(name, '')) AS key, arg_min(name, at_) AS name, arg_max(office, at_) FILTER (WHERE office <> '') AS office,
+  string_agg(DISTINCT source, ',' ORDER BY source) AS sources, CAST(arg_max(figure, at_) FILTER (WHERE o = 0) AS BIGINT) AS sales_volume,
+  CAST(arg_max(figure, at_) FILTER (WHERE o = 1) AS BIGINT) AS local_sales, CAST(arg_max(figure, at_) FILTER (WHERE o = 2) AS BIGINT) AS listing_sides
+FROM hits GROUP BY 1"""
+    q["stored_listings"] = _with(LISTINGS) + """SELECT detail_url, mls_number, city, status, sale_price, list_price, beds, baths, close_date, listing_agent,
+  CAST(NULL AS TIMESTAMP) AS scraped_at FROM listings"""
+    q["stored_transactions"] = _with(LISTINGS) + """SELECT mls_number, sale_date, sale_price, listing_agent, buyer_office, data_source, enrichment_attempts,
+  CAST(NULL AS VARCHAR) AS raw_buyer_agent FROM listings"""
+    q["stored_directory"] = _with(*dirs) + """SELECT profile_url, town, local_sales_count, profile_type, total_sold, avg_price_3yr, scrape_status
+FROM profiles JOIN profile_towns USING (profile_url)"""
+    q["legacy_listings"] = _with(LISTINGS) + """SELECT detail_url, CASE WHEN NOT old THEN status WHEN close_date IS NOT NULL THEN 'Closed' END AS status, close_date,
+  CASE WHEN NOT old THEN list_date END AS list_date, CASE WHEN NOT old THEN year_built END AS year_built, sale_price
+FROM (SELECT *, detail_url LIKE '%1' AS old FROM listings)"""
+    q["stored_index"] = f"SELECT name, office, total_sides, towns, all_time_volume, most_recent FROM ({q['listing_index']})"
+    q["stored_rankings"] = f"SELECT * FROM ({q['rankings']})"
+    q["cross_source_scan"] = _with(LISTINGS, _PROFILES) + """, rows_ AS (
   SELECT listing_agent AS name, listing_office AS office, 'sales' AS source, 0 AS o FROM listings
   UNION ALL SELECT profile_name, office_name, 'profiles', 1 FROM profiles
   UNION ALL SELECT buyer_agent, buyer_office, 'listings', 2 FROM listings),
@@ -649,6 +670,49 @@ UNION ALL SELECT 'town', city FROM listings WHERE city IS NOT NULL AND data_sour
         rest("brokerage_trends", trends("office", 20, _OFFICE_VOLUME), "'all'", "rolling_rank", "office"),
         rest("towns", town5, "town", "rank", "agent_name"), rest("summary", q["scoped_stats"], "'all'", "NULL", "total"),
         rest("breakdown", parts, "kind", "NULL", "value")])
+    figures = lambda sections: " UNION ALL ".join(
+        f"""SELECT '{name}' AS section, CAST({scope} AS VARCHAR) AS scope, CAST({rank} AS BIGINT) AS rank, CAST({label} AS VARCHAR) AS name,
+  CAST({count} AS BIGINT) AS sides, CAST({total} AS BIGINT) AS volume, CAST({listed} AS VARCHAR) AS listed FROM ({sql})"""
+        for name, scope, rank, sql, label, count, total, listed in sections)
+    first = lambda sql, order, n: f"SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS pos FROM ({sql})) WHERE pos <= {n}"
+    none, kpi = "NULL", ("name", "current_12mo_sides", "all_time_volume", "primary_towns")
+    # A mover's body has its delta, but neither all-time volume nor towns.
+    full = lambda kind, gate: _movers(kind, gate).replace("SELECT side, CAST", "SELECT all_time_volume, primary_towns, side, CAST")
+    q["kpi_report_figures"] = figures([
+        ("agent_movers", "side", "position", full("agent", True), *kpi),
+        ("agents", "'all'", "pos", first(q["agent_kpis"], _KPI_ORDER, 50), *kpi),
+        ("brokerage_movers", "side", "position", full("office", True), *kpi),
+        ("offices", "'all'", "pos", first(q["brokerage_kpis"], _KPI_ORDER, 50), *kpi),
+        ("town_agents", "town", "rank", q["agent_kpis_by_town_top50"], *kpi),
+        ("town_offices", "town", "rank", q["brokerage_kpis_by_town_top50"], *kpi),
+        ("header", "'all'", none, q["listing_stats_all"], "total", "enriched", "volume", "date_max")])
+    q["listing_report_figures"] = figures([
+        ("combined", "'all'", "pos", first(q["combined_board"], "total_sides DESC, volume DESC, agent_name", 30), "agent_name", "total_sides", "volume", "towns"),
+        ("listing_side", "'all'", "pos", first(q["side_board_listing"], by_sides + "agent_name", 30), "agent_name", "sides", "volume", "towns"),
+        ("buyer_side", "'all'", "pos", first(q["side_board_buyer"], by_sides + "agent_name", 30), "agent_name", "sides", "volume", "towns"),
+        ("brokerages", "'all'", "pos", first(q["brokerage_board"], by_sides + "brokerage", 20), "brokerage", "sides", "volume", "top_agents"),
+        ("towns", "town", "rank", q["town_top5"], "agent_name", "total_sides", "volume", "towns"),
+        ("summary", "'all'", none, q["listing_stats"], "total", "has_buyer", "volume", "date_min"),
+        ("town_counts", "city", none, q["town_counts_thin"].replace("< 160", "< 50"), "n", none, none, "thin")])
+    agents = lambda extra="": _with(LISTINGS) + _scoped_ctes("listing", "data_source = 'feed_a' " + extra, "agent_name") + "SELECT * FROM board"
+    offices = lambda extra="": _with(LISTINGS) + f"""rows_ AS (SELECT listing_office AS office, listing_agent, city, coalesce(sale_price, list_price, 0) AS amount
+  FROM listings WHERE data_source = 'feed_a' AND listing_office IS NOT NULL {extra}), w AS {_top("rows_", "office", "city", 3)}
+SELECT t.*, w.v AS towns FROM (SELECT office, count(*) AS sides, sum(amount) AS volume FROM rows_ GROUP BY 1) t LEFT JOIN w USING (office)""".replace("rows_ AS (SELECT", ", rows_ AS (SELECT", 1)
+    sized = """SELECT 'source' AS kind, data_source AS value, count(*) AS n FROM listings WHERE data_source = 'feed_a' GROUP BY 2
+UNION ALL SELECT 'town', city, count(*) FROM listings WHERE city IS NOT NULL AND data_source = 'feed_a' GROUP BY 2"""
+    q["scoped_report_figures"] = figures([
+        ("agents", "'all'", "pos", first(agents(), by_volume + "agent_name", 30), "agent_name", "sides", "volume", "towns"),
+        ("agents_year", "'all'", "pos", first(agents(_YEAR), by_volume + "agent_name", 30), "agent_name", "sides", "volume", "towns"),
+        ("agent_trends", "'all'", "rolling_rank", trends("agent_name", 30, _AGENT_VOLUME), "agent_name", "rank_change", "rolling_volume", "label"),
+        ("brokerages", "'all'", "pos", first(offices(), by_volume + "office", 15), "office", "sides", "volume", "towns"),
+        ("brokerages_year", "'all'", "pos", first(offices(_YEAR), by_volume + "office", 20), "office", "sides", "volume", "towns"),
+        ("brokerage_trends", "'all'", "rolling_rank", trends("office", 20, _OFFICE_VOLUME), "office", "rank_change", "rolling_volume", "label"),
+        ("towns", "town", "rank", town5, "agent_name", "sides", "volume", none),
+        ("summary", "'all'", none, q["scoped_stats"], "total", "unique_agents", none, "date_max"),
+        ("breakdown", "kind", none, _with(LISTINGS) + sized, "value", "n", none, none)])
+    q["gap_report_figures"] = figures([
+        ("summary", "team_name", none, q["team_gap_summary"], "local_town", "unresolved", none, none),
+        ("detail", "'all'", none, q["team_gap_detail"], "property_url", "sale_price", "sale_price", "sale_date")])
     q["profile_details"] = _with(_OBSERVATIONS) + f""", tries AS (SELECT detail_url AS profile_url, arg_max(outcome, {at}) AS enrichment_status,
   CAST(count(*) AS INTEGER) AS scrape_attempts, arg_max_null(listing_office, {at}) FILTER (WHERE outcome <> 'success') AS last_error FROM obs GROUP BY 1),
 good AS (SELECT detail_url AS profile_url, {k2('page', 'total_sales')}, {k2('list_price', 'average_price')}, {k2('listing_agent', 'screen_name')},

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Materialise `df` in the reliable checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)

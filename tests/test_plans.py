@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gableboard import schemas
-from gableboard.operators import boards, grouping, history, kpis, scoped
+from gableboard.operators import boards, cube, grouping, history, kpis, scoped
 from gableboard.operators.grouping import with_previous
-from gableboard.plans import catalogue, driver_tables
+from gableboard.plans import catalogue, driver_tables, report
 from gableboard.session import settled
 from gableboard.sources import tables
 
@@ -143,6 +143,38 @@ def test_previous_values_across_many_partitions(spark, skip_nulls):
                 spark.conf.unset(c)
 
 
+def test_reports_scan_their_source_once(spark, listings, monkeypatch):
+    sales = driver_tables.transactions(spark, SF)
+    width = plan(sales).count("FileScan")
+    for build, scans in ((lambda: report.kpi_report(listings, today="2001-08-01"), 1), (lambda: report.listing_report(listings), 1),
+                         (lambda: report.scoped_report(sales, today="2001-08-01"), width)):
+        seen = []
+        monkeypatch.setattr(cube, "settled", lambda df: seen.append(plan(df)) or settled(df))
+        text = "".join(plan(x) for x in build())
+        assert len(seen) == 1 and seen[0].count("FileScan") == scans and "FileScan" not in text
+        assert seen[0].count("Exchange hashpartitioning") == (1 if scans == 1 else seen[0].count("Exchange hashpartitioning"))
+
+
+def test_cells_of_parts_add_up(spark, listings):
+    odd = F.pmod(F.xxhash64("detail_url"), F.lit(2)) == 1
+    cells = lambda df: cube.listing_cells(df, today="2001-08-01")
+    whole, parts = cells(listings), cube.added(cells(listings.filter(odd)), cells(listings.filter(~odd)))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.select(whole.columns).collect()))
+    sales = driver_tables.transactions(spark, SF)
+    odd = F.pmod(F.xxhash64("mls_number"), F.lit(2)) == 1
+    cells = lambda df: cube.sale_cells(df, today="2001-08-01")
+    whole, parts = cells(sales), cube.added(cells(sales.filter(odd)), cells(sales.filter(~odd)))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.select(whole.columns).collect()))
+
+
+def test_hot_agent_by_cells(spark):
+    rows = hot_listings(spark)
+    for by, board in (("agent", kpis.agent), ("office", kpis.brokerage)):
+        want = board(rows, today="2026-04-16")
+        got = cube.kpis(cube.listing_cells(rows, today="2026-04-16"), by).select(want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_changes_shuffle_their_rows_once(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(grouping, "settled", lambda df: seen.append(plan(df)) or settled(df))
