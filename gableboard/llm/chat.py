@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gableboard.llm.tables import running
+
 HEAD, COLON, NEXT, CLOSE = "### ", ":\n", "\n<next>\n", "\n</turn>\n"
 MASKED = "assistant"
 
@@ -52,16 +54,13 @@ def formatted(turns: DataFrame, masked: str = MASKED) -> DataFrame:
             (t["role"] == masked).alias("masked"))
 
     pieces = collected.select("conv_id", F.transform("turns", piece).alias("pieces"))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
 
-    def add(a, p):
-        start = a["at"] + F.length(p["lead"])
+    def step(at, p):
+        start = at + F.length(p["lead"])
         end = start + F.length(p["text"])
-        span = F.struct(start.alias("start"), end.alias("end"))
-        return F.struct((end + F.length(p["tail"])).alias("at"),
-                        F.when(p["masked"], F.concat(a["spans"], F.array(span))).otherwise(a["spans"]).alias("spans"))
+        return end + F.length(p["tail"]), F.when(p["masked"], F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end")))
 
-    spans = F.aggregate("pieces", F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans")), add, lambda a: a["spans"])
+    spans = running(F.col("pieces"), "struct<start:bigint,end:bigint>", step)
     text = F.array_join(F.transform("pieces", lambda p: F.concat(p["lead"], p["text"], p["tail"])), "")
     return pieces.select("conv_id", text.alias("formatted"), spans.alias("mask"))
 
@@ -69,8 +68,8 @@ def formatted(turns: DataFrame, masked: str = MASKED) -> DataFrame:
 def read_back(text: Column) -> Column:
     """The turns (array of role, text) of a formatted text."""
     blocks = F.split(text, CLOSE, -1)
-    role = lambda b: unescaped(F.regexp_extract(b, r"(?s)^### ((?:[^\\:]|\\.)*):\n", 1))
-    body = lambda b: F.regexp_replace(b, r"(?s)^### (?:[^\\:]|\\.)*:\n", "")
+    role = lambda b: unescaped(F.regexp_extract(b, r"(?s)^### ((?:[^\\:]++|\\.)*+):\n", 1))
+    body = lambda b: F.regexp_replace(b, r"(?s)^### (?:[^\\:]++|\\.)*+:\n", "")
     return F.flatten(F.transform(F.slice(blocks, 1, F.size(blocks) - 1), lambda b: F.transform(
         F.split(body(b), NEXT, -1), lambda t: F.struct(role(b).alias("role"), unescaped(t).alias("text")))))
 

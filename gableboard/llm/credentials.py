@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gableboard.llm.tables import written
+from gableboard.llm.tables import packed, running, written
 
 KINDS = ["assign", "access", "hex", "identifier", "weak", "endpoint"]
 SCOPE = 200
@@ -39,18 +39,15 @@ def spans(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0,
     matches, values = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, group))
     none = F.array().cast(SPAN)
 
-    def add(a, x):
-        start = a["at"] + F.length(x["gap"])
+    def step(at, x):
+        start = at + F.length(x["gap"])
         end = start + F.length(x["match"])
         span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("place"), end.alias("end"), F.lit(kind).alias("kind"))
-        fits = F.length(x["value"]).between(least, most)
-        return F.struct(end.alias("at"), F.when(fits, F.concat(a["spans"], F.array(span))).otherwise(a["spans"]).alias("spans"))
+        return end, F.when(F.length(x["value"]).between(least, most), span)
 
     rows = F.zip_with(F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match"))),
                       values, lambda x, v: F.struct(x["gap"].alias("gap"), x["match"].alias("match"), v.alias("value")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
-    found = F.aggregate(rows, start, add, lambda a: a["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(none)
+    return F.when(text.rlike(pattern), running(rows, SPAN.removeprefix("array<").removesuffix(">"), step)).otherwise(none)
 
 
 def _strong(text: Column) -> Column:
@@ -103,18 +100,19 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> Dat
     body = F.coalesce(F.col("text"), F.lit(""))
     hit = reduce(lambda a, b: a | b, (body.rlike(p) for p in (ASSIGN, ACCESS, HEX, IDENTIFIER, WEAK)))
     found = scan(docs.filter(hit), scope=scope).filter(F.size("all") > 0).select(
-        F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("all").alias("_all")).dropDuplicates(["_d", "_h"])
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64(body) == F.col("_h"))
-    rows = docs.filter(hit).join(found, same, "left")
-
-    def add(a, s):
-        gap = F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
-        new = F.when((s["start"] >= a["at"]), F.concat(gap, F.lit(mark))).otherwise("")
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], new).alias("out"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("_all", start, add, lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.length("text"))))
-    rows = rows.withColumn("text", F.when(F.col("_all").isNull(), F.col("text")).otherwise(clean))
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.when(F.col("_all").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return rows.select(*names).union(docs.filter(~hit))
+        F.col("doc_id").alias("of"), F.col("h").alias("of_h"), "all").dropDuplicates(["of", "of_h"])
+    rows = docs.filter(hit).select(packed(docs), F.col("doc_id").alias("id"), F.xxhash64(body).alias("h"), body.alias("said"))
+    rows = rows.join(found, F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left")
+
+    def step(at, s):
+        gap = F.substring(F.col("said"), (at + 1).cast("int"), F.greatest(s["start"] - at, F.lit(0)).cast("int"))
+        # Of spans that overlap the first has the mark.
+        return F.greatest(at, s["end"]), F.when(s["start"] >= at, F.concat(gap, F.lit(mark)))
+
+    last = F.aggregate("all", F.lit(0).cast("bigint"), lambda at, s: F.greatest(at, s["end"]))
+    rest = F.substring(F.col("said"), (last + 1).cast("int"), F.length("said"))
+    rows = rows.withColumn("clean", F.when(F.col("all").isNotNull(), F.concat(F.array_join(running(F.col("all"), "string", step), ""), rest)))
+    new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
+    kept = lambda c: F.col("row").getField(c)
+    changed = [F.when(F.col("clean").isNotNull(), new[c]).otherwise(kept(c)).alias(c) if c in new else kept(c).alias(c) for c in names]
+    return rows.select(*changed).union(docs.filter(~hit))

@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gableboard.llm import text_bytes as tb
-from gableboard.llm.tables import written
+from gableboard.llm.tables import packed, written
 
 SIZE, SHINGLE = 13, 4
 WINDOWS_PER_PASS = 1 << 18
@@ -195,6 +195,6 @@ def contaminated(share: int = SHARE):
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of docs that are not contaminated, unchanged."""
-    bad = hits(docs, items, **options).filter(contaminated()).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
-    return docs.join(bad, same, "left_anti")
+    bad = hits(docs, items, **options).filter(contaminated()).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h")).distinct()
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"))
+    return rows.join(bad, F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left_anti").select("row.*")

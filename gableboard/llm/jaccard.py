@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from gableboard.llm import text_bytes as tb
 from gableboard.llm.components import components
-from gableboard.llm.tables import written
+from gableboard.llm.tables import packed, written
 
 WORDS, PERCENT = 5, 75
 #: Shingles counted at once in a task, and the count from which a shingle is reported.
@@ -387,16 +387,15 @@ def join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "do
 def one_of_each(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of docs for each component: that of the smallest id, a null one being the largest, then of the
     smallest hash. Rows that share an id, or have none, are rows of their own; those without words all stay."""
-    names = docs.columns
     # A row is known by its hash and its id; the hash tells a null id from 0.
-    row = {"_h": F.xxhash64(*names), "_k": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))}
-    members = _rooted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row["_h"].alias("h")), k, percent)
+    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))
+    rows = docs.select(packed(docs), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h"), known.alias("k"), "doc_id", "text")
+    members = _rooted(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "h"), k, percent)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "h")).alias("least")
     kept = members.filter("root is not null").groupBy("root").agg(least).select(
-        F.col("least.h").alias("_h"), F.coalesce("least.doc_id", F.lit(0).cast("long")).alias("_k"))
+        F.col("least.h").alias("h"), F.coalesce("least.doc_id", F.lit(0).cast("long")).alias("k"))
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    chosen = docs.filter(has_words).withColumns(row).join(kept, ["_h", "_k"], "left_semi")
+    chosen = rows.filter(has_words).join(kept, ["h", "k"], "left_semi")
     # Equal rows are one row.
-    once = W.partitionBy("_h", "_k").orderBy("_h")
-    chosen = chosen.withColumn("_nth", F.row_number().over(once)).filter("_nth = 1")
-    return chosen.select(*names).union(docs.filter(~has_words))
+    chosen = chosen.withColumn("nth", F.row_number().over(W.partitionBy("h", "k").orderBy("h"))).filter("nth = 1")
+    return chosen.select("row.*").union(docs.filter(~has_words))

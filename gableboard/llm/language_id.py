@@ -26,6 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gableboard.llm import text_bytes as tb
+from gableboard.llm.tables import packed
 from gableboard.llm.context_tree import ContextTree, closed
 
 UNKNOWN = "und"
@@ -181,9 +182,9 @@ def identified(docs: DataFrame, model: Model | None, text: str = "text") -> Data
     """The rows of `docs` that are written in one of the learned languages, unchanged.
 
     Rejected are texts without any letter, and those that the best language codes no better than a list
-    of equally likely letters would (log2 27 bits a symbol): noise, or a script that nobody has learned.
+    of equally likely letters would (log2 27 bits a symbol): noise, or a script that nobody has learned. Columns of
+    any name stay as they are; an empty table stays empty, and without a model no row is kept.
     """
-    names = docs.columns
-    found = predict(docs.withColumn("_text_in", F.col(text)), model, "_text_in", names)
+    found = predict(docs.select(packed(docs), F.col(text).alias("said")), model, "said", ["row"])
     ok = (F.col("lang_pred") != UNKNOWN) & (F.col("bits") < float(np.log2(27)))
-    return found.filter(ok).select(*names)
+    return found.filter(ok).select("row.*")

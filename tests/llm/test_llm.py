@@ -337,3 +337,51 @@ def test_pipeline_keeps_columns(spark):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert before * 0.8 <= docs.count() <= before
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").select("doc_id").distinct().count() == docs.count()
+
+
+CLASH = ["score", "bits", "lang_pred", "said", "row", "h", "g", "k", "node", "nth", "root", "n", "of", "of_h", "all", "id", "clean", "d", "e", "s", "t",
+         "weak", "_h", "_d", "_k", "_id", "_nth", "_all", "_text", "_text_in", "_letters", "at", "window", "items", "least", "z", "out", "kind", "a.b"]
+
+
+def clashing(spark):
+    texts = ["plain words of a text without anything in it at all but words", "password = abcdefgh1234 login: somebody", None, "", LONG[:4000]]
+    data = [(i, t, "en", "src", None if t is None else len(t), *[f"{c}{i}" for c in CLASH]) for i, t in enumerate([*texts, texts[0] + " more"])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASH)
+    return spark.createDataFrame(data, schema), data
+
+
+@pytest.mark.parametrize("stage", ["identified", "one_of_each", "clean", "redacted"])
+def test_stages_keep_columns_of_any_name(spark, stage):
+    docs, data = clashing(spark)
+    items = spark.createDataFrame([(1, " ".join(LONG.split()[:13]))], "item_id long, text string")
+    got = {"identified": lambda: language_id.identified(docs, language_id.fit(docs)), "one_of_each": lambda: jaccard.one_of_each(docs),
+           "clean": lambda: decontaminate.clean(docs, items), "redacted": lambda: credentials.redacted(docs)}[stage]()
+    assert got.schema == docs.schema or [f.name for f in got.schema] == docs.columns
+    rows = {r.doc_id: tuple(r) for r in got.collect()}
+    kept = {"identified": {0, 1, 4, 5}, "one_of_each": {0, 1, 2, 3, 4}, "clean": {0, 1, 2, 3, 5}, "redacted": set(range(6))}[stage]
+    assert set(rows) == kept
+    for i, r in rows.items():
+        if stage == "redacted" and i == 1:
+            assert "[SECRET]" in r[1] and "abcdefgh" not in r[1] and r[4] == len(r[1]) and r[5:] == data[i][5:]
+        else:
+            assert r == data[i]
+
+
+def test_long_roles_round_trip(spark):
+    roles = ["x" * 100_000, "a:b\\" * 30_000, "#<" * 50_000, ""]
+    rows = [(1, i, r, "text") for i, r in enumerate(roles)]
+    done = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = done.select(chat.read_back(done["formatted"]).alias("turns")).head().turns
+    assert [t.role for t in got] == roles
+
+
+def test_many_matches_in_one_text(spark):
+    """Positions of 20,000 matches and of 5,000 turns, as a search by Python finds them."""
+    text = "".join(f"é token={i:08d} AKIA{i:016d} " for i in range(10_000))
+    want = sorted([(m.start(), 0, m.end(), "assign") for m in re.finditer(r"token=[0-9]+", text)] + [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[0-9]+", text)])
+    got = credentials.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).head().strong
+    assert [tuple(s) for s in got if s.kind != "hex"] == want
+    turns = [(1, i, "assistant", f"said {i}") for i in range(5000)]
+    done = chat.formatted(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    row = done.select("formatted", "mask").head()
+    assert [row.formatted[m.start:m.end] for m in row.mask] == [t[3] for t in turns]
