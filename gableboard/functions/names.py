@@ -12,6 +12,10 @@ _REST = 2**31 - 1
 _DESIGNATION = r"(?i),?\s*\b(" + "|".join(DESIGNATIONS) + r")\b\.?"
 
 
+#: White space of any kind.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -23,12 +27,12 @@ def let(value: Column, use) -> Column:
 
 def strip(c: Column) -> Column:
     """Without leading and trailing white space of any kind."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def squeeze(c: Column) -> Column:
     """Collapse runs of white space of any kind and trim."""
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(F.translate(c, WHITE, " " * len(WHITE)), " ++", " "))
 
 
 def present(c: Column | str) -> Column:

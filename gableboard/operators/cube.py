@@ -219,8 +219,13 @@ def selling_offices(cells: DataFrame, *, recent: bool = False) -> DataFrame:
 
 def trends(cells: DataFrame, by: str = "agent", *, n: int = 30) -> DataFrame:
     """As `scoped.agent_trends` or `scoped.brokerage_trends` (by="office")."""
-    board, name = (sellers, "agent_name") if by == "agent" else (selling_offices, "office")
-    return scoped._trend(board(cells), board(cells, recent=True), name, n)
+    if by == "agent":
+        rows, name = cells.filter(F.col("agent").isNotNull() & not_self_named("agent", "office") & not_company("agent")), "agent_name"
+    else:
+        rows, name = cells.filter(F.col("office").isNotNull()), "office"
+    volumes = rows.groupBy(F.col(by).alias(name)).agg(
+        F.sum("amount").alias("volume"), F.sum(F.when(F.col("r_n") > 0, F.col("r_amount"))).alias("recent"))
+    return scoped.trend(volumes, name, n)
 
 
 def sale_stats(cells: DataFrame) -> DataFrame:

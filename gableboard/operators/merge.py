@@ -61,6 +61,40 @@ def merge(log: DataFrame, rules: Rules) -> DataFrame:
     return merged.select(*parts)
 
 
+def partial(log: DataFrame, rules: Rules) -> DataFrame:
+    """The rows of a log, merged, with the place of every winner: states of parts of a log that `combined` puts together.
+
+    Each value stands beside the (order) of its observation, so it does not matter in which
+    batch, or how late, an observation came.
+    """
+    at = F.struct(*rules.order)
+    known = lambda c: F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("v")))
+    whole = lambda columns: F.struct(at.alias("at"), F.struct(*columns).alias("v"))
+    aggregates = [F.max(known(c)).alias(c) for c in rules.latest_known]
+    aggregates += [F.max(c).alias(c) for c in rules.largest]
+    aggregates += [F.max(whole(rules.latest)).alias("_latest")] if rules.latest else []
+    aggregates += [F.min(whole(rules.first)).alias("_first")] if rules.first else []
+    aggregates += [F.count(F.lit(1)).alias(rules.count)] if rules.count else []
+    usable = log
+    for k in rules.keys:
+        usable = usable.filter(F.col(k).isNotNull())
+    return usable.groupBy(*rules.keys).agg(*aggregates)
+
+
+def combined(states: DataFrame, rules: Rules) -> DataFrame:
+    """One state of several; `partial` of a whole log is what `combined` gives of its parts."""
+    how = {"_first": F.min, rules.count: F.sum}
+    return states.groupBy(*rules.keys).agg(*[how.get(c, F.max)(c).alias(c) for c in states.columns if c not in rules.keys])
+
+
+def merged_of(state: DataFrame, rules: Rules) -> DataFrame:
+    """What `merge` gives of the whole log."""
+    parts = [*rules.keys, *[F.col(c)["v"].alias(c) for c in rules.latest_known], *rules.largest]
+    parts += ["_latest.v.*"] if rules.latest else []
+    parts += ["_first.v.*"] if rules.first else []
+    return state.select(*parts, *([rules.count] if rules.count else []))
+
+
 LISTING_RULES = Rules(
     keys=("detail_url",),
     latest_known=("sale_price", "list_price", "listing_office", "status"),

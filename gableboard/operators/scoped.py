@@ -10,7 +10,7 @@ from gableboard.constants import HIGH_VALUE
 from gableboard.functions.numbers import trend_label
 from gableboard.operators.boards import listed_or_sold
 from gableboard.operators.filters import not_company, not_self_named, role_columns, scope
-from gableboard.operators.grouping import Facet, facet_summary, top_overall, top_per_group
+from gableboard.operators.grouping import Facet, facet_summary, top_per_group
 from gableboard.operators.kpis import cutoffs
 
 
@@ -94,12 +94,19 @@ def rankings(transactions: DataFrame) -> DataFrame:
         "avg_listing_price", F.col("listing_volume") / F.col("total_listing_sides"))
 
 
-def _trend(all_time: DataFrame, rolling: DataFrame, name: str, n: int) -> DataFrame:
-    order = _by_volume(name)
-    now = top_overall(rolling, order, n, "rolling_rank").select(
-        name, "rolling_rank", F.col("volume").alias("rolling_volume"))
-    ever = top_overall(all_time, order, n, "all_time_rank").select(name, "all_time_rank")
-    joined = now.join(ever, name, "left")
+def trend(volumes: DataFrame, name: str, n: int) -> DataFrame:
+    """Places of the 365-day top `n` against the all-time top `n`; volumes: name, volume, recent (null without sales).
+
+    Both tops are ranked in one pass, as two groups that keep `n` rows a task before they meet.
+    """
+    of = lambda kind, volume: F.struct(F.lit(kind).alias("kind"), volume.alias("volume"))
+    both = volumes.select(name, F.explode(F.array(of("ever", F.col("volume")), of("now", F.col("recent")))).alias("x")).select(name, "x.*")
+    both = both.filter((F.col("kind") == "ever") | F.col("volume").isNotNull())
+    ranked = top_per_group(both, ["kind"], _by_volume(name), n)
+    here = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    joined = ranked.groupBy(name).agg(
+        here("now", "rank").alias("rolling_rank"), here("now", "volume").alias("rolling_volume"),
+        here("ever", "rank").alias("all_time_rank")).filter(F.col("rolling_rank").isNotNull())
     is_new = F.col("all_time_rank").isNull()
     change = F.coalesce(F.col("all_time_rank") - F.col("rolling_rank"), F.lit(0))
     return joined.select(
@@ -107,19 +114,24 @@ def _trend(all_time: DataFrame, rolling: DataFrame, name: str, n: int) -> DataFr
     ).withColumn("label", trend_label("rank_change", "is_new", "rolling_volume"))
 
 
+def _trend_of(rows: DataFrame, name: str, today: date | str | None, n: int) -> DataFrame:
+    recent = F.coalesce(F.col("sale_date") >= F.lit(cutoffs(today).current), F.lit(False))
+    return trend(rows.groupBy(name).agg(
+        F.sum("amount").alias("volume"), F.sum(F.when(recent, F.col("amount"))).alias("recent")), name, n)
+
+
 def agent_trends(transactions: DataFrame, *, today: date | str | None = None, n: int = 30,
                  source: str | None = None, role: str = "seller") -> DataFrame:
     """All-time position minus 365-day position of the 365-day top `n`."""
-    pick = dict(limit=n, source=source, role=role)
-    return _trend(agents(transactions, **pick),
-                  agents(transactions, since=cutoffs(today).current, **pick), "agent_name", n)
+    rows = _rows(transactions, role, source, None).filter(
+        F.col("agent_name").isNotNull() & not_self_named("agent_name", "office") & not_company("agent_name"))
+    return _trend_of(rows, "agent_name", today, n)
 
 
 def brokerage_trends(transactions: DataFrame, *, today: date | str | None = None, n: int = 20,
                      source: str | None = None, role: str = "seller") -> DataFrame:
-    pick = dict(limit=n, source=source, role=role)
-    return _trend(brokerages(transactions, **pick),
-                  brokerages(transactions, since=cutoffs(today).current, **pick), "office", n)
+    rows = _rows(transactions, role, source, None).filter(F.col("office").isNotNull())
+    return _trend_of(rows, "office", today, n)
 
 
 def stats(transactions: DataFrame, *, source: str | None = None, role: str = "seller") -> DataFrame:

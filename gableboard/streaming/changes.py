@@ -7,7 +7,7 @@ folders of earlier batches: repeating a batch repeats its result.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from gableboard import schemas
 from gableboard.operators.grouping import with_previous
 from gableboard.operators.history import change_kind
-from gableboard.operators.merge import Rules, merge
+from gableboard.operators.merge import Rules, combined, merged_of, partial
 
 _BID = StructType([StructField("bid", LongType(), True)])
 
@@ -100,31 +100,33 @@ class ChangeLog:
 
 @dataclass(frozen=True)
 class CurrentState:
-    """`foreachBatch` target that keeps one merged row per key in `<path>/bid=<batch>`.
+    """`foreachBatch` target that keeps mergeable states, one row per key that a batch touched.
 
-    The state enters the merge as the oldest observation of its key, so rules that count
-    observations do not fit. Every batch writes all keys: choose the trigger to match.
+    A batch writes the merged states of its own keys to `<path>/tail/bid=<batch>` and reads
+    nothing. Every `compact` batches the tails since the last base and that base become a
+    new one, `<path>/base/bid=<batch>`: the only time that all keys are written. `current`
+    puts a base and the tails after it together. Values win by the rules' order, counts
+    add up, so the result is that of merging the whole log, whatever the order of arrival.
     """
 
     path: str
     rules: Rules
     schema: StructType
-
-    def __post_init__(self) -> None:
-        if self.rules.count:
-            raise ValueError("counting rules need the whole log")
+    compact: int = 20
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        order = [f for f in batch.schema.fields if f.name in self.rules.order]
-        before = _earlier(spark, self.path, self.schema, batch_id, batch_id - 1).drop("bid")
-        for f in order:
-            if f.name not in before.columns:
-                before = before.withColumn(f.name, F.lit(None).cast(f.dataType))
-        tag = lambda df, n: df.withColumn("_arrival", F.lit(n))
-        log = tag(before, 0).unionByName(tag(batch, 1), allowMissingColumns=True)
-        merged = merge(log, replace(self.rules, order=("_arrival", *self.rules.order)))
-        _write(merged.select(*[f.name for f in self.schema.fields]), self.path, batch_id)
-
-    def latest(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(f"{self.path}/bid={batch_id}")
+        _write(partial(batch, self.rules), f"{self.path}/tail", batch_id)
+        if (batch_id + 1) % self.compact == 0:
+            _write(self._state(batch.sparkSession, batch.schema, batch_id, batch_id), f"{self.path}/base", batch_id)
+
+    def _state(self, spark: SparkSession, observed: StructType, batch_id: int, before: int) -> DataFrame:
+        """The state after a batch, from the newest base older than batch `before`."""
+        layout = partial(spark.createDataFrame([], observed), self.rules).schema
+        base = before // self.compact * self.compact - 1
+        old = _earlier(spark, f"{self.path}/base", layout, base + 1, base)
+        new = _earlier(spark, f"{self.path}/tail", layout, batch_id + 1, base + 1)
+        return combined(old.unionByName(new).drop("bid"), self.rules)
+
+    def current(self, spark: SparkSession, observed: StructType, batch_id: int) -> DataFrame:
+        """The merged rows after a batch; `observed` is the schema of the observations."""
+        return merged_of(self._state(spark, observed, batch_id, batch_id + 1), self.rules).select(*self.schema.names)

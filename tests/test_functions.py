@@ -163,3 +163,42 @@ def test_derived(spark):
         numbers.side_split("a", "b").alias("split"), numbers.estimated_volume("a", "c").alias("est"),
         numbers.delta_label("c", F.lit(False)).alias("flat"), numbers.sales_not_shown("a", "b").alias("more"))
     assert tuple(df.first()) == (50, -33, None, 0.0, "300 : 200", None, "—", 100)
+
+
+def test_white_space_of_any_kind(spark):
+    from gableboard.functions import names
+    kinds = [chr(c) for c in range(0x3100) if c < 0xD800]
+    df = spark.createDataFrame([(i, f"{c}{c} a {c}b{c}") for i, c in enumerate(kinds)] + [(-1, None), (-2, "")], "i int, t string")
+    for made, pattern in ((names.strip(F.col("t")), F.regexp_replace("t", r"(?U)^\s+|\s+$", "")),
+                          (names.squeeze(F.col("t")), F.trim(F.regexp_replace("t", r"(?U)\s+", " ")))):
+        assert df.filter(~F.equal_null(made, pattern)).count() == 0
+    assert [r.p for r in df.filter("i < 0 or t like '\u3000%'").orderBy("i").select(names.present("t").alias("p")).collect()][:2] == [False, False]
+
+
+def test_place_over_two_lines_keeps_itself(spark):
+    from gableboard.functions.keys import city_state_zip
+    rows = ["York, ME 03909", "Old\nYork, ME 03909", "York,\nME 03909 and\nmore", "nowhere", None]
+    got = spark.createDataFrame([(t,) for t in rows], "t string").select(city_state_zip("t").alias("x")).select("x.*").collect()
+    assert [tuple(r)[:3] for r in got[:4]] == [("York", "ME", "03909"), (rows[1], "ME", ""), ("York", "ME", "03909"), ("nowhere", "ME", "")]
+
+
+def test_purge_refuses_to_drop_everything(spark):
+    from gableboard.operators import queues
+    df = spark.createDataFrame([(1, "Land"), (2, None), (3, "Commercial")], "id int, property_type string")
+    assert queues.purge(df).count() == 3 and queues.purge_preview(df).head().refused
+    more = df.union(spark.createDataFrame([(4, "Condo/Co-op")], df.schema))
+    assert [r.id for r in queues.purge(more).collect()] == [4]
+    assert queues.purge(df.limit(0)).count() == 0
+
+
+def test_no_limit_and_links_without_a_date(spark):
+    from gableboard.operators import index, merge, queues
+    rows = spark.createDataFrame([(f"n{i:04}", "Town") for i in range(120)], "name string, primary_towns string").withColumn("delta", F.lit(1))
+    assert index.sorted_board(rows, "delta", town="town").count() == 50
+    assert index.sorted_board(rows, "delta", town="town", town_limit=None).count() == 120
+    listings = spark.createDataFrame([(f"u{i}", "York", None, 0, None) for i in range(70)], "detail_url string, city string, enrichment_status string, enrichment_attempts int, discovered_at timestamp")
+    assert queues.listings_to_retry(listings).count() == 50 and queues.listings_to_retry(listings, limit=None).count() == 70
+    profiles = spark.createDataFrame([("p1", "One", "team", None)], "profile_url string, profile_name string, profile_type string, discovered_at timestamp")
+    links = spark.createDataFrame([("t", "p1", None, None), ("t", "p2", "Two", None)], "team_profile_url string, member_profile_url string, member_name string, discovered_at timestamp")
+    got = sorted(map(tuple, merge.member_profiles(profiles, links).select("profile_url", "profile_name", "profile_type", "discovered_at").collect()))
+    assert got == [("p1", "One", "individual", None), ("p2", "Two", "individual", None)]

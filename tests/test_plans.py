@@ -211,5 +211,12 @@ def test_trend_windows_see_only_the_top(spark):
     assert all("Limit" in part or "TakeOrdered" in part for part in single[1:])
 
 
+def test_trends_read_their_source_once(spark, listings):
+    sales = listings.withColumn("sale_date", F.col("close_date")).withColumn("data_source", F.lit("a"))
+    for build in (scoped.agent_trends, scoped.brokerage_trends):
+        text = plan(build(sales, today="2001-08-01"))
+        assert text.count("FileScan") == 1 and "Join" not in text and "WindowGroupLimit" in text
+
+
 def test_schemas_are_declared():
     assert len(schemas.LISTING.fields) == 35 and len(schemas.TRANSACTION.fields) == 25

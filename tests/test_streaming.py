@@ -43,17 +43,28 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path, compact
     assert sorted(map(str, log.history(spark).collect())) == want
 
 
-def test_current_state_by_batches_equals_one_merge(spark, tmp_path):
-    rules = merge.Rules(keys=("detail_url",), latest_known=("status", "list_price"), first=("town",))
-    df = observations(spark).withColumn("town", F.concat(F.lit("T"), F.col("seq").cast("string")))
+@pytest.mark.parametrize("compact", [2, 50])
+def test_current_state_by_batches_equals_one_merge(spark, tmp_path, compact):
+    """Batches in any order, one of them twice; counts and largest values too."""
+    rules = merge.Rules(keys=("detail_url",), latest_known=("status", "list_price"), latest=("note",), first=("town", "day"), largest=("top",), count="seen")
+    df = observations(spark).withColumns({
+        "town": F.concat(F.lit("T"), F.col("seq").cast("string")), "day": F.to_date("observed_at"),
+        "note": F.when(F.col("seq") % 3 == 0, F.col("seq").cast("string")), "top": F.col("seq") % 100})
+    df = df.union(df.limit(3).withColumn("detail_url", F.lit(None).cast("string")))
     schema = merge.merge(df, rules).schema
-    state = CurrentState(str(tmp_path / "state"), rules, schema)
-    cut = F.lit(START + timedelta(days=12))
-    state(df.filter(F.col("observed_at") < cut), 0)
-    state(df.filter(F.col("observed_at") >= cut), 1)
-    got = state.latest(spark, 1)
-    want = merge.merge(df, rules)
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    state = CurrentState(str(tmp_path / "state"), rules, schema, compact)
+    slices = [df.filter(F.floor(F.dayofmonth("observed_at") / 7) == k) for k in (3, 0, 4, 1, 2)]
+    for i, part in enumerate(slices):
+        state(part, i)
+    state(slices[4], 4)
+    want = sorted(map(str, merge.merge(df, rules).select(*schema.names).collect()))
+    assert sorted(map(str, state.current(spark, df.schema, 4).collect())) == want
+    upto = slices[0].union(slices[1]).union(slices[2])
+    assert sorted(map(str, state.current(spark, df.schema, 2).collect())) == sorted(map(str, merge.merge(upto, rules).select(*schema.names).collect()))
+    one = slices[2].filter("detail_url = 'U1'")
+    state(one, 5)
+    written = spark.read.parquet(str(tmp_path / "state" / "tail" / "bid=5"))
+    assert written.count() == one.select("detail_url").distinct().count() <= 1
 
 
 def run_to_memory(df, name, mode="append"):
@@ -61,6 +72,14 @@ def run_to_memory(df, name, mode="append"):
     q.awaitTermination()
 
 
+def test_rows_without_time_or_key_in_the_stream(spark, tmp_path):
+    rows = [("a", None, 1, "Active", 1), (None, START, 2, "Active", 1), ("a", START, 3, "Active", 2), ("a", START, None, "Closed", 3), ("b", START, 4, None, None)]
+    ChangeLog(str(tmp_path / "log"))(spark.createDataFrame(rows, schemas.OBSERVATION), 0)
+    got = ChangeLog(str(tmp_path / "log")).history(spark).collect()
+    assert {r.detail_url for r in got} == {"a"}
+    assert sorted((r.status, r.kind) for r in got if r.snapshot_date is not None) == [("Active", "changed"), ("Closed", "new")]
+
+
 def test_from_observations_to_final_days(spark, tmp_path):
     """Observations go into the change log, the log's rows into days; a replayed batch and a late row change no day."""
     df = observations(spark).withColumn("status", F.coalesce("status", F.lit("Withdrawn")))
