@@ -16,8 +16,8 @@ Texts with equal sets form one node. The join of nodes goes through four steps,
    only across different components, and what is left is checked as in step 3.
 
 So no group's pairs are all made, while every link is either checked or joins nodes that are connected
-already: the components equal those of all links. Bitmaps have about two bits per shingle, rounded up to a
-power of two (a size band); the wider of two is folded onto the other.
+already: the components equal those of all links. Bitmaps have about two bits per shingle, in tiles eight, rounded
+up to a power of two (a size band); the wider of two is folded onto the other.
 
 A null text, or one without words, has no set and is linked with nothing: its component is its own id.
 Equal rows, and rows that share an id, are documents of their own. Null ids are kept; a component's id is
@@ -40,12 +40,14 @@ from gableboard.llm.tables import packed, written
 
 WORDS, PERCENT = 5, 75
 #: Shingles counted at once in a task, and the count from which a shingle is reported.
-WINDOW, OFTEN = 1 << 22, 8
+WINDOW, OFTEN = 1 << 21, 8
 #: A shingle is common if it has more than this share of all shingles; so at most 1/share are.
 SHARE = 1 / (1 << 20)
 #: Bits of the filter that tells which sets are needed; a full filter only costs time.
 FILTER_BITS = 1 << 23
 TILE = 1024
+#: Bits a shingle of the bitmaps that tiles compare.
+WIDE = 8
 #: Stars in the second round, around the second and further nodes of a key; each takes the nodes after it.
 STARS = 4
 _C1, _C2 = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
@@ -71,15 +73,29 @@ def node_of(shingles: np.ndarray) -> int:
     return int(tb.mix(total + np.array([len(shingles)], np.uint64) * _C2).view(np.int64)[0])
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
+def bitmap(shingles: np.ndarray, share: int = 2, most: int = 1 << 15) -> bytes:
+    """Hashed shingles in `share` bits each, rounded up to a power of two."""
     width = 64
-    while width < 2 * len(shingles) and width < 1 << 15:
+    while width < share * len(shingles) and width < most:
         width *= 2
     bits = np.zeros(width, bool)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def wide(shingles: np.ndarray) -> bytes:
+    """For tiles, where all pairs of a group meet and most are just too far apart."""
+    return bitmap(shingles, WIDE, 1 << 17)
+
+
+def views(column: pa.Array) -> list[np.ndarray]:
+    """The 64-bit words of each value of a binary column, without copies."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32, len(column) + 1, 4 * column.offset)
+    words = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return [words[a:b].view(np.uint64) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
 def fold(words: np.ndarray, width: int) -> np.ndarray:
     """Bitmaps (last axis) folded to `width` 64-bit words."""
     while words.shape[-1] > width:
@@ -176,8 +192,8 @@ def _keys(docs: DataFrame, k: int, percent: int, common) -> DataFrame:
     return docs.mapInArrow(run, "key long, node long, n long")
 
 
-def _needed_sets(docs: DataFrame, k: int, nodes: DataFrame) -> DataFrame:
-    """node, shingles (sorted 64-bit hashes) of the given nodes."""
+def _needed_sets(docs: DataFrame, k: int, nodes: DataFrame, made=np.ndarray.tobytes) -> DataFrame:
+    """node, shingles (sorted 64-bit hashes, or what is made of them) of the given nodes."""
     position = F.col("node").bitwiseAND(F.lit(FILTER_BITS - 1))
     words = (nodes.select(F.shiftright(position, 6).alias("w"), F.expr(f"shiftleft(1L, int((node & {FILTER_BITS - 1}) & 63))").alias("m"))
              .groupBy("w").agg(F.bit_or("m").alias("m")).collect())
@@ -197,7 +213,7 @@ def _needed_sets(docs: DataFrame, k: int, nodes: DataFrame) -> DataFrame:
                 if int(wanted.value[at >> 6]) >> (at & 63) & 1:
                     seen.add(node)
                     found.append(node)
-                    arrays.append(s.tobytes())
+                    arrays.append(made(s))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(arrays, pa.binary())],
                                              ["node", "shingles"])
 
@@ -209,16 +225,16 @@ def _checked(docs: DataFrame, k: int, percent: int, pairs: DataFrame, nodes: Dat
 
     def near(batches):
         for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            keep = [(100 * min(n, m) >= percent * max(n, m)) and may_link(
-                n, m, np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for _, _, n, m, x, y in rows]
+            n, m = (batch.column(c).to_numpy() for c in (2, 3))
+            fits = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+            x, y = views(batch.column(4)), views(batch.column(5))
+            keep = [bool(f) and may_link(int(p), int(q), u, v, percent) for f, p, q, u, v in zip(fits, n, m, x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def linked(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(views(batch.column(2)), views(batch.column(3)), strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append((100 + percent) * both >= percent * (len(x) + len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -242,10 +258,11 @@ def _distinct_groups(rows: DataFrame) -> DataFrame:
     return rows.join(groups.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
 
 
-def _tiled_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs within a key, of different roots, that sizes and bitmaps leave possible.
+def _tiled_pairs(rows: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b: pairs within a key, of different roots, that sizes and wide bitmaps leave possible.
 
-    rows: key, node, n, root; nodes: node, n, sig."""
+    rows: key, node, n, root."""
+    signed = written(_needed_sets(docs, k, rows.select("node"), wide).withColumnRenamed("shingles", "sig"), "wide")
     own = rows.groupBy("node").agg(F.collect_set("key").alias("keys"))  # no more than a node's prefix
     place = F.row_number().over(W.partitionBy("key").orderBy("n", "node"))
     cut = written(rows.withColumn("tile", F.floor((place - 1) / TILE).cast("int")), "tiles")
@@ -256,7 +273,7 @@ def _tiled_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     left = cut.join(squares.withColumn("tile", F.col("i")), ["key", "tile"]).withColumn("second", F.lit(False))
     right = cut.join(squares.filter("i < j").withColumn("tile", F.col("j")), ["key", "tile"]).withColumn("second", F.lit(True))
     columns = ["key", "i", "j", "n", "node", "root", "second"]
-    placed = left.select(columns).union(right.select(columns)).join(nodes.select("node", "sig"), "node").join(own, "node")
+    placed = left.select(columns).union(right.select(columns)).join(signed, "node").join(own, "node")
     # A pair is made at the smallest key that its nodes share: `before` are a node's smaller ones.
     placed = placed.withColumn("before", F.filter("keys", lambda k: k < F.col("key")))
     placed = placed.select(*columns[:-1], "sig", "before", "second").repartition("key", "i", "j").sortWithinPartitions(
@@ -364,7 +381,8 @@ def _rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
         opened = rooted(opened.drop("root"))
         mixed = (opened.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
                  .filter(f"lo != hi and c > {STARS + 2}").select("key"))
-        pairs = written(_tiled_pairs(opened.join(mixed, "key", "left_semi"), nodes, percent), "tiled")
+        mixed = written(opened.join(mixed, "key", "left_semi"), "mixed")
+        pairs = mixed.select("node", "node") if mixed.isEmpty() else written(_tiled_pairs(mixed, docs, k, percent), "tiled")
         if not pairs.isEmpty():
             links = links.union(written(_checked(docs, k, percent, pairs, nodes), "links"))
             roots = written(components(links), "roots")
