@@ -17,7 +17,6 @@ from gableboard.functions.similarity import name_ratio
 from gableboard.session import settled
 
 EPS = 1e-9
-BINS = 32
 
 
 def name_counts(transactions: DataFrame) -> DataFrame:
@@ -68,9 +67,11 @@ def _reach(begin: Column, size: Column, length: Column, longer: Column, threshol
 
 
 def _letters(name: Column) -> Column:
-    """How many letters of each of `BINS` classes a name has."""
-    of = F.transform(F.split(name, ""), lambda c: F.pmod(F.ascii(c), F.lit(BINS)))
-    return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda k: F.size(F.filter(of, lambda x: x == k)))
+    """64 bits: which of 32 classes of letters a name has, and has twice. An insert or delete changes one bit at most."""
+    of = F.transform(F.split(name, ""), lambda c: F.pmod(F.ascii(c), F.lit(32)))
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x)
+    return F.aggregate(of, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(
+        F.when(a.bitwiseAND(bit(x)) == 0, bit(x)).otherwise(bit(x + 32))))
 
 
 def _indexed(names: DataFrame, threshold: float) -> DataFrame:
@@ -130,12 +131,13 @@ def candidates(counts: DataFrame, threshold: float = 90, *, within: bool = True)
     # Equal lengths meet in both directions; keep one.
     one_way = (F.length("l_name") < F.length("r_name")) | (
         (F.length("l_name") == F.length("r_name")) & (F.col("l_name") < F.col("r_name")))
-    match = match & one_way & ~_shared_before(threshold)
+    match = match & one_way
     if within:
+        # In order of their cost. The edit distance never exceeds inserts plus deletes; -1 is beyond `allowed`.
         allowed = _budget(F.length("l_name") + F.length("r_name"), threshold)
-        apart = F.aggregate(F.zip_with("l_letters", "r_letters", lambda x, y: F.abs(x - y)), F.lit(0), lambda a, x: a + x)
-        # The edit distance never exceeds inserts plus deletes, and is much cheaper; -1 is beyond `allowed`.
+        apart = F.bit_count(F.col("l_letters").bitwiseXOR(F.col("r_letters")))
         match = match & (apart <= allowed) & (F.call_function("levenshtein", F.col("l_name"), F.col("r_name"), allowed) >= 0)
+    match = match & ~_shared_before(threshold)
     # Size estimates do not see the explosion into substrings, so a broadcast must not be
     # chosen from them; a sort-merge join also lets AQE split common pieces.
     return left.join(right.hint("merge"), match).select(
@@ -150,7 +152,8 @@ def edges(counts: DataFrame, threshold: float = 90) -> DataFrame:
     if not 0 < threshold <= 100:
         raise ValueError("threshold must be above 0 and at most 100")
     near = candidates(counts, threshold)
-    scored = near.withColumn("score", name_ratio("l_name", "r_name")).filter(F.col("score") >= threshold - EPS)
+    # Out of a list of one, so that the filter is not pushed into the join, ahead of the cheap bounds.
+    scored = near.withColumn("score", F.explode(F.array(name_ratio("l_name", "r_name")))).filter(F.col("score") >= threshold - EPS)
     l_first = (F.col("l_cnt") > F.col("r_cnt")) | (
         (F.col("l_cnt") == F.col("r_cnt")) & (F.col("l_name") < F.col("r_name")))
     pick = lambda a, b: F.when(l_first, F.col(a)).otherwise(F.col(b))
