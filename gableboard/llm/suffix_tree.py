@@ -2,30 +2,35 @@
 
 The model predicts a text token by token: words with A-Z folded, then the end. Its contexts are the last
 bytes before a word, up to `depth`; its symbols are the end, the words seen LEAST times in training, and one
-symbol for every other word. The counts come from all training texts. A context is kept if its next-symbol
-distribution diverges enough from that of the context one byte shorter: count * KL(context || shorter), the
-bits it saves, must exceed COST bits for each symbol seen in it. Neither bound knows the size of the corpus, so
-more text gives more symbols and more contexts. A kept context's distribution is smoothed towards that of
-the longest kept one before it, (count + weight * that) / (total + weight), and the empty one's towards the
-words' shares. The longest kept suffix of what came before a token scores it; a word without a symbol of its
-own gets the other words' probability times its share (count + 1) / (their tokens + their number + 1).
-
-Words and tree are tables; they are joined, never broadcast or collected. Documents are dealt into blocks of
-bounded size, and a block's distinct pairs of context and word are counted. Their sums over all blocks are
-the words' counts and the tree's; what a block's pairs get from both returns to it, where its texts are scored.
-
-A null text is empty and consists of the end alone. Rows that repeat are scored one by one. Without
-training texts all counts are 0. Words are known by 64-bit hashes.
+symbol for every other word. The counts come from all training texts. The tree grows from the empty context:
+of the contexts one byte longer than a kept one, those are kept whose next-symbol distribution diverges enough
+from the kept one's: count * KL(context || shorter), the bits it saves, must exceed COST bits for each symbol
+seen in it. Neither bound knows the size of the corpus, so more text gives more symbols and more contexts. A
+kept context's distribution is smoothed towards that of the kept one a byte shorter, (count + weight * that) /
+(total + weight), and the empty one's towards the words' shares. The longest kept suffix of what came before a
+token scores it; a word without a symbol of its own gets the other words' probability times its share
+(count + 1) / (their tokens + their number + 1).
+
+Words and tree are tables; they are joined, never collected. A pass over the texts for each length counts
+pairs of context and symbol below the kept contexts only. Tasks know these by a bit for each possible context
+(at most 2**24, so 2 MB) and the symbols by a bit array of 1 MB, where a wrong bit sends a rare word along by
+its own hash, and the join that follows finds it out. Documents are dealt into blocks of bounded size, row by
+row; a block asks for its distinct pairs, and what it is told meets its texts, where they are scored.
+
+A null text is empty and consists of the end alone. Rows that repeat are scored one by one; a long text is
+read in whole, and is one row of its block. Without training texts all counts are 0. An empty table gives an
+empty result. Words are known by 64-bit hashes. Only the columns named are read.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gableboard.llm import text_bytes as tb
@@ -36,33 +41,36 @@ DEPTH, WEIGHT = 4, 8.0
 LEAST, COST = 16, 8.0
 SPACE = 0x20
 BLOCK_BYTES = 24 << 20
+#: Bits of the array of symbols; rows that a task holds before it passes them on.
+SYMBOL_BITS, HELD = 23, 1 << 21
+#: Stands where a context does for the counts of words.
+COUNT = -1
 END_WORD, OTHER = (int(x) for x in tb.mix(np.array([0x5EED, 0x07E4], np.uint64)).view(np.int64))
 
 
-def stream(data: np.ndarray, offsets: np.ndarray):
+def stream(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray):
     """Bytes of the texts as the tree sees them: a space, then each word with a space after it; the texts'
-    offsets in them; the place of each word, and one more; the number of words before each text."""
-    starts, ends, first = tb.spans(data, offsets, tb.NOT_SPACE)
+    offsets in them; the place of each word, and one more. starts, ends: the words; first: how many stand before each text."""
     lengths = ends - starts + 1
-    texts = np.arange(len(offsets))
+    texts = np.arange(len(first))
     begin = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(lengths, out=begin[1:])
     at = begin.copy()
     at[:-1] += np.repeat(texts[1:], np.diff(first))
-    at[-1] += len(offsets) - 1
+    at[-1] += len(first) - 1
     out = np.full(at[-1], SPACE, np.uint8)
     inside = np.ones(begin[-1], bool)
     inside[begin[1:] - 1] = False
     inside = np.flatnonzero(inside)
     out[inside + np.repeat(at[:-1] - begin[:-1], lengths - 1)] = tb.FOLD[data[inside + np.repeat(starts - begin[:-1], lengths - 1)]]
-    return out, begin[first] + texts, at, first
+    return out, begin[first] + texts, at
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each token, the `depth` bytes before it (without the space next to it) as a number, and the
     texts' offsets in both."""
-    symbols, at, places, first = stream(data, offsets)
-    starts, ends, _ = tb.spans(data, offsets, tb.NOT_SPACE)
+    starts, ends, first = tb.spans(data, offsets, tb.NOT_SPACE)
+    symbols, at, places = stream(data, starts, ends, first)
     words = np.insert(tb.word_hashes(data, starts, ends).view(np.int64), first[1:], END_WORD)
     places = np.insert(places[:-1], first[1:], at[1:])
     begin = np.repeat(at[:-1], np.diff(first) + 1)
@@ -77,107 +85,209 @@ def pair_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return tb.mix(tb.mix(context.astype(np.uint64)) + symbol.view(np.uint64))
 
 
-def _met(table: pa.Table) -> pa.Table:
-    """block, context, word, n: the distinct pairs of a block, and how often each occurs in training."""
-    learn = table.column("training").to_numpy().astype(bool)
-    data, offsets = tb.utf8(table.column("text"))
-    parts = []
-    for i, j in tb.groups(offsets, 4 * tb.CHUNK):
-        words, code, first = tokens(data, offsets[i:j + 1])
-        _, at, of = np.unique(pair_keys(code, words), return_index=True, return_inverse=True)
-        learned = np.repeat(learn[i:j], np.diff(first))
-        parts.append((code[at], words[at], np.bincount(of, learned, len(at))))
-    code, words, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    _, at, of = np.unique(pair_keys(code, words), return_index=True, return_inverse=True)
-    n = np.bincount(of, n, len(at)).astype(np.int64)
-    block = pa.array(np.full(len(at), table.column("block")[0].as_py(), np.int32))
-    return pa.table({"block": block, "context": code[at], "word": words[at], "n": n})
-
-
-def tree(pairs: DataFrame, total: int, distinct: int, rest: int, depth: int = DEPTH, weight: float = WEIGHT,
-         cost: float = COST) -> DataFrame:
-    """context, symbol, p, length (of the longest kept suffix) for every pair of `pairs` (context, symbol, n;
-    a pair that is not in training has n = 0).
-
-    total, distinct: all training tokens, and how many differ; rest: tokens and words without a symbol of
-    their own, plus 1."""
+def _bits(df: DataFrame, position: Column, size: int) -> np.ndarray:
+    """A bit array of `size` bits, set at the positions found in df."""
+    found = df.groupBy(F.shiftright(position, 15).alias("part")).agg(F.bitmap_construct_agg(position.bitwiseAND(F.lit(0x7FFF))).alias("bits"))
+    out = np.zeros(max(size, 1 << 15) // 8, np.uint8)
+    for r in found.collect():
+        out[r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _frequent(token: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """OTHER for all words that are certainly no symbols."""
+    return np.where(_has(bits, (token.view(np.uint64) >> np.uint64(64 - SYMBOL_BITS)).astype(np.int64)), token, OTHER)
+
+
+def _below(code: np.ndarray, length: int) -> np.ndarray:
+    return code & ((1 << 8 * length) - 1)
+
+
+def _distinct(parts: list) -> list[np.ndarray]:
+    """The distinct rows of `parts` (arrays of the columns, the last one a count), with their counts added up."""
+    *keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    name = keys[0].view(np.uint64)
+    for k in keys[1:]:
+        name = pair_keys(name, k)
+    if not len(name):
+        return [*keys, n.astype(np.int64)]
+    order = np.argsort(name)
+    name = name[order]
+    start = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+    return [*(k[order[start]] for k in keys), np.add.reduceat(n[order], start).astype(np.int64)]
+
+
+def _gathered(batches, take, names: list[str]):
+    """The rows that `take` gives for each run of texts of a batch, distinct within HELD rows at least."""
+    parts, held = [], 0
+    for batch in batches:
+        data, offsets = tb.utf8(batch.column("text"))
+        for i, j in tb.groups(offsets, 4 * tb.CHUNK):
+            part = _distinct([take(batch, data, offsets, i, j)])
+            parts.append(part)
+            held += len(part[0])
+            if held > HELD:
+                parts = [_distinct(parts)]
+                held = len(parts[0][0])
+                if held > HELD // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts[0]], names)
+                    parts, held = [], 0
+    if parts:
+        parts = parts if len(parts) == 1 else [_distinct(parts)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts[0]], names)
+
+
+def _dealt(batches, block_bytes: int):
+    """Each batch with the block of its rows: a task's rows in their order, cut after so many bytes."""
+    start, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        _, offsets = tb.utf8(batch.column("text"))
+        block = start + (size + offsets[:-1] - offsets[0]) // block_bytes
+        size += int(offsets[-1] - offsets[0])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], ["doc_id", "training", "text", "block"])
+
+
+def _training(batch, i: int, j: int, first: np.ndarray) -> np.ndarray:
+    """Whether each token of the texts i to j is learned from."""
+    learn = batch.column("training").to_numpy(zero_copy_only=False).astype(bool)
+    return np.repeat(learn[i:j], np.diff(first))
+
+
+def _words(batch, data, offsets, i, j):
+    token, _, first = tokens(data, offsets[i:j + 1])
+    token = token[_training(batch, i, j, first)]
+    return token, np.ones(len(token))
+
+
+def grown(placed: DataFrame, symbols: DataFrame, frequent, level: DataFrame, total: int, depth: int = DEPTH, weight: float = WEIGHT,
+          cost: float = COST) -> tuple[DataFrame, list[np.ndarray]]:
+    """context (with its length above 32 bits), symbol, p of every pair that a text of `placed` may ask for, and the kept
+    contexts of the lengths 1 to depth - 1 as bits. symbols: word; frequent: their bit array, as a broadcast; level: symbol,
+    n, p in the empty context."""
+    if not 2 <= depth <= 4:
+        raise ValueError("contexts have 2 to 4 bytes")
+    share = placed.sparkSession.sparkContext.broadcast
     short = lambda d: F.col("context").bitwiseAND(F.lit((1 << 8 * d) - 1))
-    summed = lambda df: df.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-    orders = {depth: written(summed(pairs), "followers")}
-    for d in range(depth - 1, -1, -1):
-        orders[d] = written(summed(orders[d + 1].select(short(d).alias("context"), "symbol", "n")), "followers")
-    # Without training, the end and the others share all.
-    share = F.when(F.col("symbol") == OTHER, F.lit(rest)).otherwise(F.col("n") + 1) / F.lit(total + distinct + 1 + (total == 0))
-    level = orders[0].select("context", "symbol", "n", F.lit(total).cast("long").alias("all"), F.lit(0).alias("length"),
-                             ((F.col("n") + weight * share) / F.lit(total + weight)).alias("p"))
+
+    def counted(d: int, kept) -> DataFrame:
+        def take(batch, data, offsets, i, j):
+            token, code, first = tokens(data, offsets[i:j + 1])
+            n = _training(batch, i, j, first).astype(float)
+            if kept is not None:
+                below = _has(kept.value, _below(code, d - 1))
+                token, code, n = token[below], code[below], n[below]
+            return _below(code, d), _frequent(token, frequent.value), n
+
+        names = ["context", "word", "n"]
+        met = placed.mapInArrow(lambda batches: _gathered(batches, take, names), "context long, word long, n long")
+        own = met.join(symbols.select("word", F.col("word").alias("symbol")), "word", "left")
+        return own.groupBy("context", F.coalesce("symbol", F.lit(OTHER)).alias("symbol")).agg(F.sum("n").alias("n"))
+
+    level = level.select(F.lit(0).cast("long").alias("context"), "symbol", "n", F.lit(total).cast("long").alias("all"), "p")
+    told, bits = [level], []
+    pairs = written(counted(2, None), "followers")
     for d in range(1, depth + 1):
-        above = level.select(F.col("context").alias("above"), "symbol", F.col("n").alias("m"), "all", "length", "p")
-        own = orders[d].withColumn("above", short(d - 1)).join(above, ["above", "symbol"]).drop("above")
-        own = written(own, "suffixes")
+        if d == 1:
+            own = pairs.groupBy(short(1).alias("context"), "symbol").agg(F.sum("n").alias("n"))
+        else:
+            own = pairs if d == 2 else counted(d, share(bits[-1]))
+        above = level.select(F.col("context").alias("above"), "symbol", F.col("n").alias("m"), "all", "p")
+        own = written(own.withColumn("above", short(d - 1)).join(above, ["above", "symbol"]).drop("above"), "suffixes")
         seen = F.col("n") > 0
         each = own.groupBy("context").agg(
             F.sum(F.when(seen, F.col("n") * F.log2(F.col("n") / F.col("m"))).otherwise(0.0)).alias("s"), F.sum("n").alias("c"),
             F.count(F.when(seen, True)).alias("k"), F.max("all").alias("above_all"))
         saves = F.col("s") + F.col("c") * F.log2(F.col("above_all") / F.col("c")) > cost * F.col("k")
-        each = each.select("context", "c", ((F.col("c") > 0) & F.coalesce(saves, F.lit(False))).alias("kept"))
+        each = written(each.select("context", "c", ((F.col("c") > 0) & F.coalesce(saves, F.lit(False))).alias("kept")), "contexts")
+        if d < depth:  # a text asks for kept contexts only; of the greatest length for all below a kept one
+            each = each.filter("kept")
+            bits.append(_bits(each, F.col("context"), 1 << 8 * d))
         if d <= 2:  # at most 65,536 contexts
             each = F.broadcast(each)
         level = own.join(each, "context").select(
-            "context", "symbol", "n", F.col("c").alias("all"), F.when(F.col("kept"), F.lit(d)).otherwise(F.col("length")).alias("length"),
+            "context", "symbol", "n", F.col("c").alias("all"),
             F.when(F.col("kept"), (F.col("n") + weight * F.col("p")) / (F.col("c") + weight)).otherwise(F.col("p")).alias("p"))
-    return level.select("context", "symbol", "p", "length")
+        told.append(level)
+    key = lambda d: (F.col("context") + F.lit(d << 32)).alias("context")
+    return reduce(DataFrame.union, (x.select(key(d), "symbol", "p") for d, x in enumerate(told))), bits
+
 
+def _longest(code: np.ndarray, bits: list[np.ndarray]) -> np.ndarray:
+    """What each token asks for: its longest kept context, or below one of the longest but one, the whole code."""
+    asked = np.zeros(len(code), np.int64)
+    kept = np.ones(len(code), bool)
+    for d, known in enumerate(bits, 1):
+        kept &= _has(known, _below(code, d))
+        asked = np.where(kept, _below(code, d) + (d << 32), asked)
+    return np.where(kept, _below(code, len(bits) + 1) + (len(bits) + 1 << 32), asked)
 
-def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+
+def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES,
+          depth: int = DEPTH, weight: float = WEIGHT, cost: float = COST) -> DataFrame:
     """doc_id, training, n_tokens, n_known, train_tokens, base_score, score for every row of docs; rows with
     `training` true are learned from."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), training.alias("training"), F.col(text).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
-    placed = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-
-    pairs = written(placed.groupBy("block").applyInArrow(_met, "block int, context long, word long, n long"), "pairs")
-    # A word has at most one row for each block.
-    of_word = W.partitionBy("word")
-    words = pairs.groupBy("block", "word").agg(F.sum("n").alias("n"))
-    counted = written(words.withColumn("c", F.sum("n").over(of_word)).withColumn("once", F.min("block").over(of_word) == F.col("block")),
-                      "words")
-    is_symbol = (F.col("c") >= LEAST) | (F.col("word") == END_WORD)
-    met_once = F.col("once") & (F.col("c") > 0)
-    n, v, rest = counted.agg(F.sum("n"), F.count(F.when(met_once, True)),
-                             F.sum(F.when(met_once & ~is_symbol, F.col("c") + 1))).first()
-    n, v, rest = n or 0, v or 0, (rest or 0) + 1
-    asked = (pairs.join(counted.select("block", "word", "c"), ["block", "word"])
-             .groupBy("block", "context", F.when(is_symbol, F.col("word")).otherwise(F.lit(OTHER)).alias("symbol")).agg(F.sum("n").alias("n")))
-    asked = written(asked, "asked")
-    told = asked.join(tree(asked.select("context", "symbol", "n"), n, v, rest), ["context", "symbol"])
-    # Pairs with their logarithms, and words, without a context, with their counts.
-    told = told.select("block", "context", F.col("symbol").alias("word"), F.log10("p").alias("x"))
-    told = told.union(counted.select("block", F.lit(None).cast("long"), "word", F.col("c").cast("double")))
+    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("training"), F.col(text).alias("text"))
+    # Written, so that a lost task finds each row in its block again.
+    placed = docs.mapInArrow(lambda batches: _dealt(batches, block_bytes), "doc_id long, training boolean, text string, block long")
+    placed = written(placed, "blocks")
+
+    words = placed.mapInArrow(lambda batches: _gathered(batches, _words, ["word", "n"]), "word long, n long")
+    words = written(words.groupBy("word").agg(F.sum("n").alias("c")), "words")
+    is_end, is_symbol = F.col("word") == END_WORD, (F.col("c") >= LEAST) | (F.col("word") == END_WORD)
+    n, v, rest, ends, other = (x or 0 for x in words.agg(
+        F.sum("c"), F.count("c"), F.sum(F.when(~is_symbol, F.col("c") + 1)), F.sum(F.when(is_end, F.col("c"))),
+        F.sum(F.when(~is_symbol, F.col("c")))).first())
+    rest += 1
+    fixed = spark.createDataFrame([(END_WORD, ends), (OTHER, other)], "symbol long, n long")
+    # Without training, the end and the others share all.
+    part = F.when(F.col("symbol") == OTHER, F.lit(rest)).otherwise(F.col("n") + 1) / F.lit(n + v + 1 + (n == 0))
+    level = words.filter(is_symbol & ~is_end).select(F.col("word").alias("symbol"), F.col("c").alias("n")).union(fixed)
+    level = level.withColumn("p", (F.col("n") + weight * part) / F.lit(n + weight))
+    symbols = words.filter(is_symbol).select("word").union(spark.createDataFrame([(END_WORD,)], "word long")).distinct()
+    symbols = written(symbols, "symbols")  # so that Spark knows its size before it plans a join
+    frequent = spark.sparkContext.broadcast(_bits(symbols, F.shiftrightunsigned("word", 64 - SYMBOL_BITS), 1 << SYMBOL_BITS))
+    tree, bits = grown(placed, symbols, frequent, level, n, depth, weight, cost)
+    known = spark.sparkContext.broadcast(bits)
+
+    def asks(batch, data, offsets, i, j):
+        token, code, first = tokens(data, offsets[i:j + 1])
+        block = np.repeat(batch.column("block").to_numpy()[i:j], np.diff(first))
+        # Of each word its count is asked too, as if it stood in a context of its own kind.
+        return (np.tile(block, 3), np.concatenate([_longest(code, known.value), _longest(code, known.value), np.full(len(code), COUNT)]),
+                np.concatenate([_frequent(token, frequent.value), np.full(len(code), OTHER), token]), np.ones(3 * len(token)))
+
+    asked = placed.mapInArrow(lambda batches: _gathered(batches, asks, ["block", "context", "symbol", "n"]),
+                              "block long, context long, symbol long, n long").drop("n")
+    all_known = tree.union(words.select(F.lit(COUNT).cast("long"), "word", F.col("c").cast("double")))
+    told = asked.join(all_known.withColumnRenamed("p", "x"), ["context", "symbol"])
     names = ["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def scored(table: pa.Table, known: pa.Table) -> pa.Table:
-        is_word = known.column("context").is_null().to_numpy()
-        context = known.column("context").fill_null(0).to_numpy()
-        words, x = known.column("word").to_numpy(), known.column("x").to_numpy()
-        pairs, logs = pair_keys(context[~is_word], words[~is_word]), x[~is_word]
+    def scored(table: pa.Table, told: pa.Table) -> pa.Table:
+        pairs = pair_keys(told.column("context").to_numpy(), told.column("symbol").to_numpy())
         order = np.argsort(pairs)
-        pairs, logs = pairs[order], logs[order]
-        words, counts = words[is_word], x[is_word].astype(np.int64)
-        order = np.argsort(words)
-        words, counts = words[order], counts[order]
+        pairs, x = pairs[order], told.column("x").to_numpy()[order]
+
+        def found(context, symbol):
+            wanted = pair_keys(context, symbol)
+            at = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
+            return np.where(pairs[at] == wanted, x[at], 0.0)
+
         data, offsets = tb.utf8(table.column("text"))
         tokens_of, met, base, model = (np.zeros(len(offsets) - 1, k) for k in (np.int64, np.int64, float, float))
         for i, j in tb.groups(offsets):
             token, code, first = tokens(data, offsets[i:j + 1])
-            c = counts[np.searchsorted(words, token)]
+            c = found(np.full(len(token), COUNT), token)
+            own = (c >= LEAST) | (token == END_WORD)
+            share = found(_longest(code, known.value), np.where(own, token, OTHER))
             sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[first])
             tokens_of[i:j], met[i:j] = np.diff(first), sums(c > 0)
             base[i:j] = sums(np.log10(c + 1.0)) - np.diff(first) * math.log10(n + v + 1)
-            own = (c >= LEAST) | (token == END_WORD)
-            log = logs[np.searchsorted(pairs, pair_keys(code, np.where(own, token, OTHER)))]
-            model[i:j] = sums(log + np.where(own, 0, np.log10((c + 1.0) / rest)))
+            model[i:j] = sums(np.log10(share) + np.where(own, 0, np.log10((c + 1.0) / rest)))
         return pa.table([table.column("doc_id"), table.column("training"), pa.array(tokens_of), pa.array(met),
                          pa.array(np.full(len(met), n, np.int64)), pa.array(base), pa.array(model)], names=names)
 

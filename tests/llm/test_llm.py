@@ -8,8 +8,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from gableboard.llm import (chat, credentials, decontaminate, jaccard, language_id, packing, page_diff, suffix_tree,
+from gableboard.llm import (chat, credentials, decontaminate, jaccard, language_id, packing, page_diff, queries, suffix_tree,
                             topk, toxicity)
+from gableboard.llm.tables import shared_folder
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 LONG = "lorem ipsum dolor sit amet " * 4000
@@ -267,6 +268,67 @@ def test_suffix_tree_keeps_what_is_attested(spark):
     assert found[200] == pytest.approx(found[100]) and found[200] > math.log10(40 / 60_000) - 1
 
 
+def test_suffix_tree_equals_dictionaries(spark):
+    """The whole registered result against a tree made of dictionaries."""
+    rng = np.random.default_rng(11)
+    vocabulary = [a + b for a in ("ka", "lo", "mi", "ru", "é") for b in ("ba", "da", "fi")]
+    rows = []
+    for i in range(260):
+        at, said = int(rng.integers(15)), []
+        for _ in range(int(rng.integers(0, 60))):
+            at = (at * 2 + 1) % 15 if rng.random() < 0.8 else int(rng.integers(15))
+            said.append(vocabulary[at] if rng.random() < 0.95 else f"x{rng.integers(500)}")
+        rows.append((i, " ".join(said), "clash"))
+    rows += [(300, None, None), (301, "", None), (None, "KAba  lodo\tnew", None), (302, "kaba", None), (302, "kaba", None), (303, "kaba " * 3000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, block string")
+    held = lambda key: zlib.crc32(("" if key is None else str(key)).encode()) % 7 == 2
+    end, other = object(), object()
+
+    def told(text):
+        """(context, word) of each token."""
+        before, out = b" ", []
+        for w in [x.encode() for x in words(text)] + [end]:
+            out.append(((b" " * 5 + before)[-5:-1], w))
+            before += b"" if w is end else w + b" "
+        return out
+
+    learned = [t for key, text, _ in rows if not held(key) for t in told(text)]
+    counts = Counter(w for _, w in learned)
+    n, v = len(learned), len(counts)
+    symbol = lambda w: w if w is end or counts[w] >= suffix_tree.LEAST else other
+    rest = 1 + sum(c + 1 for w, c in counts.items() if symbol(w) is other)
+    met = [Counter((x[4 - d:], symbol(w)) for x, w in learned) for d in range(5)]
+    of = [Counter(x[4 - d:] for x, _ in learned) for d in range(5)]
+    kept = {b""}
+    for d in range(1, 5):
+        for x, c in of[d].items():
+            if x[1:] in kept:
+                seen = {s: k for (y, s), k in met[d].items() if y == x}
+                saved = sum(k * math.log2(k * of[d - 1][x[1:]] / (c * met[d - 1][x[1:], s])) for s, k in seen.items())
+                if saved > suffix_tree.COST * len(seen):
+                    kept.add(x)
+    assert {len(x) for x in kept} >= {0, 1, 2, 3}
+
+    def share(x, s):
+        if not x:
+            below = (rest if s is other else counts[s] + 1) / (n + v + 1)
+        else:
+            below = share(x[1:], s)
+        return (met[len(x)][x, s] + suffix_tree.WEIGHT * below) / (of[len(x)][x] + suffix_tree.WEIGHT)
+
+    def want(key, text):
+        total, base = 0.0, 0.0
+        for x, w in told(text):
+            d = max(d for d in range(5) if all(x[4 - e:] in kept for e in range(d + 1)))
+            total += math.log10(share(x[4 - d:], symbol(w))) + (math.log10((counts[w] + 1) / rest) if symbol(w) is other else 0)
+            base += math.log10((counts[w] + 1) / (n + v + 1))
+        return str(key), held(key), len(told(text)), sum(counts[w] > 0 for _, w in told(text)), n, round(base, 4), round(total, 4)
+
+    folder = f"{shared_folder(spark, 'tables')}"
+    docs.write.parquet(f"{folder}/documents.parquet")
+    found = [(str(r.doc_id), *r[1:5], round(r.base_score, 4), round(r.score, 4)) for r in queries.op9_suffix_tree(spark, folder).collect()]
+    assert sorted(found) == sorted(want(key, text) for key, text, _ in rows)
+
 def test_toxicity_learns_words(spark):
     rng = np.random.default_rng(3)
     plain = ["the", "of", "and", "river", "mountain", "paper", "window", "garden", "yellow", "summer"]
