@@ -42,7 +42,7 @@ LEAST, COST = 16, 8.0
 SPACE = 0x20
 BLOCK_BYTES = 24 << 20
 #: Bits of the array of symbols; rows that a task holds before it passes them on.
-SYMBOL_BITS, HELD = 23, 1 << 21
+SYMBOL_BITS, HELD = 23, 1 << 20
 #: Stands where a context does for the counts of words.
 COUNT = -1
 END_WORD, OTHER = (int(x) for x in tb.mix(np.array([0x5EED, 0x07E4], np.uint64)).view(np.int64))
@@ -126,7 +126,7 @@ def _gathered(batches, take, names: list[str]):
     parts, held = [], 0
     for batch in batches:
         data, offsets = tb.utf8(batch.column("text"))
-        for i, j in tb.groups(offsets, 4 * tb.CHUNK):
+        for i, j in tb.groups(offsets, 2 * tb.CHUNK):
             part = _distinct([take(batch, data, offsets, i, j)])
             parts.append(part)
             held += len(part[0])
@@ -257,9 +257,11 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     def asks(batch, data, offsets, i, j):
         token, code, first = tokens(data, offsets[i:j + 1])
         block = np.repeat(batch.column("block").to_numpy()[i:j], np.diff(first))
-        # Of each word its count is asked too, as if it stood in a context of its own kind.
-        return (np.tile(block, 3), np.concatenate([_longest(code, known.value), _longest(code, known.value), np.full(len(code), COUNT)]),
-                np.concatenate([_frequent(token, frequent.value), np.full(len(code), OTHER), token]), np.ones(3 * len(token)))
+        pairs = _distinct([(block, _longest(code, known.value), _frequent(token, frequent.value), np.ones(len(token)))])
+        # Asked too: the rare words' probability in each context, and of each word its count, as if it stood in a context of its own kind.
+        rare = _distinct([(pairs[0], pairs[1], np.full(len(pairs[0]), OTHER), pairs[3])])
+        counts = _distinct([(block, np.full(len(token), COUNT), token, np.ones(len(token)))])
+        return [np.concatenate(x) for x in zip(pairs, rare, counts, strict=True)]
 
     asked = placed.mapInArrow(lambda batches: _gathered(batches, asks, ["block", "context", "symbol", "n"]),
                               "block long, context long, symbol long, n long").drop("n")
