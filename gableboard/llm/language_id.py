@@ -11,7 +11,7 @@ separator, so that digits, markup and punctuation say nothing about the language
 
 A null text, or one without any letter, is `und` with score 0. Repeated rows are judged one by one. The
 model is fitted on a bounded sample: per language the `per_language` rows with the smallest hash of id and
-text; of a text of more than `max_bytes` bytes its beginning, of at most so many. Without rows to learn from, every text is `und`. Only the
+text, each taken in whole. Without rows to learn from, every text is `und`. Only the
 columns named are read, so further columns of any name are harmless.
 """
 
@@ -30,7 +30,9 @@ from gableboard.llm.tables import packed
 from gableboard.llm.context_tree import ContextTree, closed
 
 UNKNOWN = "und"
-PER_LANGUAGE, MAX_BYTES, DEPTH = 400, 1 << 16, 3
+PER_LANGUAGE, DEPTH = 400, 3
+#: Parts in which a language is ranked before their first rows are, so that no task ranks more than PARTS * per_language.
+PARTS = 32
 #: A context must occur so often in some language to be a state of its own.
 LEAST = 3
 
@@ -125,21 +127,21 @@ def train(texts: list[str], languages: list[str], depth: int = DEPTH) -> Model |
 
 
 def fit(docs: DataFrame, language: str = "lang", text: str = "text", key: str = "doc_id",
-        per_language: int = PER_LANGUAGE, max_bytes: int = MAX_BYTES, depth: int = DEPTH) -> Model | None:
-    """Learn from rows of `docs` with a language; at most per_language texts, and max_bytes bytes of a text, for each."""
+        per_language: int = PER_LANGUAGE, depth: int = DEPTH) -> Model | None:
+    """Learn from rows of `docs` with a language; at most per_language whole texts for each."""
     rows = docs.select(F.col(language).alias("g"), F.col(text).alias("t"),
                        F.xxhash64(F.col(key), F.col(text)).alias("h"))
     rows = rows.filter(F.col("g").isNotNull() & F.col("t").isNotNull())
     # First the largest hash in each sample, then the texts: none is moved that is not in a sample.
-    order = W.partitionBy("g").orderBy("h")
-    ranked = rows.select("g", "h").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+    ranked = rows.select("g", "h", F.pmod("h", F.lit(PARTS)).alias("part"))
+    for keys in (["g", "part"], ["g"]):
+        order = W.partitionBy(*keys).orderBy("h")
+        ranked = ranked.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language).drop("n")
     last = {r["g"]: r["h"] for r in ranked.groupBy("g").agg(F.max("h").alias("h")).collect()}
     within = F.lit(False)
     for g, h in last.items():
         within = within | ((F.col("g") == g) & (F.col("h") <= h))
-    # A character has at most 4 bytes.
-    part = F.when(F.octet_length("t") <= max_bytes, F.col("t")).otherwise(F.substring("t", 1, max_bytes // 4))
-    found = rows.filter(within).dropDuplicates(["g", "h"]).select("g", "h", part.alias("t")).orderBy("g", "h").collect()
+    found = rows.filter(within).dropDuplicates(["g", "h"]).orderBy("g", "h").collect()
     return train([r["t"] for r in found], [r["g"] for r in found], depth)
 
 
