@@ -7,8 +7,8 @@ that names a menu, header, footer, sidebar, notice, advert, form or reader comme
 Pages are ordered by host, path and id, and each is paired with the page before and after it on its host.
 The two pages' lines are aligned by longest common subsequence, and shared lines are deleted, as what two
 pages of a site share is their template. Two exceptions keep results right: lines of an article are never
-deleted, for neighbours repeat whole articles and passages; and a neighbour that shares nine lines in ten of
-what may be deleted is a copy of the page, not a second use of its template, and says nothing. Chrome lines
+deleted, for neighbours repeat whole articles and passages; and a neighbour that shares nine tenths of all
+unmarked and article text is a copy of the page, not a second use of its template, and says nothing. Chrome lines
 are left out in any case, as menus and adverts may differ on every page.
 
 What is left is the text: a page's article, and its other lines that no neighbour shares, whether it has an
@@ -46,12 +46,30 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _CHROME_WORDS = frozenset("""ad ads advert adverts advertisement banner sponsor sponsored promo cookie cookies consent notice notices gdpr
 nav navbar navigation menu breadcrumb breadcrumbs sidebar side header footer masthead comment comments disqus replies respond share
 sharing social related recommended newsletter subscribe subscription signup popup modal login search pagination pager""".split())
-_HIDDEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|svg|iframe|object|canvas|title)\b[^>]*>.*?(?:</\1\s*>|$)"
+#: Parts of a class name that unsay the rest, short words that count alone or beside a place, and such places.
+_UNSAID = frozenset("no not non has have with without is hide hidden".split())
+_SHORT = frozenset("ad ads side".split())
+_PLACES = frozenset("left right top bottom bar box slot unit wrap wrapper container block content area column col panel inner outer".split())
+_HIDDEN = re.compile(r"<!--.*?(?:-->|$)|<svg\b[^>]*/>|<(script|style|noscript|template|textarea|svg|iframe|object|canvas|title)\b[^>]*>.*?(?:</\1\s*>|$)"
                      r"|<![^>]*>|<\?[^>]*>", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+def _names_chrome(attributes: str) -> bool:
+    """Whether a class, id or role names something beside the text, such as `site-footer`, but not `no-sidebar` or `side-by-side`."""
+    for m in _NAMES.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = [w for w in re.split(r"[^a-z]+", name) if w]
+            if not parts or parts[0] in _UNSAID:
+                continue
+            if any(w in _CHROME_WORDS - _SHORT for w in parts):
+                return True
+            if any(w in _SHORT for w in parts) and all(w in _SHORT | _PLACES for w in parts) and (len(parts) == 1 or len(set(parts)) > 1):
+                return True
+    return False
+
+
 def lines(html: str | None) -> list[tuple[str, str]]:
     """(kind, text) of each line of a page."""
     page = _HIDDEN.sub(" ", html or "")
@@ -91,13 +109,13 @@ def lines(html: str | None) -> list[tuple[str, str]]:
         if name == "p" or name == "li":  # closed by the next one
             while stack and stack[-1][0] == name:
                 stack.pop()
-        words = {w for m in _NAMES.finditer(tag[3]) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower())}
+        named = name not in ("body", "html") and _names_chrome(tag[3])
         inside = any(k == "main" for _, k in stack)
-        if name in ("article", "main") and not words & _CHROME_WORDS:
+        if name in ("article", "main") and not named:
             if not inside:  # an article ends whatever was left open before it
                 stack.clear()
             stack.append((name, "main"))
-        elif name in _CHROME and not (name == "header" and inside) or words & _CHROME_WORDS:
+        elif name in _CHROME and not (name == "header" and inside) or named:
             stack.append((name, "chrome"))
         else:
             stack.append((name, ""))
@@ -139,11 +157,12 @@ def shared(a: list[str], b: list[str]) -> set[int]:
 def main_text(page: list[tuple[str, str]], neighbours: list[list[tuple[str, str]]]) -> str:
     texts = [t for _, t in page]
     loose = {i for i, (k, _) in enumerate(page) if k != "main"}
+    size = lambda places: sum(len(texts[i]) for i in places if page[i][0] != "chrome")
     drop = set()
     for other in neighbours:
-        both = shared(texts, [t for _, t in other]) & loose
-        if len(both) < COPY * len(loose):
-            drop |= both
+        both = shared(texts, [t for _, t in other])
+        if size(both) < COPY * size(range(len(page))):
+            drop |= both & loose
     return "\n".join(t for i, (k, t) in enumerate(page) if k != "chrome" and i not in drop)
 
 

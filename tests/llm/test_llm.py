@@ -375,6 +375,23 @@ def test_differencing_decides_beside_an_article(spark):
     assert sorted((r.page_id, r.text) for r in found.collect()) == [(i, f"text {i}\nnote {i}") for i in range(3)]
 
 
+def test_template_goes_and_articles_stay(spark):
+    """Class names that only mention a sidebar, self-closed elements, pages whose loose lines are all template."""
+    pages = ["<div>Our site</div><article><p>text {0}</p></article><div>All rights</div>",
+             "<body class='single no-sidebar'><p>text {0}</p></body>",
+             "<article class='post has-sidebar'><p>text {0}</p></article>",
+             "<article><div class='side-by-side'>text {0}</div><p class='ad-hoc'>more {0}</p></article>",
+             "<article><p>text {0}</p><svg viewBox='0 0 1 1' /><p>more {0}</p></article>",
+             "<main><p>text {0}</p><div class='site-footer'>foot</div><div class='ad-box'>buy {0}</div><div id='comments'>no {0}</div></main>",
+             "<div>Our site</div><article><p>text 0</p></article><div>All rights</div>"]
+    more = {3, 4}
+    rows = [(10 * k + i, f"http://h{k}.org/{i}", page.format(i)) for k, page in enumerate(pages) for i in range(3)]
+    found = dict(page_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "text").collect())
+    want = {10 * k + i: f"text {i}" + (f"\nmore {i}" if k in more else "") for k in range(6) for i in range(3)}
+    # Copies say nothing about each other.
+    assert found == want | {60 + i: "Our site\ntext 0\nAll rights" for i in range(3)}
+
+
 def test_alignment_is_longest():
     rng = np.random.default_rng(4)
     for _ in range(200):
