@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from gableboard.constants import SEARCH_CAP
 from gableboard.operators.index import matches
@@ -53,10 +53,24 @@ def build(rows: DataFrame, path: str) -> None:
     keyed = rows.withColumn("key", _key())
     keyed.withColumn("bucket", _bucket(F.col("key"))).repartitionByRange("bucket", "key", "id").sortWithinPartitions("key").write.mode(
         "overwrite").partitionBy("bucket").parquet(f"{path}/records")
-    both = F.array_union(_grams(F.col("name")), _grams(F.col("office")))
-    posted = keyed.select("key", F.explode(both).alias("gram")).distinct().withColumn("bucket", _bucket(F.col("gram")))
-    posted.repartitionByRange("bucket", "gram", "key").sortWithinPartitions("gram", "key").write.mode("overwrite").partitionBy(
-        "bucket").parquet(f"{path}/postings")
+    # Postings come from the stored names, so that the records are not made again.
+    stored = rows.sparkSession.read.schema("office string, key string, bucket int").parquet(f"{path}/records")
+    postings(stored).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+
+
+def postings(stored: DataFrame) -> DataFrame:
+    """Every (bucket, gram, key) of stored records once, in order within ranges.
+
+    Grams are dealt before repeated ones go, so a task holds a range of them and never all of its names.
+    """
+    offices = F.explode(F.array(F.lit(""), F.coalesce(F.lower("office"), F.lit(""))))
+    texts = stored.select("key", offices.alias("office")).distinct()
+    own = _grams(F.col("key"))
+    grams = F.when(F.col("office") == "", own).otherwise(F.array_except(_grams(F.col("office")), own))
+    posted = texts.select("key", F.explode(grams).alias("gram")).withColumn("bucket", _bucket(F.col("gram")))
+    place = F.row_number().over(W.partitionBy("bucket", "gram", "key").orderBy("bucket"))
+    dealt = posted.repartitionByRange("bucket", "gram", "key").withColumn("_place", place)
+    return dealt.filter("_place = 1").drop("_place").sortWithinPartitions("bucket", "gram", "key")
 
 
 def hits(spark: SparkSession, path: str, query: str) -> DataFrame:

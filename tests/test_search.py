@@ -50,6 +50,21 @@ def test_search_reads_postings_of_its_grams(spark, folder):
     assert "PartitionFilters: [isnotnull(bucket" in text or "dynamicpruning" in text
 
 
+def test_postings_are_dealt_before_repeated_ones_go(spark, sources, folder):
+    want = set()
+    for df in sources.values():
+        for r in df.collect():
+            key = (r.name or "").lower()
+            want |= {(key, x[i:i + k]) for x in (key, (r.office or "").lower()) for k in (2, 3) for i in range(len(x) - k + 1)}
+    got = [(r.key, r.gram) for r in spark.read.parquet(f"{folder}/postings").select("key", "gram").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # No aggregate holds the grams of all names of a task.
+    stored = spark.read.schema("office string, key string, bucket int").parquet(f"{folder}/records")
+    text = search_index.postings(stored)._jdf.queryExecution().executedPlan().toString()
+    dealt = text[:text.index("Generate")]
+    assert "rangepartitioning" in dealt and "Aggregate" not in dealt
+
+
 def listing(i, **more):
     return {"detail_url": f"u{i}", "status": "Closed", "sale_price": i, **more}
 
