@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gableboard.constants import TOWNS
-from gableboard.functions.keys import address_hash, match_key, normalized_address, split_address
+from gableboard.functions.keys import computed, match_key, split_address, with_address
 from gableboard.functions.names import blank_to_null, groups, in_towns, let, squeeze
 from gableboard.functions.numbers import digits
 from gableboard.functions.text import extract, office_guess, page_position, profile_counters, us_date
@@ -111,10 +111,8 @@ def sold_rows(links: DataFrame, *, cutoff, towns: tuple[str, ...] = TOWNS, text:
         F.col("_p.a.state").alias("state"), F.col("_p.a.zip").alias("zip"), "_p.sale_date",
         "_p.sale_price", "_p.represented_side")
     rows = rows.filter(passes_cutoff("sale_date", cutoff) & in_towns(F.trim("city"), towns))
-    rows = rows.withColumn("normalized_address", normalized_address("address", "city", "state", "zip"))
-    rows = rows.withColumn("normalized_address_hash", address_hash("normalized_address"))
-    rows = rows.withColumn(
-        "transaction_match_key", match_key("normalized_address_hash", "sale_date", "sale_price"))
+    rows = computed(with_address(rows), transaction_match_key=match_key(
+        "normalized_address_hash", "sale_date", "sale_price"))
     return first_wins(rows, [profile, "transaction_match_key", "represented_side"], [position])
 
 

@@ -202,3 +202,14 @@ def test_no_limit_and_links_without_a_date(spark):
     links = spark.createDataFrame([("t", "p1", None, None), ("t", "p2", "Two", None)], "team_profile_url string, member_profile_url string, member_name string, discovered_at timestamp")
     got = sorted(map(tuple, merge.member_profiles(profiles, links).select("profile_url", "profile_name", "profile_type", "discovered_at").collect()))
     assert got == [("p1", "One", "individual", None), ("p2", "Two", "individual", None)]
+
+
+def test_listed_words_side_by_side_and_inside_others(spark):
+    street = "1 Street Street lane-LANE Streets XROAD Road's"
+    assert value(spark, [street], keys.normalized_address("a")) == "1 ST ST LN LN STREETS XROAD RD S"
+
+
+def test_computed_columns_replace_and_keep_nulls(spark):
+    rows = spark.createDataFrame([(1, "x"), (2, None)], "i int, a string")
+    got = keys.computed(rows, a=F.upper("a"), b=F.col("i") + 1)
+    assert got.columns == ["i", "a", "b"] and sorted(map(tuple, got.collect())) == [(1, "X", 2), (2, None, 3)]

@@ -220,3 +220,10 @@ def test_trends_read_their_source_once(spark, listings):
 
 def test_schemas_are_declared():
     assert len(schemas.LISTING.fields) == 35 and len(schemas.TRANSACTION.fields) == 25
+
+
+@pytest.mark.parametrize("query, times", [
+    ("merge_profile_sales", 1), ("merge_team_sales", 1), ("team_gap_summary", 2), ("team_gap_detail", 2), ("sold_row_texts", 1)])
+def test_addresses_are_normalised_once_a_row(spark, query, times):
+    """A filter of keys that is pushed below the projection would make them again; the team gap has two sides."""
+    assert plan(catalogue.queries()[query](spark, SF)).count("APARTMENT") == times
