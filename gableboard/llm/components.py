@@ -37,3 +37,14 @@ def components(links: DataFrame) -> DataFrame:
     found = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return found.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).groupBy("node").agg(
         F.min("root").alias("root"))
+
+
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """node, root as `components` of the links behind `roots` and further ones: only links between components make rounds."""
+    for side in ("a", "b"):
+        known = roots.select(F.col("node").alias(side), F.col("root").alias("known"))
+        links = links.join(known, side, "left").withColumn(side, F.coalesce("known", side)).drop("known")
+    found = written(components(links), "merged")
+    top = found.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return moved.union(found.join(roots, "node", "left_anti").select("node", "root"))

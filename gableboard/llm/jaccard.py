@@ -13,10 +13,11 @@ Texts with equal sets form one node. The join of nodes goes through four steps,
 4. Tiles. A key all of whose nodes are connected by now is done, and so is one with no more nodes than
    the stars have paired with each other. In the others, nodes are sorted by size
    and cut into tiles of bounded size; pairs of tiles whose sizes allow a link are compared by bitmaps,
-   only across different components, and what is left is checked as in step 3.
+   only across different components, and what is left is checked as in step 3. Keys of few nodes do with the
+   bitmaps of step 3, where a node leaves few pairs however near they are; wide ones are made for the others.
 
 So no group's pairs are all made, while every link is either checked or joins nodes that are connected
-already: the components equal those of all links. Bitmaps have about two bits per shingle, in tiles eight, rounded
+already: the components equal those of all links. Bitmaps have at least one bit per shingle, wide ones eight, rounded
 up to a power of two (a size band); the wider of two is folded onto the other.
 
 A null text, or one without words, has no set and is linked with nothing: its component is its own id.
@@ -35,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gableboard.llm import text_bytes as tb
-from gableboard.llm.components import components
+from gableboard.llm.components import components, joined
 from gableboard.llm.tables import packed, written
 
 WORDS, PERCENT = 5, 75
@@ -46,8 +47,10 @@ SHARE = 1 / (1 << 20)
 #: Bits of the filter that tells which sets are needed; a full filter only costs time.
 FILTER_BITS = 1 << 23
 TILE = 1024
-#: Bits a shingle of the bitmaps that tiles compare.
-WIDE = 8
+#: Bits a shingle of the bitmaps that travel with pairs, and of those that tiles of keys with more than FEW nodes compare.
+NARROW, WIDE, FEW = 1, 8, 128
+#: 64-bit words of bitmaps that are compared at once.
+COMPARED = 1 << 18
 #: Stars in the second round, around the second and further nodes of a key; each takes the nodes after it.
 STARS = 4
 _C1, _C2 = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
@@ -73,7 +76,7 @@ def node_of(shingles: np.ndarray) -> int:
     return int(tb.mix(total + np.array([len(shingles)], np.uint64) * _C2).view(np.int64)[0])
 
 
-def bitmap(shingles: np.ndarray, share: int = 2, most: int = 1 << 15) -> bytes:
+def bitmap(shingles: np.ndarray, share: int = NARROW, most: int = 1 << 15) -> bytes:
     """Hashed shingles in `share` bits each, rounded up to a power of two."""
     width = 64
     while width < share * len(shingles) and width < most:
@@ -84,7 +87,7 @@ def bitmap(shingles: np.ndarray, share: int = 2, most: int = 1 << 15) -> bytes:
 
 
 def wide(shingles: np.ndarray) -> bytes:
-    """For tiles, where all pairs of a group meet and most are just too far apart."""
+    """For tiles of many nodes, where all pairs of a group meet and most are just too far apart."""
     return bitmap(shingles, WIDE, 1 << 17)
 
 
@@ -104,11 +107,34 @@ def fold(words: np.ndarray, width: int) -> np.ndarray:
     return words
 
 
-def may_link(n: int, m: int, a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    width = min(len(a), len(b))
-    a, b = fold(a, width), fold(b, width)
-    most = min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
-    return (100 + percent) * most >= percent * (n + m)
+def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All 64-bit words of a binary column, where each value starts in them, and how many words it has."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32, len(column) + 1, 4 * column.offset).astype(np.int64)
+    words = np.frombuffer(data, np.uint8)[at[0]:at[-1]].view(np.uint64) if at[-1] > at[0] else np.zeros(0, np.uint64)
+    return words, (at[:-1] - at[0]) // 8, np.diff(at) // 8
+
+
+def may_link(n: np.ndarray, m: np.ndarray, a: pa.Array, b: pa.Array, percent: int) -> np.ndarray:
+    """Whether sets of n and m shingles with the bitmaps a and b may be linked, for each row."""
+    keep = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    (x, at_x, wide_x), (y, at_y, wide_y) = _matrix(a), _matrix(b)
+    rows = np.flatnonzero(keep)
+    rows = rows[np.lexsort((wide_y[rows], wide_x[rows]))]
+    # Rows of equal widths are compared together.
+    for part in np.split(rows, np.flatnonzero((np.diff(wide_x[rows]) != 0) | (np.diff(wide_y[rows]) != 0)) + 1):
+        if not len(part):
+            continue
+        v, w = int(wide_x[part[0]]), int(wide_y[part[0]])
+        step = max(1, COMPARED // max(v, w))
+        for i in range(0, len(part), step):
+            r = part[i:i + step]
+            p = fold(x[at_x[r][:, None] + np.arange(v)], min(v, w))
+            q = fold(y[at_y[r][:, None] + np.arange(w)], min(v, w))
+            most = np.minimum(n[r] - np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64),
+                              m[r] - np.bitwise_count(q & ~p).sum(axis=1, dtype=np.int64))
+            keep[r] = (100 + percent) * most >= percent * (n[r] + m[r])
+    return keep
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -196,10 +222,9 @@ def _needed_sets(docs: DataFrame, k: int, nodes: DataFrame, made=np.ndarray.toby
     """node, shingles (sorted 64-bit hashes, or what is made of them) of the given nodes."""
     position = F.col("node").bitwiseAND(F.lit(FILTER_BITS - 1))
     words = (nodes.select(F.shiftright(position, 6).alias("w"), F.expr(f"shiftleft(1L, int((node & {FILTER_BITS - 1}) & 63))").alias("m"))
-             .groupBy("w").agg(F.bit_or("m").alias("m")).collect())
+             .groupBy("w").agg(F.bit_or("m").alias("m")).toArrow())
     filter_words = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words:
-        filter_words[r["w"]] = r["m"]
+    filter_words[words.column("w").to_numpy()] = words.column("m").to_numpy()
     wanted = docs.sparkSession.sparkContext.broadcast(filter_words.view(np.uint64))
 
     def run(batches):
@@ -226,9 +251,7 @@ def _checked(docs: DataFrame, k: int, percent: int, pairs: DataFrame, nodes: Dat
     def near(batches):
         for batch in batches:
             n, m = (batch.column(c).to_numpy() for c in (2, 3))
-            fits = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-            x, y = views(batch.column(4)), views(batch.column(5))
-            keep = [bool(f) and may_link(int(p), int(q), u, v, percent) for f, p, q, u, v in zip(fits, n, m, x, y, strict=True)]
+            keep = may_link(n, m, batch.column(4), batch.column(5), percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def linked(batches):
@@ -246,7 +269,8 @@ def _checked(docs: DataFrame, k: int, percent: int, pairs: DataFrame, nodes: Dat
                .select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(near, "a long, b long"))
     bounded = written(bounded, "pairs")
     ids = bounded.select(F.col("a").alias("node")).union(bounded.select("b"))
-    known = _needed_sets(docs, k, ids).withColumnRenamed("shingles", "s")
+    # Written, as both joins would read the texts otherwise.
+    known = written(_needed_sets(docs, k, ids).withColumnRenamed("shingles", "s"), "sets")
     both = bounded.join(side(known, "a", ["s"]), "a").join(side(known, "b", ["s"]), "b")
     return both.select("a", "b", "s_a", "s_b").mapInArrow(linked, "a long, b long")
 
@@ -258,11 +282,15 @@ def _distinct_groups(rows: DataFrame) -> DataFrame:
     return rows.join(groups.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
 
 
-def _tiled_pairs(rows: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """a, b: pairs within a key, of different roots, that sizes and wide bitmaps leave possible.
+def _tiled_pairs(rows: DataFrame, docs: DataFrame, k: int, percent: int, nodes: DataFrame) -> DataFrame:
+    """a, b: pairs within a key, of different roots, that sizes and bitmaps leave possible.
 
-    rows: key, node, n, root."""
-    signed = written(_needed_sets(docs, k, rows.select("node"), wide).withColumnRenamed("shingles", "sig"), "wide")
+    rows: key, node, n, root, c (the key's nodes)."""
+    signed = nodes.select("node", "sig", F.lit(False).alias("many"))
+    many = rows.filter(F.col("c") > FEW).select("node")
+    if not many.isEmpty():
+        made = written(_needed_sets(docs, k, many, wide).withColumnRenamed("shingles", "sig"), "wide")
+        signed = signed.union(made.withColumn("many", F.lit(True)))
     own = rows.groupBy("node").agg(F.collect_set("key").alias("keys"))  # no more than a node's prefix
     place = F.row_number().over(W.partitionBy("key").orderBy("n", "node"))
     cut = written(rows.withColumn("tile", F.floor((place - 1) / TILE).cast("int")), "tiles")
@@ -273,7 +301,8 @@ def _tiled_pairs(rows: DataFrame, docs: DataFrame, k: int, percent: int) -> Data
     left = cut.join(squares.withColumn("tile", F.col("i")), ["key", "tile"]).withColumn("second", F.lit(False))
     right = cut.join(squares.filter("i < j").withColumn("tile", F.col("j")), ["key", "tile"]).withColumn("second", F.lit(True))
     columns = ["key", "i", "j", "n", "node", "root", "second"]
-    placed = left.select(columns).union(right.select(columns)).join(signed, "node").join(own, "node")
+    kind = (F.col("c") > FEW).alias("many")
+    placed = left.select(*columns, kind).union(right.select(*columns, kind)).join(signed, ["node", "many"]).join(own, "node")
     # A pair is made at the smallest key that its nodes share: `before` are a node's smaller ones.
     placed = placed.withColumn("before", F.filter("keys", lambda k: k < F.col("key")))
     placed = placed.select(*columns[:-1], "sig", "before", "second").repartition("key", "i", "j").sortWithinPartitions(
@@ -353,8 +382,7 @@ def _rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
     pairs = written(shared.select("hub", "node").distinct(), "stars")
     near = pairs.join(sizes, "node").join(sizes.toDF("hub", "hub_n"), "hub").filter(sizes_fit(F.col("hub_n"), F.col("n")))
     near = near.select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    links = written(_checked(docs, k, percent, near, nodes), "links")
-    roots = written(components(links), "roots")
+    roots = written(components(_checked(docs, k, percent, near, nodes)), "roots")
 
     def rooted(df, node="node", root="root"):
         known = roots.select(F.col("node").alias(node), F.col("root").alias(root))
@@ -376,16 +404,14 @@ def _rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
             "centres", lambda c: c.isNotNull() & (c["root"] != F.col("root")) & sizes_fit(c["n"], F.col("n")))))
         again = again.select(F.least("centre.node", "node").alias("a"), F.greatest("centre.node", "node").alias("b"))
         again = written(again.distinct(), "stars")
-        links = links.union(written(_checked(docs, k, percent, again, nodes), "links"))
-        roots = written(components(links), "roots")
+        roots = written(joined(roots, _checked(docs, k, percent, again, nodes)), "roots")
         opened = rooted(opened.drop("root"))
         mixed = (opened.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"))
-                 .filter(f"lo != hi and c > {STARS + 2}").select("key"))
-        mixed = written(opened.join(mixed, "key", "left_semi"), "mixed")
-        pairs = mixed.select("node", "node") if mixed.isEmpty() else written(_tiled_pairs(mixed, docs, k, percent), "tiled")
+                 .filter(f"lo != hi and c > {STARS + 2}").select("key", "c"))
+        mixed = written(opened.join(mixed, "key"), "mixed")
+        pairs = mixed.select("node", "node") if mixed.isEmpty() else written(_tiled_pairs(mixed, docs, k, percent, nodes), "tiled")
         if not pairs.isEmpty():
-            links = links.union(written(_checked(docs, k, percent, pairs, nodes), "links"))
-            roots = written(components(links), "roots")
+            roots = written(joined(roots, _checked(docs, k, percent, pairs, nodes)), "roots")
 
     alone = members.filter("node is null").withColumn("root", F.lit(None).cast("long"))
     return rooted(members.filter("node is not null")).select(*alone.columns).union(alone)

@@ -6,9 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from gableboard.llm import (chat, credentials, decontaminate, jaccard, language_id, packing, page_diff, queries, suffix_tree,
+from gableboard.llm import (chat, components, credentials, decontaminate, jaccard, language_id, packing, page_diff, queries, suffix_tree,
                             topk, toxicity)
 from gableboard.llm.tables import shared_folder
 
@@ -86,6 +87,55 @@ def test_jaccard_tiles_find_what_stars_miss(spark, monkeypatch):
     assert jaccard.join(table).select("component_id").distinct().count() == 1
 
 
+@pytest.mark.parametrize(("few", "made"), [(128, 0), (8, 1)])
+def test_jaccard_tiles_of_few_nodes_make_no_bitmaps(spark, monkeypatch, few, made):
+    """Tiles of keys with few nodes read the bitmaps at hand; links are the same with either kind."""
+    monkeypatch.setattr(jaccard, "STARS", 1)
+    monkeypatch.setattr(jaccard, "TILE", 5)
+    monkeypatch.setattr(jaccard, "FEW", few)
+    names, keep = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: names.append(name) or keep(df, name))
+    base = [f"w{i}" for i in range(170)]
+    rows = [(i, " ".join(base[4 * i:4 * i + 100]), "", "", 0) for i in range(16)]
+    assert jaccard.join(spark.createDataFrame(rows, SCHEMA)).select("component_id").distinct().count() == 1
+    assert "tiled" in names and names.count("wide") == made
+
+
+def test_jaccard_bitmaps_of_pairs(spark):
+    """At most two bits a shingle travel with a pair, and no link is lost by them."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for n in (1, 3, 60, 64, 65, 300, 1000, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        for kept, more in ((1.0, 0), (0.95, 0.05), (0.9, 0.1), (0.8, 0), (0.75, 0), (0.8, 0.3), (0.1, 0.9), (0, 1)):
+            b = np.unique(np.concatenate([a[:math.ceil(kept * n)], rng.integers(0, 1 << 63, int(more * n)).astype(np.uint64)]))
+            rows.append((a, b))
+    for a, _ in rows:
+        assert 8 * len(jaccard.bitmap(a)) <= max(64, 2 * len(a))
+    n, m = (np.array([len(r[i]) for r in rows]) for i in (0, 1))
+    column = lambda i: pa.array([None] + [jaccard.bitmap(r[i]) for r in rows], pa.binary()).slice(1)
+    keep = jaccard.may_link(n, m, column(0), column(1), 75)
+    both = np.array([len(np.intersect1d(*r)) for r in rows])
+    linked = 100 * both >= 75 * (n + m - both)
+    assert linked.sum() > 20 and keep[linked].all()
+    assert not keep[(both == 0) & (n >= 60)].any()
+
+
+def test_jaccard_reads_sets_once(spark, docs, monkeypatch):
+    """Both sides of a check read the same written sets."""
+    names, keep = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: names.append(name) or keep(df, name))
+    jaccard.join(docs).count()
+    assert names.count("sets") >= 1 and names.count("sets") == names.count("pairs")
+
+
+def test_components_join_further_links(spark, rows):
+    edges = lambda *pairs: spark.createDataFrame(pairs, "a long, b long")
+    roots = components.components(edges((1, 2), (3, 2), (5, 6), (8, 9)))
+    got = components.joined(roots, edges((3, 6), (6, 5), (20, 21), (9, 30), (7, 7)))
+    assert rows(got) == [(1, 1), (2, 1), (3, 1), (5, 1), (6, 1), (8, 8), (9, 8), (20, 20), (21, 20), (30, 8)]
+
+
 def test_empty_tables(spark, docs, empty):
     assert jaccard.join(empty).count() == 0
     assert language_id.predict(empty, language_id.fit(empty), keep=["doc_id"]).count() == 0
