@@ -13,9 +13,11 @@ token scores it; a word without a symbol of its own gets the other words' probab
 
 Words and tree are tables; they are joined, never collected. A pass over the texts for each length counts
 pairs of context and symbol below the kept contexts only. Tasks know these by a bit for each possible context
-(at most 2**24, so 2 MB) and the symbols by a bit array of 1 MB, where a wrong bit sends a rare word along by
-its own hash, and the join that follows finds it out. Documents are dealt into blocks of bounded size, row by
-row; a block asks for its distinct pairs, and what it is told meets its texts, where they are scored.
+(at most 2**24, so 2 MB; contexts of 4 bytes share bits) and the symbols by a bit array of 1 MB, where a wrong bit
+sends a rare word along by its own hash, and the join that follows finds it out. Documents are dealt into blocks of
+bounded size, row by row. A block asks for its distinct pairs, as the sorted hashes of a part of all hashes, of which
+there are the more the more text there is; the part's answers come back in that order, without the hashes, and meet
+the block's texts, where they are scored.
 
 A null text is empty and consists of the end alone. Rows that repeat are scored one by one; a long text is
 read in whole, and is one row of its block. Without training texts all counts are 0. An empty table gives an
@@ -43,6 +45,8 @@ SPACE = 0x20
 BLOCK_BYTES = 24 << 20
 #: Bits of the array of symbols; rows that a task holds before it passes them on.
 SYMBOL_BITS, HELD = 23, 1 << 20
+#: Training tokens for each part of the keys of pairs, and a part's questions of a block (block, keys) or answers (keys, x).
+PART, MESSAGE = 1 << 20, "part long, block long, keys binary, x binary"
 #: Stands where a context does for the counts of words.
 COUNT = -1
 END_WORD, OTHER = (int(x) for x in tb.mix(np.array([0x5EED, 0x07E4], np.uint64)).view(np.int64))
@@ -166,7 +170,7 @@ def _words(batch, data, offsets, i, j):
 def grown(placed: DataFrame, symbols: DataFrame, frequent, level: DataFrame, total: int, depth: int = DEPTH, weight: float = WEIGHT,
           cost: float = COST) -> tuple[DataFrame, list[np.ndarray]]:
     """context (with its length above 32 bits), symbol, p of every pair that a text of `placed` may ask for, and the kept
-    contexts of the lengths 1 to depth - 1 as bits. symbols: word; frequent: their bit array, as a broadcast; level: symbol,
+    contexts of the lengths 1 to depth as bits. symbols: word; frequent: their bit array, as a broadcast; level: symbol,
     n, p in the empty context."""
     if not 2 <= depth <= 4:
         raise ValueError("contexts have 2 to 4 bytes")
@@ -184,6 +188,8 @@ def grown(placed: DataFrame, symbols: DataFrame, frequent, level: DataFrame, tot
 
         names = ["context", "word", "n"]
         met = placed.mapInArrow(lambda batches: _gathered(batches, take, names), "context long, word long, n long")
+        # Added up where the join finds them, so that it sorts distinct pairs.
+        met = met.repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n"))
         own = met.join(symbols.select("word", F.col("word").alias("symbol")), "word", "left")
         return own.groupBy("context", F.coalesce("symbol", F.lit(OTHER)).alias("symbol")).agg(F.sum("n").alias("n"))
 
@@ -203,9 +209,9 @@ def grown(placed: DataFrame, symbols: DataFrame, frequent, level: DataFrame, tot
             F.count(F.when(seen, True)).alias("k"), F.max("all").alias("above_all"))
         saves = F.col("s") + F.col("c") * F.log2(F.col("above_all") / F.col("c")) > cost * F.col("k")
         each = written(each.select("context", "c", ((F.col("c") > 0) & F.coalesce(saves, F.lit(False))).alias("kept")), "contexts")
-        if d < depth:  # a text asks for kept contexts only; of the greatest length for all below a kept one
+        bits.append(_bits(each.filter("kept"), _place(F.col("context"), d), 1 << min(8 * d, 24)))
+        if d < depth:  # a text asks for kept contexts only; of 4 bytes for those that share a bit with a kept one, too
             each = each.filter("kept")
-            bits.append(_bits(each, F.col("context"), 1 << 8 * d))
         if d <= 2:  # at most 65,536 contexts
             each = F.broadcast(each)
         level = own.join(each, "context").select(
@@ -216,14 +222,122 @@ def grown(placed: DataFrame, symbols: DataFrame, frequent, level: DataFrame, tot
     return reduce(DataFrame.union, (x.select(key(d), "symbol", "p") for d, x in enumerate(told))), bits
 
 
+def _place(context, length: int):
+    """The bit of a context: a number of 24 bits at most, so one of 4 bytes shares it with others."""
+    if length < 4:
+        return context
+    if isinstance(context, Column):
+        return context.bitwiseXOR(F.shiftright(context, 8)).bitwiseAND(F.lit(0xFFFFFF))
+    return (context ^ (context >> 8)) & 0xFFFFFF
+
+
 def _longest(code: np.ndarray, bits: list[np.ndarray]) -> np.ndarray:
-    """What each token asks for: its longest kept context, or below one of the longest but one, the whole code."""
+    """What each token asks for: its longest kept context, or one of 4 bytes that shares a bit with a kept one."""
     asked = np.zeros(len(code), np.int64)
     kept = np.ones(len(code), bool)
     for d, known in enumerate(bits, 1):
-        kept &= _has(known, _below(code, d))
-        asked = np.where(kept, _below(code, d) + (d << 32), asked)
-    return np.where(kept, _below(code, len(bits) + 1) + (len(bits) + 1 << 32), asked)
+        own = _below(code, d)
+        kept &= _has(known, _place(own, d))
+        asked = np.where(kept, own + (d << 32), asked)
+    return asked
+
+
+def _union(keys: list[np.ndarray]) -> np.ndarray:
+    return tb.distinct(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
+
+
+def _questions(token: np.ndarray, context: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The sorted keys of what the tokens ask for: the words in their contexts, the rare words' probability in each context,
+    and of each word its count, as if it stood in a context of its own kind."""
+    contexts, words = tb.distinct(context), tb.distinct(token)
+    return _union([pair_keys(context, _frequent(token, frequent)), pair_keys(contexts, np.full(len(contexts), OTHER)),
+                   pair_keys(np.full(len(words), COUNT), words)])
+
+
+def _cut(keys: np.ndarray, parts: int):
+    """The part of sorted keys, and where it starts and ends, for each part that has any."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    start = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    return zip(part[start].tolist(), start.tolist(), [*start[1:].tolist(), len(part)], strict=False)
+
+
+def _message(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()),
+                                                                      strict=True)], ["part", "block", "keys", "x"])
+
+
+def _asked(batches, parts: int, known: list[np.ndarray], frequent: np.ndarray):
+    """The questions of each block, by parts of all keys."""
+
+    def sent(block, asked):
+        keys = _union(asked)
+        return _message([(part, block, keys[a:b].tobytes(), None) for part, a, b in _cut(keys, parts)])
+
+    block, asked = None, []
+    for batch in batches:
+        data, offsets = tb.utf8(batch.column("text"))
+        of = batch.column("block").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            if start == end:
+                continue
+            if block is not None and of[start] != block:
+                yield sent(block, asked)
+                asked = []
+            block = int(of[start])
+            for i, j in tb.groups(offsets[start:end + 1], 2 * tb.CHUNK):
+                token, code, _ = tokens(data, offsets[start + i:start + j + 1])
+                asked.append(_questions(token, _longest(code, known), frequent))
+            if len(asked) > 8:
+                asked = [_union(asked)]
+    if asked:
+        yield sent(block, asked)
+
+
+def _answers(batches, parts: int, known: list[np.ndarray]):
+    """Rows of context, symbol, p as the keys of their pairs and p, by parts of all keys; those without a bit go."""
+    depth = len(known)
+    held, size = [], 0
+
+    def sent():
+        keys, x = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.argsort(keys)
+        keys, x = keys[order], x[order]
+        return _message([(part, None, keys[a:b].tobytes(), x[a:b].tobytes()) for part, a, b in _cut(keys, parts)])
+
+    for batch in batches:
+        context, symbol, x = (c.to_numpy() for c in batch.columns)
+        asked = np.flatnonzero((context >> 32 != depth) | _has(known[-1], _place(_below(context, depth), depth)))
+        held.append((pair_keys(context[asked], symbol[asked]), x[asked]))
+        size += len(asked)
+        if size > HELD:
+            yield sent()
+            held, size = [], 0
+    if size:
+        yield sent()
+
+
+def _told(table: pa.Table) -> pa.Table:
+    """The answers to each block's questions of a part, in the order of the keys; 0 where there is none."""
+    part = table.column("part")[0].as_py()
+    blocks: dict = {}
+    keys, x = [np.zeros(0, np.uint64)], [np.zeros(0)]
+    for block, k, y in zip(*(table.column(c).to_pylist() for c in ("block", "keys", "x")), strict=True):
+        if block is None:
+            keys.append(np.frombuffer(k, np.uint64))
+            x.append(np.frombuffer(y, float))
+        else:
+            blocks.setdefault(block, []).append(np.frombuffer(k, np.uint64))
+    keys, x = np.concatenate(keys), np.concatenate(x)
+    order = np.argsort(keys)
+    keys, x = np.append(keys[order], np.uint64(0)), np.append(x[order], 0.0)
+    out = []
+    for asked in blocks.values():
+        asked = _union(asked)
+        at = np.searchsorted(keys[:-1], asked)
+        out.append(np.where(keys[at] == asked, x[at], 0.0).tobytes())
+    return pa.table([pa.array(blocks, pa.int64()), pa.array([part] * len(out), pa.int64()), pa.array(out, pa.binary())],
+                    names=["block", "part", "x"])
 
 
 def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES,
@@ -234,7 +348,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("training"), F.col(text).alias("text"))
     # Written, so that a lost task finds each row in its block again.
     placed = docs.mapInArrow(lambda batches: _dealt(batches, block_bytes), "doc_id long, training boolean, text string, block long")
-    placed = written(placed, "blocks")
+    placed = written(placed, "blocks", "zstd")
 
     words = placed.mapInArrow(lambda batches: _gathered(batches, _words, ["word", "n"]), "word long, n long")
     words = written(words.groupBy("word").agg(F.sum("n").alias("c")), "words")
@@ -254,38 +368,37 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     tree, bits = grown(placed, symbols, frequent, level, n, depth, weight, cost)
     known = spark.sparkContext.broadcast(bits)
 
-    def asks(batch, data, offsets, i, j):
-        token, code, first = tokens(data, offsets[i:j + 1])
-        block = np.repeat(batch.column("block").to_numpy()[i:j], np.diff(first))
-        pairs = _distinct([(block, _longest(code, known.value), _frequent(token, frequent.value), np.ones(len(token)))])
-        # Asked too: the rare words' probability in each context, and of each word its count, as if it stood in a context of its own kind.
-        rare = _distinct([(pairs[0], pairs[1], np.full(len(pairs[0]), OTHER), pairs[3])])
-        counts = _distinct([(block, np.full(len(token), COUNT), token, np.ones(len(token)))])
-        return [np.concatenate(x) for x in zip(pairs, rare, counts, strict=True)]
-
-    asked = placed.mapInArrow(lambda batches: _gathered(batches, asks, ["block", "context", "symbol", "n"]),
-                              "block long, context long, symbol long, n long").drop("n")
-    all_known = tree.union(words.select(F.lit(COUNT).cast("long"), "word", F.col("c").cast("double")))
-    told = asked.join(all_known.withColumnRenamed("p", "x"), ["context", "symbol"])
+    parts = 1
+    while parts * PART < n:
+        parts *= 2
+    asked = placed.mapInArrow(lambda batches: _asked(batches, parts, known.value, frequent.value), MESSAGE)
+    answers = tree.union(words.select(F.lit(COUNT).cast("long"), "word", F.col("c").cast("double")))
+    answers = answers.mapInArrow(lambda batches: _answers(batches, parts, known.value), MESSAGE)
+    # Written, so that the shuffle of the questions is gone before texts travel.
+    told = written(asked.union(answers).groupBy("part").applyInArrow(_told, "block long, part long, x binary"), "told")
     names = ["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def scored(table: pa.Table, told: pa.Table) -> pa.Table:
-        pairs = pair_keys(told.column("context").to_numpy(), told.column("symbol").to_numpy())
-        order = np.argsort(pairs)
-        pairs, x = pairs[order], told.column("x").to_numpy()[order]
+        # The parts' answers one after another are those to the block's questions in their order.
+        x = told.sort_by("part").column("x")
+        x = np.frombuffer(b"".join(x.to_pylist()), float)
+        data, offsets = tb.utf8(table.column("text"))
+        runs = [(i, j, *tokens(data, offsets[i:j + 1])) for i, j in tb.groups(offsets)]
+        runs = [(i, j, token, _longest(code, known.value), first) for i, j, token, code, first in runs]
+        questions = _union([_questions(token, context, frequent.value) for _, _, token, context, _ in runs])
 
         def found(context, symbol):
             wanted = pair_keys(context, symbol)
-            at = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
-            return np.where(pairs[at] == wanted, x[at], 0.0)
+            order = np.argsort(wanted)  # in order, they are found much faster
+            out = np.empty(len(wanted))
+            out[order] = x[np.searchsorted(questions, wanted[order])]
+            return out
 
-        data, offsets = tb.utf8(table.column("text"))
         tokens_of, met, base, model = (np.zeros(len(offsets) - 1, k) for k in (np.int64, np.int64, float, float))
-        for i, j in tb.groups(offsets):
-            token, code, first = tokens(data, offsets[i:j + 1])
+        for i, j, token, context, first in runs:
             c = found(np.full(len(token), COUNT), token)
             own = (c >= LEAST) | (token == END_WORD)
-            share = found(_longest(code, known.value), np.where(own, token, OTHER))
+            share = found(context, np.where(own, token, OTHER))
             sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[first])
             tokens_of[i:j], met[i:j] = np.diff(first), sums(c > 0)
             base[i:j] = sums(np.log10(c + 1.0)) - np.diff(first) * math.log10(n + v + 1)

@@ -79,6 +79,14 @@ def groups(offsets: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]
         i = j
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values: of 64-bit hashes many times faster than `np.unique`, which makes a hash table."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words in the texts at `offsets`, and the number of words before each text."""
     lo, hi = int(offsets[0]), int(offsets[-1])

@@ -1,16 +1,21 @@
 """The training-data operators against brute force on small tables with nulls, ties, repeats and odd texts."""
 
+import glob
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 from gableboard.llm import (chat, components, credentials, decontaminate, jaccard, language_id, packing, page_diff, queries, suffix_tree,
-                            topk, toxicity)
+                            tables, topk, toxicity)
+from gableboard.llm import text_bytes as tb
 from gableboard.llm.tables import shared_folder
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -308,6 +313,44 @@ def test_base_scores_equal_counts(spark, docs):
     assert all(r.score < 0 and math.isfinite(r.score) for r in found)
 
 
+def test_written_leaves_no_shuffle_files(spark):
+    """A written table reads its folder alone, so what was shuffled for it goes at once, not when the driver collects garbage."""
+    def stored():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    before, setting = stored(), spark.conf.get(tables.CLEANED)
+    found = tables.written(spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count(), "counts")
+    deadline = time.time() + 20  # files are deleted beside the driver's work
+    while stored() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not stored() - before and found.count() == 1000 and spark.conf.get(tables.CLEANED) == setting
+
+
+def test_suffix_tree_questions_and_answers():
+    """A block's questions come back answered in their order, though two tasks ask them, and cost a hash each."""
+    known = [np.zeros(1 << 13, np.uint8)] * 2
+    text = pa.array(["a b a", "c", None, "b d"])
+    of = pa.array([5, 5, 9, 9])
+    bits = np.zeros(1 << (suffix_tree.SYMBOL_BITS - 3), np.uint8)
+    batch = pa.RecordBatch.from_arrays([text, of], ["text", "block"])
+    asked = [m for part in ([batch], [batch.slice(1, 2), batch.slice(3)]) for m in suffix_tree._asked(iter(part), 4, known, bits)]
+    pairs = {(0, suffix_tree.OTHER): 0.5}
+    words = suffix_tree.tokens(*tb.utf8(text))[0]
+    pairs |= {(suffix_tree.COUNT, int(w)): float(i) for i, w in enumerate(sorted(set(words.tolist())), 1)}
+    told_of = [pa.array(c) for c in zip(*((*k, x) for k, x in pairs.items()), strict=True)]
+    answers = list(suffix_tree._answers([pa.RecordBatch.from_arrays(told_of, ["context", "symbol", "p"])], 4, known))
+    rows = pa.Table.from_batches([*asked, *answers])
+    told = pa.concat_tables(suffix_tree._told(rows.filter(pc.equal(rows["part"], p))) for p in set(rows["part"].to_pylist()))
+    for block, i, j in ((5, 0, 2), (9, 2, 4)):
+        token, _, _ = suffix_tree.tokens(*tb.utf8(text.slice(i, j - i)))
+        keys = suffix_tree._questions(token, np.zeros(len(token), np.int64), bits)
+        x = np.frombuffer(b"".join(told.filter(pc.equal(told["block"], block)).sort_by("part")["x"].to_pylist()), float)
+        by_key = dict(zip(keys.tolist(), x.tolist(), strict=True))
+        want = {int(suffix_tree.pair_keys(np.array([c]), np.array([s]))[0]): p for (c, s), p in pairs.items() if c == 0 or s in token}
+        assert by_key == want
+
+
 def test_suffix_tree_keeps_what_is_attested(spark):
     """What 40 texts say stands, however much other text there is."""
     rng = np.random.default_rng(5)
