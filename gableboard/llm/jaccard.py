@@ -57,23 +57,30 @@ _C1, _C2 = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 
 
 def sets(column, k: int):
-    """The sorted array of shingle hashes of each text."""
+    """A hash of each text's set, None if it is empty, and the sorted array of its shingle hashes."""
     data, offsets = tb.utf8(column)
     for i, j in tb.groups(offsets):
         starts, ends, first = tb.spans(data, offsets[i:j + 1], tb.NOT_SPACE)
         words = tb.word_hashes(data, starts, ends)
         shingles = tb.shingle_hashes(words, k)
+        found = []
         for a, b in zip(first[:-1], first[1:], strict=True):
             if b - a >= k:
-                yield np.unique(shingles[a:b - k + 1])
+                found.append(tb.distinct(shingles[a:b - k + 1]))
             else:
-                yield tb.shingle_hashes(words[a:b], int(b - a)) if b > a else words[:0]
+                found.append(tb.shingle_hashes(words[a:b], int(b - a)) if b > a else words[:0])
+        yield from zip(nodes_of(found), found, strict=True)
 
 
-def node_of(shingles: np.ndarray) -> int:
-    """A hash of the set."""
-    total = tb.mix(shingles ^ _C1).sum(dtype=np.uint64, keepdims=True)
-    return int(tb.mix(total + np.array([len(shingles)], np.uint64) * _C2).view(np.int64)[0])
+def nodes_of(found: list[np.ndarray]) -> list[int | None]:
+    """A hash of each set, None of an empty one."""
+    n = np.array([len(s) for s in found], np.int64)
+    filled = np.flatnonzero(n)
+    out = np.full(len(n), None)
+    if len(filled):
+        sums = np.add.reduceat(tb.mix(np.concatenate(found) ^ _C1), (np.cumsum(n) - n)[filled])
+        out[filled] = tb.mix(sums + n[filled].astype(np.uint64) * _C2).view(np.int64).tolist()
+    return out.tolist()
 
 
 def bitmap(shingles: np.ndarray, share: int = NARROW, most: int = 1 << 15) -> bytes:
@@ -159,8 +166,7 @@ def _described(docs: DataFrame, k: int) -> DataFrame:
         names = ["doc_id", "h", "n", "node", "sig", "shingle", "times"]
         for batch in batches:
             n, nodes, sigs = [], [], []
-            for s in sets(batch.column(1), k):
-                node = node_of(s) if len(s) else None
+            for node, s in sets(batch.column(1), k):
                 n.append(len(s))
                 nodes.append(node)
                 if node is not None and node not in seen:
@@ -191,8 +197,8 @@ def _keys(docs: DataFrame, k: int, percent: int, common) -> DataFrame:
         last, order = common.value
         for batch in batches:
             keys, nodes, sizes = [], [], []
-            for s in sets(batch.column(1), k):
-                if not len(s) or (node := node_of(s)) in seen:
+            for node, s in sets(batch.column(1), k):
+                if node is None or node in seen:
                     continue
                 seen.add(node)
                 n = len(s)
@@ -231,8 +237,8 @@ def _needed_sets(docs: DataFrame, k: int, nodes: DataFrame, made=np.ndarray.toby
         seen = set()
         for batch in batches:
             found, arrays = [], []
-            for s in sets(batch.column(1), k):
-                if not len(s) or (node := node_of(s)) in seen:
+            for node, s in sets(batch.column(1), k):
+                if node is None or node in seen:
                     continue
                 at = node & (FILTER_BITS - 1)
                 if int(wanted.value[at >> 6]) >> (at & 63) & 1:

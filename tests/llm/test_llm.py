@@ -313,6 +313,18 @@ def test_base_scores_equal_counts(spark, docs):
     assert all(r.score < 0 and math.isfinite(r.score) for r in found)
 
 
+def test_sets_are_named_together():
+    """Each text's set is sorted, distinct and named by its members alone, beside empty ones."""
+    texts = ["a b a b a b a b a b", None, "b a b a b a b a b a b a", "", "a b a b a", "A B a b A", "  ", "one"]
+    found = list(jaccard.sets(pa.array(texts), 5))
+    assert [len(s) for _, s in found] == [2, 0, 2, 0, 1, 1, 0, 1]
+    assert all(np.array_equal(s, np.unique(s)) for _, s in found)
+    names = [n for n, _ in found]
+    assert [n is None for n in names] == [t is None or not t.split() for t in texts]
+    assert names[0] == names[2] and names[4] == names[5] and len({names[0], names[4], names[7]}) == 3
+    assert jaccard.nodes_of([]) == [] and [jaccard.nodes_of([s])[0] for _, s in found] == names
+
+
 def test_written_leaves_no_shuffle_files(spark):
     """A written table reads its folder alone, so what was shuffled for it goes at once, not when the driver collects garbage."""
     def stored():
