@@ -3,6 +3,7 @@
 import hashlib
 import random
 from dataclasses import replace
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from gableboard.operators import merge
 from gableboard.plans import driver_tables
 
+SALE = ("address string, city string, state string, zip string, sale_date {0}, sale_price string, represented_side string, agent_profile_url string, "
+        "listing_agent string, listing_office string, observed_at int, seq string")
+NOTHING = ("list_price", "beds", "baths", "sqft", "year_built", "days_on_market", "buyer_agent", "buyer_office", "source_url", "property_type",
+           "profile_type", "local_directory_town", "attribution_confidence", "data_source")
 TEAM = ("team_profile_url string, represented_side string, transaction_match_key string, team_name string, property_url string, local_town string, "
         "sale_date string, sale_price string, normalized_address string, normalized_address_hash string, created_at int, observed_at int, seq string")
 
@@ -52,6 +57,15 @@ def team_log(spark, n, key="k{}", seq="{}", made=True):
         for k in range(n)], TEAM)
 
 
+def profile_log(spark, rows, kind="date"):
+    log = spark.createDataFrame(rows, SALE.format(kind))
+    return log.withColumns({c: F.lit(None).cast("string") for c in NOTHING} | {"scraped_at": F.col("observed_at")})
+
+
+def sale(k, *, seq="{}", day=date(2024, 5, 1), url="u{}", side="Buyer", price="$1,000", agent="jane doe", at=1):
+    return (f"{k} Main Street", "York", "ME", "03909", day, price, side, url.format(k), agent, "Office", at, seq.format(k))
+
+
 def test_team_sales_do_not_send_hashes_that_addresses_give(spark, fixed):
     (rows, hashed), (_, bare) = [sent(merge.team_sales(team_log(spark, 200, made=m))) for m in (True, False)]
     assert rows == 200 and hashed - bare < 8 * rows
@@ -83,6 +97,34 @@ def test_columns_together_merge_as_columns_apart(spark, latest):
         assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
 
 
+def test_profile_sales_send_an_order_once_and_no_digest(spark, fixed):
+    shown = ("observation_id", "normalized_address_hash", "transaction_match_key", "listing_agent", "listing_office", "represented_side")
+    n = 100
+    rows, size = sent(merge.profile_sales(profile_log(spark, [sale(k, seq="{}" + "x" * 5000) for k in range(n)])).select(*shown))
+    assert rows == n and size < 7500 * n
+    _, size = sent(merge.profile_sales(profile_log(spark, [sale(k) for k in range(n)])).select(*shown))
+    assert size < 400 * n
+
+
+@pytest.mark.parametrize("kind, days", [("date", (date(2024, 5, 1), None)), ("string", ("2024-05-01", ""))])
+def test_profile_sales_digests_are_those_of_their_rows(spark, kind, days):
+    rows = [sale(1, day=days[0], side="Buyer", at=1, agent="old name"), sale(1, day=days[0], side="BUYER", price="1000.7", at=2, agent=None),
+            sale(1, day=days[0], side="seller"), sale(2, day=days[0], url="a|b{}"), sale(3, day=days[1]), sale(4, day=days[0], price="none"),
+            sale(5, day=days[0], url=""), sale(6, day=days[0], side=None)]
+    got = merge.profile_sales(profile_log(spark, rows, kind))
+    assert got.columns == [*merge.PROFILE_SALE_RULES.keys, *merge.PROFILE_SALE_RULES.latest_known, *merge.PROFILE_SALE_RULES.latest,
+                           *merge.PROFILE_SALE_RULES.first]
+    assert dict(got.dtypes)["sale_date"] == kind
+    want = []
+    for k, url, side, agent in ((1, "u1", "BUYER", "Old Name"), (1, "u1", "seller", "Jane Doe"), (2, "a|b2", "Buyer", "Jane Doe")):
+        place = f"{k} MAIN ST | YORK | ME | 03909"
+        want.append((sha(f"{url}|{side.lower()}|{sha(place)}|2024-05-01|1000"), url, side, str(days[0]), 1000, place, sha(place),
+                     sha(f"{sha(place)}|2024-05-01|1000"), agent))
+    found = got.select("observation_id", "agent_profile_url", "represented_side", F.col("sale_date").cast("string"), "sale_price", "normalized_address",
+                       "normalized_address_hash", "transaction_match_key", "listing_agent")
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_orders_learn_their_towns_before_lines_learn_their_orders(spark, fixed, tmp_path):
     """Each line is dealt once; dealt again by customer it would take the room of the whole table twice."""
     n, lines = 40, 400
